@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -139,35 +141,28 @@ def warned_codes(codes: DataFrame, warnings: DataFrame) -> DataFrame:
 # --- keyword lists ---------------------------------------------------------------
 
 
-def excluded_category(name: Column, category: Column) -> Column:
-    """First category with a keyword inside "name category", or null."""
+def tag_excluded_category(df: DataFrame, name: str = "name", category: str = "category") -> DataFrame:
+    """Adds `excluded`: the first category with a keyword inside "name category", or null."""
     text = F.concat(
-        T.strip_accents(F.lower(T.text(name))), F.lit(" "), T.strip_accents(F.lower(T.text(category)))
+        T.strip_accents(F.lower(T.text(F.col(name)))), F.lit(" "), T.strip_accents(F.lower(T.text(F.col(category))))
     )
     by_cat: dict[str, list[str]] = {}
     for _, cat, kw in refdata.category_rows():
         by_cat.setdefault(cat, []).append(kw)
-    out = F.lit(None).cast("string")
-    for cat, kws in reversed(list(by_cat.items())):
-        hit = F.lit(False)
-        for kw in kws:
-            hit = hit | F.contains(text, F.lit(kw))
-        out = F.when(hit, cat).otherwise(out)
-    return out
+    rules = F.array(*[F.struct(F.lit(c).alias("c"), F.lit("|".join(k)).alias("re")) for c, k in by_cat.items()])
+    hits = F.filter(rules, lambda r: F.regexp_like(F.col("_text"), r["re"]))
+    return df.withColumn("_text", text).withColumn("excluded", F.get(hits, F.lit(0))["c"]).drop("_text")
 
 
-def excluded_brand(name: Column) -> Column:
-    """The chain keyword found in a name, as written in the list, or null."""
-    norm = T.strip_accents(F.lower(T.text(name)))
-    return excluded_brand_normalised(norm)
+def tag_excluded_brand(df: DataFrame, name: str = "name") -> DataFrame:
+    """Adds `brand`: the chain keyword found in the name, as written in the list, or null."""
+    norm = T.strip_accents(F.lower(T.text(F.col(name))))
+    return df.withColumn("_norm", norm).withColumn("brand", _brand_in(F.col("_norm"))).drop("_norm")
 
 
-def excluded_brand_normalised(norm: Column) -> Column:
+def _brand_in(norm: Column) -> Column:
     kws = F.array(
-        *[
-            F.struct(F.lit(k).alias("kw"), F.lit(_plain(k)).alias("norm"))
-            for k in refdata.brand_keywords()
-        ]
+        *[F.struct(F.lit(k).alias("kw"), F.lit(_plain(k)).alias("norm")) for k in refdata.brand_keywords()]
     )
     hits = F.filter(kws, lambda k: F.contains(norm, k["norm"]))
     word = F.when(norm.rlike("\\b" + refdata.BRAND_WHOLE_WORD + "\\b"), refdata.BRAND_WHOLE_WORD)
@@ -175,8 +170,6 @@ def excluded_brand_normalised(norm: Column) -> Column:
 
 
 def _plain(keyword: str) -> str:
-    import unicodedata
-
     return "".join(c for c in unicodedata.normalize("NFKD", keyword) if c < "\x80")
 
 
