@@ -63,7 +63,12 @@ def first_nonblank(*cols: Column) -> Column:
 
 def pad_left(c: Column, width: int) -> Column:
     """Zero pad without ever shortening a longer value."""
-    return F.when(F.length(c) >= width, c).otherwise(F.lpad(c, width, "0"))
+    return F.lpad(c, F.greatest(F.length(c), F.lit(width)), F.lit("0"))
+
+
+def let(value: Column, body) -> Column:
+    """Evaluate `value` once and use it many times, which keeps the plan small."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 # --- identifiers -----------------------------------------------------------------
@@ -71,16 +76,16 @@ def pad_left(c: Column, width: int) -> Column:
 
 def normalize_siret(raw: Column) -> Column:
     """14-digit id. Text that is not a finite number is kept as it is, trimmed."""
-    s = strip(text(raw))
-    num = F.when(s.rlike(FLOAT_TEXT), s.try_cast("double"))
-    mag = F.abs(num)
-    whole = (
-        F.when(mag < 9.2e18, mag.try_cast("bigint").cast("string"))
-        .when(mag < 1e37, mag.try_cast("decimal(38,0)").cast("string"))
-    )
-    negative = (num < 0) & (mag >= 1)
-    padded = F.when(negative, F.concat(F.lit("-"), pad_left(whole, 13))).otherwise(pad_left(whole, 14))
-    return F.when(s.isin("", "nan", "None"), "").otherwise(F.coalesce(padded, s))
+
+    def as_number(s: Column) -> Column:
+        num = F.when(s.rlike(FLOAT_TEXT), s.try_cast("double"))
+        whole = lambda n: F.when(F.abs(n) < 9.2e18, F.format_string("%014d", n.try_cast("bigint"))).when(
+            F.abs(n) < 1e37, n.try_cast("decimal(38,0)").cast("string")
+        )
+        return F.when(s.isin("", "nan", "None"), "").otherwise(F.coalesce(let(num, whole), s))
+
+    c = text(raw)
+    return F.when(c.rlike("^[0-9]{14}\\z"), c).otherwise(let(strip(c), as_number))
 
 
 def digits(c: Column) -> Column:
@@ -88,8 +93,7 @@ def digits(c: Column) -> Column:
 
 
 def normalize_cp(raw: Column) -> Column:
-    d = digits(raw)
-    return F.when(d == "", "").otherwise(pad_left(d, 5))
+    return let(digits(raw), lambda d: F.when(d == "", "").otherwise(pad_left(d, 5)))
 
 
 def department(cp: Column) -> Column:
@@ -97,18 +101,17 @@ def department(cp: Column) -> Column:
 
 
 def normalize_naf(code: Column) -> Column:
-    c = F.upper(strip(text(code)))
-    undotted = (F.length(c) >= 4) & ~F.contains(c, F.lit(".")) & c.rlike("^[0-9]{2}")
-    return F.when(undotted, F.concat(F.substring(c, 1, 2), F.lit("."), c.substr(F.lit(3), F.length(c)))).otherwise(c)
+    """Upper case, with the dot put back after the two leading digits of an undotted code."""
+    return F.regexp_replace(F.upper(strip(text(code))), "^([0-9]{2})([^.]{2,})\\z", "$1.$2")
 
 
 # --- phones ----------------------------------------------------------------------
 
-PHONE_OK = "^0[1-9][0-9]{8}$"
+PHONE_OK = "^0[1-9]\\p{Nd}{8}\\z"
 
 
 def _valid(d: Column) -> Column:
-    return F.when(d.rlike(PHONE_OK), d).otherwise("")
+    return F.coalesce(nonempty(F.regexp_extract(d, PHONE_OK, 0)), F.lit(""))
 
 
 def validate_phone(raw: Column) -> Column:
@@ -118,18 +121,13 @@ def validate_phone(raw: Column) -> Column:
 
 def normalize_phone(raw: Column) -> Column:
     """National number; understands a +33 prefix after separators are removed."""
-    c = F.regexp_replace(strip(text(raw)), "(" + WS + "|[.()-])+", "")
-    c = F.when(F.startswith(c, F.lit("+33")), F.concat(F.lit("0"), c.substr(F.lit(4), F.length(c)))).otherwise(c)
-    return _valid(digits(c))
+    c = F.regexp_replace(strip(text(raw)), "(?:" + WS + "|[.()-])+", "")
+    return _valid(digits(F.regexp_replace(c, "^\\+33", "0")))
 
 
 def phone_nine(raw: Column) -> Column:
     """The nine significant digits used as a blocking key."""
-    d = digits(raw)
-    d = F.when(
-        F.startswith(d, F.lit("33")) & (F.length(d) >= 11), F.concat(F.lit("0"), d.substr(F.lit(3), F.length(d)))
-    ).otherwise(d)
-    return F.when(F.startswith(d, F.lit("0")) & (F.length(d) == 10), F.substring(d, 2, 9)).otherwise("")
+    return F.regexp_extract(F.regexp_replace(digits(raw), "^33(?=\\p{Nd}{9})", "0"), "^0(\\p{Nd}{9})\\z", 1)
 
 
 def strip_phone_label(raw: Column) -> Column:
@@ -166,59 +164,78 @@ def strip_accents(s: Column) -> Column:
     """ASCII only: accents removed, compatibility characters spelt out, the rest dropped."""
     s = text(s)
     one_from, one_to, many = _accent_tables()
-    rare = "[" + "".join(many) + "]"
-    lookup = F.create_map(*[F.lit(x) for kv in many.items() for x in kv])
+    lookup = F.str_to_map(F.lit("\x02".join(f"{a}\x01{b}" for a, b in many.items())), F.lit("\x02"), F.lit("\x01"))
     spelt = F.array_join(
         F.transform(F.split(s, ""), lambda ch: F.coalesce(F.try_element_at(lookup, ch), ch)), ""
     )
-    expanded = F.when(s.rlike(rare), spelt).otherwise(s)
-    folded = F.regexp_replace(F.translate(expanded, one_from, one_to), "[^\\x00-\\x7F]", "")
+    unusual = F.regexp_replace(s, "[\\x00-\\x7FÀ-ÿ]+", "")
+    has_many = (unusual != "") & unusual.rlike(char_class("".join(many)))
+    expanded = F.when(has_many, spelt).otherwise(s)
+    folded = F.regexp_replace(F.translate(expanded, one_from, one_to), "[^\\x00-\\x7F]+", "")
     return F.when(s.rlike("[^\\x00-\\x7F]"), folded).otherwise(s)
 
 
+def char_class(chars: str) -> str:
+    """Regex class of some characters, runs written as ranges."""
+    points = sorted(map(ord, chars))
+    runs: list[list[int]] = []
+    for p in points:
+        if runs and p == runs[-1][1] + 1:
+            runs[-1][1] = p
+        else:
+            runs.append([p, p])
+    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in runs) + "]"
+
+
 def title_case(s: Column) -> Column:
     """Upper-case the first letter of every run of letters (also after - ' and digits)."""
     runs = F.regexp_extract_all(F.lower(text(s)), F.lit("\\p{L}+|\\P{L}+"), F.lit(0))
-    return F.array_join(
-        F.transform(runs, lambda t: F.concat(F.upper(F.substring(t, 1, 1)), t.substr(F.lit(2), F.length(t)))), ""
-    )
+
+    def capital(t: Column) -> Column:
+        first = F.upper(F.substring(t, 1, 1))
+        return F.concat(F.substring(first, 1, 1), F.lower(F.substring(first, 2, 2)), t.substr(F.lit(2), F.length(t)))
+
+    return F.array_join(F.transform(runs, capital), "")
 
 
 # --- company names ---------------------------------------------------------------
 
 
-def _collapse(s: Column) -> Column:
-    return strip(F.regexp_replace(s, WS + "+", " "))
+ASCII_WS = "[\\x09-\\x0D\\x1C-\\x20]"
+
+
+def _collapse(s: Column, ws: str = ASCII_WS) -> Column:
+    """Every run of blanks becomes one space; a lone space is not touched."""
+    return strip(F.regexp_replace(s, "(?! (?!" + ws + "))" + ws + "+", " "))
 
 
 def _drop_words(s: Column, words: str) -> Column:
-    alt = "|".join(words.split())
-    return F.regexp_replace(s, "(?<![\\p{L}\\p{N}_])(?:" + alt + ")(?![\\p{L}\\p{N}_])", "")
+    """Delete whole words from ASCII text."""
+    return F.regexp_replace(s, "\\b(?:" + "|".join(words.split()) + ")\\b", "")
 
 
 def clean_name_link(name: Column) -> Column:
     """Cleaner used to link and deduplicate leads."""
-    return _collapse(_drop_words(strip(F.upper(strip_accents(name))), LEGAL_FORMS_LINK))
+    return _collapse(_drop_words(F.upper(strip_accents(name)), LEGAL_FORMS_LINK))
 
 
 def clean_name_registry(name: Column) -> Column:
     """Cleaner used against the registry: accents are kept."""
-    return _collapse(_drop_words(strip(F.upper(text(name))), LEGAL_FORMS_REGISTRY))
+    alt = "|".join(LEGAL_FORMS_REGISTRY.split())
+    kept = F.regexp_replace(F.upper(text(name)), "(?<![\\p{L}\\p{N}_])(?:" + alt + ")(?![\\p{L}\\p{N}_])", "")
+    return _collapse(kept, WS)
 
 
 def clean_name_profile(name: Column) -> Column:
     """Light cleaner used against company profiles."""
-    return _collapse(_drop_words(strip(F.upper(strip_accents(name))), LEGAL_FORMS_PROFILE))
+    return _collapse(_drop_words(F.upper(strip_accents(name)), LEGAL_FORMS_PROFILE))
 
 
 def clean_name_keywords(name: Column) -> Column:
     """Aggressive cleaner: distinctive words only."""
-    s = F.lower(strip_accents(name))
-    s = F.regexp_replace(F.regexp_replace(s, "['-]", " "), "[^a-z0-9 ]", "")
-    stop = F.array(*[F.lit(w) for w in STOP_WORDS.split()])
-    return F.array_join(
-        F.filter(F.split(s, " +"), lambda w: (F.length(w) > 1) & ~F.array_contains(stop, w)), " "
-    )
+    s = F.regexp_replace(F.translate(F.lower(strip_accents(name)), "'-", "  "), "[^a-z0-9 ]+", "")
+    words = F.filter(F.split(s, " "), lambda w: (F.length(w) > 1) & ~w.isin(STOP_WORDS.split()))
+    return F.array_join(words, " ")
 
 
 def token_sort(s: Column) -> Column:

@@ -45,8 +45,8 @@ def city_statistics(live: DataFrame, potential: DataFrame, city: str = "search_c
     b = potential.select(city, "siret", F.lit(0).alias("l"), F.lit(1).alias("p"))
     ids = a.unionByName(b).where(T.text(F.col("siret")) != "").groupBy(city, "siret").agg(F.max("l").alias("l"), F.max("p").alias("p"))
     return ids.groupBy(city).agg(
-        F.count_if("l = 1").alias("n_live"), F.count_if("l = 0").alias("n_potential_only"),
-        F.count_if("l = 1 and p = 1").alias("n_both"), F.count("*").alias("n_unique"),
+        F.count_if(F.col("l") == 1).alias("n_live"), F.count_if(F.col("l") == 0).alias("n_potential_only"),
+        F.count_if((F.col("l") == 1) & (F.col("p") == 1)).alias("n_both"), F.count("*").alias("n_unique"),
     )
 
 
