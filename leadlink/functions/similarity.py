@@ -25,25 +25,24 @@ CHUNK = 4096
 
 
 def _codes(strings: list[str], width: int, pad: int) -> np.ndarray:
-    out = np.full((len(strings), width), pad, dtype=np.uint32)
-    for i, s in enumerate(strings):
-        if s:
-            out[i, : len(s)] = np.frombuffer(s.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    """Code points of many strings, one row each, short rows padded."""
+    lengths = np.array([len(s) for s in strings])
+    body = "".join(s.ljust(width, "\0") for s in strings).encode("utf-32-le", "surrogatepass")
+    out = np.frombuffer(body, dtype=np.uint32).reshape(len(strings), width).copy()
+    out[np.arange(width) >= lengths[:, None]] = pad
     return out
 
 
-def _lcs_words(short: list[str], long: list[str]) -> np.ndarray:
-    """LCS of many pairs at once; every short string fits one machine word."""
-    ls = np.array([len(s) for s in short], dtype=np.uint64)
-    a = _codes(short, max(int(ls.max()), 1), 0xFFFFFFFF)
-    b = _codes(long, max(max(len(s) for s in long), 1), 0xFFFFFFFE)
+def _lcs_words(a: np.ndarray, b: np.ndarray, ls: np.ndarray) -> np.ndarray:
+    """LCS of many padded pairs at once; every left string fits one machine word."""
     weight = np.left_shift(np.uint64(1), np.arange(a.shape[1], dtype=np.uint64))
-    v = np.full(len(short), 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
+    full = np.uint64(0xFFFFFFFFFFFFFFFF)
+    v = np.full(len(a), full, dtype=np.uint64)
     for j in range(b.shape[1]):
-        match = np.where(a == b[:, j : j + 1], weight, np.uint64(0)).sum(axis=1, dtype=np.uint64)
+        match = (a == b[:, j : j + 1]) @ weight
         u = v & match
         v = (v + u) | (v - u)
-    full = np.uint64(0xFFFFFFFFFFFFFFFF)
+    ls = ls.astype(np.uint64)
     mask = np.where(ls >= WORD, full, np.left_shift(np.uint64(1), np.minimum(ls, np.uint64(WORD - 1))) - np.uint64(1))
     return ls.astype(np.int64) - np.bitwise_count(v & mask).astype(np.int64)
 
@@ -62,24 +61,34 @@ def _lcs_long(a: str, b: str) -> int:
 
 
 def lcs_lengths(a: list[str], b: list[str]) -> np.ndarray:
-    pairs = pd.Series(list(zip(a, b)), dtype=object)
-    codes, uniq = pd.factorize(pairs)
-    got = np.zeros(len(uniq), dtype=np.int64)
-    small = []
-    for i, (x, y) in enumerate(uniq):
-        if x == y:
-            got[i] = len(x)
-        elif x and y:
-            x, y = (x, y) if len(x) <= len(y) else (y, x)
-            if len(x) <= WORD and len(y) <= 16 * WORD:
-                small.append((len(y), i, x, y))
-            else:
-                got[i] = _lcs_long(x, y)
-    small.sort()
-    for at in range(0, len(small), CHUNK):
-        part = small[at : at + CHUNK]
-        got[[p[1] for p in part]] = _lcs_words([p[2] for p in part], [p[3] for p in part])
-    return got[codes] if len(codes) else got
+    """LCS length of each pair; every distinct string is encoded once, every distinct pair scored once."""
+    if not a:
+        return np.zeros(0, dtype=np.int64)
+    codes, names = pd.factorize(np.array([*a, *b], dtype=object))
+    size = np.array([len(s) for s in names])
+    x, y = codes[: len(a)], codes[len(a) :]
+    swap = size[x] > size[y]
+    x, y = np.where(swap, y, x), np.where(swap, x, y)
+    pairs, back = np.unique(x * len(names) + y, return_inverse=True)
+    x, y = pairs // len(names), pairs % len(names)
+    got = np.where(x == y, size[x], 0)
+    open_pairs = (x != y) & (size[x] > 0)
+    words = open_pairs & (size[x] <= WORD) & (size[y] <= 2 * WORD)
+    for i in np.flatnonzero(open_pairs & ~words):
+        got[i] = _lcs_long(names[x[i]], names[y[i]])
+    todo = np.flatnonzero(words)
+    if len(todo):
+        used, at = np.unique(np.concatenate([x[todo], y[todo]]), return_inverse=True)
+        width = max(int(size[used].max()), 1)
+        left = _codes([names[u] for u in used], width, 0xFFFFFFFF)
+        right = np.where(left == 0xFFFFFFFF, np.uint32(0xFFFFFFFE), left)
+        ax, ay = at[: len(todo)], at[len(todo) :]
+        order = np.argsort(size[y[todo]], kind="stable")
+        for lo in range(0, len(order), CHUNK):
+            part = order[lo : lo + CHUNK]
+            sx, sy = size[x[todo[part]]], size[y[todo[part]]]
+            got[todo[part]] = _lcs_words(left[ax[part], : sx.max()], right[ay[part], : sy.max()], sx)
+    return got[back]
 
 
 @F.pandas_udf(LongType())

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from leadlink.functions import text as T
 from leadlink.operators.simjoin import similar_within
-from leadlink.session import cut
+from leadlink.session import cut, spread
 
 PHONE_THRESHOLD = 70
 NAME_THRESHOLD = 90
@@ -46,8 +46,8 @@ def dominance(rows: DataFrame, rank: list[Column], threshold: int) -> DataFrame:
     `rows` has block, name_key, ord. Per (block, name) only the best row can dominate.
     """
     rows = rows.withColumn("_rank", F.struct(*rank, F.col("ord").alias("ord")))
-    reps = rows.where(F.col("block") != "").groupBy("block", "name_key").agg(F.min("_rank").alias("_best"))
-    pairs = similar_within(_names(rows), threshold)
+    reps = cut(spread(rows.where(F.col("block") != "").groupBy("block", "name_key").agg(F.min("_rank").alias("_best"))))
+    pairs = similar_within(_names(reps), threshold, distinct=True)
     both = pairs.select("block", F.col("name_a").alias("name_key"), F.col("name_b").alias("other"), "sim").unionByName(
         pairs.select("block", F.col("name_b").alias("name_key"), F.col("name_a").alias("other"), "sim")
     )
@@ -73,7 +73,7 @@ def sequential(rows: DataFrame, score: Column, threshold: int) -> DataFrame:
     reps = cut(
         rows.where(F.col("block") != "").groupBy("block", "name_key", "_score").agg(F.min("ord").alias("pos"))
     )
-    pairs = similar_within(reps.select("block", F.col("name_key").alias("name")), threshold)
+    pairs = similar_within(_names(reps), threshold)
     a, b = F.col("name_a"), F.col("name_b")
     sym = pairs.select("block", a.alias("x"), b.alias("y")).unionByName(pairs.select("block", b.alias("x"), a.alias("y")))
     sym = sym.unionByName(reps.select("block", F.col("name_key").alias("x"), F.col("name_key").alias("y")).distinct())
@@ -152,8 +152,8 @@ def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def similarity_components(rows: DataFrame, threshold: int) -> DataFrame:
     """Rows with `component`: rows of a block joined by chains of similar names."""
-    reps = cut(rows.where(F.col("block") != "").groupBy("block", "name_key").agg(F.min("ord").alias("id")))
-    pairs = similar_within(reps.select("block", F.col("name_key").alias("name")), threshold)
+    reps = cut(spread(rows.where(F.col("block") != "").groupBy("block", "name_key").agg(F.min("ord").alias("id"))))
+    pairs = similar_within(_names(reps), threshold, distinct=True)
     a = reps.select("block", F.col("name_key").alias("name_a"), F.col("id").alias("a"))
     b = reps.select("block", F.col("name_key").alias("name_b"), F.col("id").alias("b"))
     labels = components(pairs.join(a, ["block", "name_a"]).join(b, ["block", "name_b"]).select("a", "b"), reps)

@@ -27,10 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadlink.functions import similarity as SIM
+from leadlink.session import cut, spread
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SIG_SCHEMA = "block string, name string, band int, sig bigint, prefix array<int>"
+SIG_SCHEMA = "block string, name string, len int, band int, sig bigint, gram int, k int, rest int, head array<int>"
 GRAM_BITS = 30
 MAX_KEYS = 128
 
@@ -107,29 +108,36 @@ def ranked_grams(name: str, gram: int, ranks: dict[str, int]) -> list[int]:
 
 
 def signatures(name: str, plan, ranks: dict[int, dict[str, int]]):
-    """(band, key, prefix) rows of one name."""
+    """(band, key, gram, k, grams left after the key, grams up to the key) rows of one name."""
     for band, gram, k, size in plan:
-        prefix = ranked_grams(name, gram, ranks[gram])[:size]
-        for combo in itertools.combinations(prefix, k):
-            yield band, functools.reduce(lambda h, t: (h << GRAM_BITS) | t, combo, 0), prefix
+        grams = ranked_grams(name, gram, ranks[gram])
+        for spots in itertools.combinations(range(size), k):
+            key = functools.reduce(lambda h, i: (h << GRAM_BITS) | grams[i], spots, 0)
+            last = spots[-1] + 1
+            yield band, key, gram, k, len(grams) - last, grams[:last]
 
 
 def _emit(batches: Iterator[pa.RecordBatch], long_side: bool, threshold: int, ranks) -> Iterator[pa.RecordBatch]:
-    types = [pa.string(), pa.string(), pa.int32(), pa.int64(), pa.list_(pa.int32())]
-    fields = ["block", "name", "band", "sig", "prefix"]
+    i32 = pa.int32()
+    types = [pa.string(), pa.string(), i32, i32, pa.int64(), i32, i32, i32, pa.list_(i32)]
+    fields = ["block", "name", "len", "band", "sig", "gram", "k", "rest", "head"]
     plans: dict[int, list] = {}
+
+    def flush(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=fields)
+
     for batch in batches:
         rows: list[tuple] = []
         for block, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             plan = plans.get(len(name))
             if plan is None:
                 plan = plans[len(name)] = prefix_plan(len(name), long_side, threshold)
-            rows += [(block, name, b, s, p) for b, s, p in signatures(name, plan, ranks)]
+            rows += [(block, name, len(name), *sig) for sig in signatures(name, plan, ranks)]
             if len(rows) >= 20000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=fields)
+                yield flush(rows)
                 rows = []
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=fields)
+            yield flush(rows)
 
 
 def gram_ranks(names: DataFrame) -> dict[int, dict[str, int]]:
@@ -167,25 +175,22 @@ def _keys(names: DataFrame, long_side: bool, threshold: int, ranks) -> DataFrame
 
 
 def _meet(short: DataFrame, long: DataFrame, threshold: int, same_length: str) -> DataFrame:
+    """Pairs at their first k common grams, cheapest test first."""
     a, b = short.alias("a"), long.alias("b")
-    n, m = F.length("a.name"), F.length("b.name")
-    common = F.array_intersect("a.prefix", "b.prefix")
-    key = F.when(
-        F.size(common) >= 2, F.shiftleft(F.element_at(common, 1).cast("bigint"), GRAM_BITS).bitwiseOR(F.element_at(common, 2))
-    )
-    fits = (n < m) & (200 * n >= threshold * (n + m))
+    n, m = F.col("a.len"), F.col("b.len")
+    fits = n < m
     if same_length == "ordered":
         fits = fits | ((n == m) & (F.col("a.name") < F.col("b.name")))
     elif same_length == "all":
         fits = fits | (n == m)
-    cond = (
-        (F.col("a.block") == F.col("b.block")) & (F.col("a.band") == F.col("b.band")) & (F.col("a.sig") == F.col("b.sig"))
-    )
-    single = F.col("a.sig") < F.lit(1 << GRAM_BITS)
-    first_meeting = F.when(single, F.element_at(common, 1) == F.col("a.sig")).otherwise(key == F.col("a.sig"))
-    return (
-        a.join(b, cond & fits & first_meeting)
-        .select(F.col("a.block").alias("block"), F.col("a.name").alias("name_a"), F.col("b.name").alias("name_b"))
+    fits = fits & (200 * n >= threshold * (n + m))
+    lcs = F.expr(f"CAST(({threshold} * (a.len + b.len) + 199) DIV 200 AS INT)")
+    needed = F.when(F.col("a.gram") == 1, lcs).otherwise(3 * lcs - 1 - (n + m))
+    reachable = F.col("a.k") + F.least("a.rest", "b.rest") >= needed
+    first_meeting = F.size(F.array_intersect("a.head", "b.head")) == F.col("a.k")
+    same = (F.col("a.block") == F.col("b.block")) & (F.col("a.band") == F.col("b.band")) & (F.col("a.sig") == F.col("b.sig"))
+    return a.join(b, same & fits & reachable & first_meeting).select(
+        F.col("a.block").alias("block"), F.col("a.name").alias("name_a"), F.col("b.name").alias("name_b")
     )
 
 
@@ -200,15 +205,16 @@ def _verify(pairs: DataFrame, threshold: int) -> DataFrame:
 
 
 def _usable(df: DataFrame) -> DataFrame:
-    return df.select("block", "name").where((F.col("block") != "") & (F.col("name") != "")).distinct()
+    return df.select("block", "name").where((F.col("block") != "") & (F.col("name") != ""))
 
 
-def similar_within(df: DataFrame, threshold: int) -> DataFrame:
+def similar_within(df: DataFrame, threshold: int, distinct: bool = False) -> DataFrame:
     """Similar pairs of different names in the same block: block, name_a, name_b, sim.
 
-    `df` has string columns block and name; copies are collapsed first.
+    `df` has string columns block and name. Copies are collapsed into a checkpointed table of
+    distinct names first, unless the caller passes such a table (`distinct`).
     """
-    names = _usable(df)
+    names = _usable(df) if distinct else cut(spread(_usable(df).distinct()))
     ranks = gram_ranks(names)
     pairs = _meet(_keys(names, False, threshold, ranks), _keys(names, True, threshold, ranks), threshold, "ordered")
     return _verify(pairs, threshold)
@@ -216,7 +222,7 @@ def similar_within(df: DataFrame, threshold: int) -> DataFrame:
 
 def similar_between(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame:
     """Similar pairs of a left and a right name in the same block (equal names too)."""
-    a, b = _usable(left), _usable(right)
+    a, b = cut(spread(_usable(left).distinct())), cut(spread(_usable(right).distinct()))
     ranks = gram_ranks(a.unionByName(b))
     left_short = _meet(_keys(a, False, threshold, ranks), _keys(b, True, threshold, ranks), threshold, "all")
     right_short = _meet(_keys(b, False, threshold, ranks), _keys(a, True, threshold, ranks), threshold, "none").select(

@@ -30,3 +30,9 @@ def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of any executor."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Even partitions for rows whose processing costs far more than their size suggests."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
