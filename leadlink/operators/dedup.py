@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadlink.functions import text as T
-from leadlink.operators.simjoin import similar_within
+from leadlink.operators.keyed import number_within
+from leadlink.operators.simjoin import gram_ranks, similar_between, similar_within
 from leadlink.session import cut, spread
 
 PHONE_THRESHOLD = 70
@@ -40,21 +41,42 @@ def _names(rows: DataFrame) -> DataFrame:
     return rows.select("block", F.col("name_key").alias("name"))
 
 
+FIRST_LEADERS, LEADER_GROWTH = 256, 16
+
+
 def dominance(rows: DataFrame, rank: list[Column], threshold: int) -> DataFrame:
     """Rows with `kept_ord`, `sim`: null where the row stays, else its best dominator.
 
     `rows` has block, name_key, ord. Per (block, name) only the best row can dominate.
+    Names meet the leaders of their block in rank order, a first few, then ever larger
+    slices; a name leaves as soon as it meets a similar leader, because every later one
+    ranks worse. A dense group of near copies so costs a few comparisons per name, not all
+    pairs, and the answer is still exact.
     """
     rows = rows.withColumn("_rank", F.struct(*rank, F.col("ord").alias("ord")))
-    reps = cut(spread(rows.where(F.col("block") != "").groupBy("block", "name_key").agg(F.min("_rank").alias("_best"))))
-    pairs = similar_within(_names(reps), threshold, distinct=True)
-    both = pairs.select("block", F.col("name_a").alias("name_key"), F.col("name_b").alias("other"), "sim").unionByName(
-        pairs.select("block", F.col("name_b").alias("name_key"), F.col("name_a").alias("other"), "sim")
-    )
-    others = reps.select("block", F.col("name_key").alias("other"), F.col("_best").alias("_rank"))
-    rivals = both.join(others, ["block", "other"]).select("block", "name_key", F.struct("_rank", "sim").alias("d"))
-    own = reps.select("block", "name_key", F.struct(F.col("_best").alias("_rank"), F.lit(100.0).alias("sim")).alias("d"))
-    leader = own.unionByName(rivals).groupBy("block", "name_key").agg(F.min("d").alias("d"))
+    reps = rows.where(F.col("block") != "").groupBy("block", "name_key").agg(F.min("_rank").alias("_best"))
+    reps = cut(spread(number_within(reps, ["block"], ["_best"]).withColumnRenamed("name_key", "name")))
+    ranks = gram_ranks(reps.select("block", "name"))
+    largest = reps.agg(F.max("i")).first()[0] or 0
+    own = reps.select("block", "name", F.struct(F.col("_best").alias("_rank"), F.lit(100.0).alias("sim")).alias("d"))
+    undecided, low, high = reps.where("i > 1"), 0, FIRST_LEADERS
+    leaders = own
+    while low < largest:
+        head = reps.where((F.col("i") > low) & (F.col("i") <= high))
+        pairs = similar_between(undecided, head, threshold, distinct=True, ranks=ranks).where("name_a <> name_b")
+        met = (
+            pairs.join(head.select("block", F.col("name").alias("name_b"), F.col("_best").alias("_rank"), F.col("i").alias("_j")), ["block", "name_b"])
+            .join(undecided.select("block", F.col("name").alias("name_a"), "i"), ["block", "name_a"])
+            .where("_j < i")
+            .groupBy("block", F.col("name_a").alias("name"))
+            .agg(F.min(F.struct("_rank", "sim")).alias("d"))
+        )
+        if high < largest:
+            met = cut(met)
+            undecided = cut(spread(undecided.where(F.col("i") > high).join(met, ["block", "name"], "left_anti")))
+        leaders = leaders.unionByName(met)
+        low, high = high, high * LEADER_GROWTH
+    leader = leaders.groupBy("block", F.col("name").alias("name_key")).agg(F.min("d").alias("d"))
     beaten = F.col("d._rank") < F.col("_rank")
     return rows.join(leader, ["block", "name_key"], "left").select(
         *[c for c in rows.columns if c != "_rank"],

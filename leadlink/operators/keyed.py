@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadlink.functions import text as T
+from leadlink.session import cut
 
 PRIORITY_ORDER = {"Haute": 0, "Moyenne": 1, "Basse": 2}
 
@@ -131,6 +132,25 @@ def cap_per_group(df: DataFrame, group: list[str], order: list, limit: int) -> D
     return df.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= limit)
 
 
+def number_within(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """Adds `i` (1, 2, ... in order inside each group) and `n` (size of the group).
+
+    Rows are range-partitioned on (group, order), numbered inside each slice and shifted by
+    the sizes of the slices before it, so a group of any size is numbered by many tasks.
+    The checkpoint fixes the slices between the two passes.
+    """
+    slices = cut(df.repartitionByRange(*by, *order).withColumn("_s", F.spark_partition_id()))
+    sizes = slices.groupBy(*by, "_s").agg(F.count("*").alias("_c"))
+    w = Window.partitionBy(*by)
+    before = sizes.select(
+        *by, "_s", (F.sum("_c").over(w.orderBy("_s")) - F.col("_c")).alias("_before"), F.sum("_c").over(w).alias("n")
+    )
+    inside = F.row_number().over(Window.partitionBy(*by, "_s").orderBy(*order))
+    return slices.withColumn("_i", inside).join(before, [*by, "_s"]).select(
+        *df.columns, (F.col("_before") + F.col("_i")).alias("i"), "n"
+    )
+
+
 def duplicates_of(df: DataFrame, kept: DataFrame, keys: list[str], stage: str) -> DataFrame:
     """Audit rows for what a first-per-key stage dropped: which row stayed, which went."""
     first = kept.select(*keys, F.col("ord").alias("kept_ord"))

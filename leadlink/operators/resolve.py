@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from leadlink.functions import similarity as SIM
 from leadlink.functions import text as T
 from leadlink.operators.simjoin import similar_between
+from leadlink.session import cut, spread
 
 REGISTRY_THRESHOLD = 80
 BACKFILL_THRESHOLD = 85
@@ -170,8 +171,8 @@ def backfill_phones(leads: DataFrame, listings: DataFrame) -> DataFrame:
     """Leads without a phone take that of the most similar listing of their postal code.
 
     leads: lead_id, name, cp, phone, phone_source. listings: ord, cp_norm, name_clean, phone.
-    The first listing per (postal code, name) stands for its copies; an existing phone is
-    never touched.
+    The first listing per (postal code, name) stands for its copies, and an equal name needs
+    no comparison; an existing phone is never touched.
     """
     key = T.token_sort(T.clean_name_link(F.col("name")))
     lack = leads.where(T.strip(F.col("phone")) == "").select(
@@ -180,9 +181,16 @@ def backfill_phones(leads: DataFrame, listings: DataFrame) -> DataFrame:
     pool = listings.where(F.col("cp_norm") != "").groupBy(
         F.col("cp_norm").alias("block"), T.token_sort(F.col("name_clean")).alias("name_b")
     ).agg(F.min(F.struct("ord", "phone")).alias("first"))
-    pairs = similar_between(
-        lack.select("block", F.col("name_a").alias("name")), pool.select("block", F.col("name_b").alias("name")), BACKFILL_THRESHOLD
-    )
+    pool = cut(spread(pool))
+    wanted = cut(spread(lack.where("block <> '' AND name_a <> ''").select("block", "name_a").distinct()))
+    same = wanted.join(pool.select("block", F.col("name_b").alias("name_a"), "first"), ["block", "name_a"])
+    exact = same.select("block", "name_a", F.col("name_a").alias("name_b"), F.lit(100.0).alias("sim"))
+    rest = cut(wanted.join(pool.select("block", F.col("name_b").alias("name_a")), ["block", "name_a"], "left_anti"))
+    near = similar_between(
+        rest.select("block", F.col("name_a").alias("name")), pool.select("block", F.col("name_b").alias("name")),
+        BACKFILL_THRESHOLD, distinct=True,
+    )
+    pairs = exact.unionByName(near)
     best = pairs.join(pool, ["block", "name_b"]).groupBy("block", "name_a").agg(
         F.min(F.struct((-F.col("sim")).alias("neg"), "first")).alias("m")
     )

@@ -220,10 +220,12 @@ def similar_within(df: DataFrame, threshold: int, distinct: bool = False) -> Dat
     return _verify(pairs, threshold)
 
 
-def similar_between(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame:
+def similar_between(left: DataFrame, right: DataFrame, threshold: int, distinct: bool = False, ranks=None) -> DataFrame:
     """Similar pairs of a left and a right name in the same block (equal names too)."""
-    a, b = cut(spread(_usable(left).distinct())), cut(spread(_usable(right).distinct()))
-    ranks = gram_ranks(a.unionByName(b))
+    a, b = _usable(left), _usable(right)
+    if not distinct:
+        a, b = cut(spread(a.distinct())), cut(spread(b.distinct()))
+    ranks = ranks or gram_ranks(a.unionByName(b))
     left_short = _meet(_keys(a, False, threshold, ranks), _keys(b, True, threshold, ranks), threshold, "all")
     right_short = _meet(_keys(b, False, threshold, ranks), _keys(a, True, threshold, ranks), threshold, "none").select(
         "block", F.col("name_b").alias("name_a"), F.col("name_a").alias("name_b")

@@ -23,24 +23,26 @@ def crossed(spark, sf):
 _FILL = ["name", "naf", "address", "city", "cp", "phone", "search_city", "collected_on"]
 
 
-def _merged_sql() -> str:
-    """CTE bodies live, pot, merged over offer and potential."""
-    live_cols = ", ".join(f"arg_min({c}, ord) AS {c}" for c in _FILL)
+def _merged_sql(scope: str = "") -> str:
+    """CTE bodies live, pot, merged over offer and potential, inside a scope column if given."""
+    fill = [c for c in _FILL if c != scope]
+    keys = f"{scope}, siret" if scope else "siret"
+    live_cols = ", ".join(f"arg_min({c}, ord) AS {c}" for c in fill)
     pot_cols = ", ".join(
-        f"arg_min({c}, ord) AS {c}, arg_min({c}, ord) FILTER (WHERE trim({c}) <> '') AS f_{c}" for c in [*_FILL, "lbb_score"]
+        f"arg_min({c}, ord) AS {c}, arg_min({c}, ord) FILTER (WHERE trim({c}) <> '') AS f_{c}" for c in [*fill, "lbb_score"]
     )
     out = ", ".join(
-        f"coalesce(CASE WHEN trim(l.{c}) <> '' THEN l.{c} END, p.f_{c}, l.{c}, p.{c}) AS {c}" for c in _FILL
+        f"coalesce(CASE WHEN trim(l.{c}) <> '' THEN l.{c} END, p.f_{c}, l.{c}, p.{c}) AS {c}" for c in fill
     )
     return f"""
-      live AS (SELECT siret, {live_cols}, count(*) AS n, min(ord) AS ord FROM offer WHERE siret <> '' GROUP BY siret),
-      pot AS (SELECT siret, {pot_cols}, count(*) AS n, min(ord) AS ord FROM potential WHERE siret <> '' GROUP BY siret),
+      live AS (SELECT {keys}, {live_cols}, count(*) AS n, min(ord) AS ord FROM offer WHERE siret <> '' GROUP BY {keys}),
+      pot AS (SELECT {keys}, {pot_cols}, count(*) AS n, min(ord) AS ord FROM potential WHERE siret <> '' GROUP BY {keys}),
       merged AS (
-        SELECT coalesce(l.siret, p.siret) AS siret, {out}, coalesce(p.f_lbb_score, p.lbb_score, '') AS lbb_score,
-          CASE WHEN l.siret IS NULL THEN 'LBB' WHEN p.siret IS NULL THEN 'LBA' ELSE 'LBA + LBB' END AS source,
-          CAST(l.n AS BIGINT) AS offers, l.siret IS NOT NULL AND p.siret IS NOT NULL AS was_duplicate,
+        SELECT {keys}, {out}, coalesce(p.f_lbb_score, p.lbb_score, '') AS lbb_score,
+          CASE WHEN l.n IS NULL THEN 'LBB' WHEN p.n IS NULL THEN 'LBA' ELSE 'LBA + LBB' END AS source,
+          CAST(l.n AS BIGINT) AS offers, l.n IS NOT NULL AND p.n IS NOT NULL AS was_duplicate,
           coalesce(l.ord, p.ord) AS ord, coalesce(l.n, 0) AS n_live, coalesce(p.n, 0) AS n_potential
-        FROM live l FULL JOIN pot p ON l.siret = p.siret)"""
+        FROM live l FULL JOIN pot p USING ({keys}))"""
 
 
 MERGED = ctes("offer", "potential") + "," + _merged_sql()

@@ -171,14 +171,14 @@ def request_status(spark, sf):
     return _params(spark, sf).groupBy("status").agg(F.count("*").alias("n"))
 
 
-_FOLDER = "CASE c_custkey % 5 WHEN 0 THEN 'batch_' || c_custkey WHEN 1 THEN 'batch_' || c_custkey || '_old' WHEN 2 THEN 'Batch_9999999' ELSE c_name END"
+FOLDER = "CASE c_custkey % 5 WHEN 0 THEN 'batch_' || c_custkey WHEN 1 THEN 'batch_' || c_custkey || '_old' WHEN 2 THEN 'Batch_9999999' ELSE c_name END"
 
 
 @query("next_batch_number", f"""SELECT c_mktsegment AS sector,
   CAST(coalesce(max(TRY_CAST(nullif(regexp_extract(f, '^batch_([0-9]+)$', 1), '') AS INTEGER)), 0) + 1 AS INTEGER) AS next_batch
-  FROM (SELECT c_mktsegment, {_FOLDER} AS f FROM customer) GROUP BY 1""")
+  FROM (SELECT c_mktsegment, {FOLDER} AS f FROM customer) GROUP BY 1""")
 def next_batch_number(spark, sf):
-    folders = table(spark, sf, "customer").selectExpr("c_mktsegment AS sector", f"{_FOLDER} AS folder")
+    folders = table(spark, sf, "customer").selectExpr("c_mktsegment AS sector", f"{FOLDER} AS folder")
     return files.next_batch(folders, ["sector"])
 
 

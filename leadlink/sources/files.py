@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as P
-from pyspark.sql import Window
 
-from leadlink.session import cut
+from leadlink.operators.keyed import number_within
 
 
 def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
@@ -111,19 +110,5 @@ def next_batch(folders: DataFrame, by: list[str], name: str = "folder") -> DataF
 
 
 def numbered(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
-    """Progress marks "[i/n]" inside each group.
-
-    Rows are range-partitioned on (group, order), numbered inside each slice and shifted by
-    the sizes of the slices before it, so a group of any size is numbered by many tasks.
-    The checkpoint fixes the slices between the two passes.
-    """
-    slices = cut(df.repartitionByRange(*by, *order).withColumn("_s", F.spark_partition_id()))
-    sizes = slices.groupBy(*by, "_s").agg(F.count("*").alias("_c"))
-    w = Window.partitionBy(*by).orderBy("_s")
-    before = sizes.select(
-        *by, "_s", (F.sum("_c").over(w) - F.col("_c")).alias("_before"), F.sum("_c").over(Window.partitionBy(*by)).alias("_n")
-    )
-    inside = F.row_number().over(Window.partitionBy(*by, "_s").orderBy(*order))
-    return slices.withColumn("_i", inside).join(before, [*by, "_s"]).select(
-        *df.columns, F.format_string("[%d/%d]", F.col("_before") + F.col("_i"), "_n").alias("progress")
-    )
+    """Progress marks "[i/n]" inside each group."""
+    return number_within(df, by, order).select(*df.columns, F.format_string("[%d/%d]", "i", "n").alias("progress"))

@@ -160,3 +160,16 @@ def test_components_against_union_find(spark):
     e = spark.createDataFrame(edges, "a bigint, b bigint")
     n = spark.createDataFrame([(i,) for i in range(130)], "id bigint")
     assert {r.id: r.component for r in dedup.components(e, n).collect()} == {i: find(i) for i in range(130)}
+
+
+def test_leader_rounds_give_the_same_answer(spark, monkeypatch):
+    """Several rounds of leaders, as large blocks need, against brute force."""
+    monkeypatch.setattr(dedup, "FIRST_LEADERS", 3)
+    monkeypatch.setattr(dedup, "LEADER_GROWTH", 4)
+    rng, names = fixture_names(21, 120)
+    rows = [(i, rng.choice(["hot", "hot", "hot", "cold"]), rng.choice(names), rng.randint(0, 2)) for i in range(150)]
+    df = spark.createDataFrame(rows, "ord bigint, block string, name_key string, s int")
+    got = {r.ord: r.kept_ord for r in dedup.dominance(df, [F.col("s").alias("s")], 85).collect()}
+    for o, b, n, s in rows:
+        better = [(s2, o2) for o2, b2, n2, s2 in rows if b2 == b and (s2, o2) < (s, o) and similar(n, n2, 85)]
+        assert got[o] == (min(better)[1] if better else None)
