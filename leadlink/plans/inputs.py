@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from leadlink.session import widen
+
 RUN_DATE = "2026-02-23"
 EXPECTED_NAF = ["10.71", "47.11", "86.10Z"]
 
@@ -17,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+    """Columns of a table whose rows are costly to process."""
+    return widen(table(spark, sf_dir, name).select(*cols))
+
+
 _PAIR = "CAST((p_partkey - p_partkey % 2) / 2 AS BIGINT)"
 _CITY = (
     "CASE p_size % 6 WHEN 0 THEN 'Saint-Denis' WHEN 1 THEN 'Lyon' WHEN 2 THEN 'Évry' WHEN 3 THEN 'Paris 20' "

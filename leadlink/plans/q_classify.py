@@ -9,7 +9,7 @@ from leadlink import refdata as R
 from leadlink.operators import classify as C
 from leadlink.operators import report
 from leadlink.plans import duck as D
-from leadlink.plans.inputs import EXPECTED_NAF, ctes, view
+from leadlink.plans.inputs import EXPECTED_NAF, ctes, texts, view
 from leadlink.plans.registry import query
 
 
@@ -220,7 +220,7 @@ def brand_exclusion(spark, sf):
 @query("brand_exclusion_in_texts", ctes("raw") + f"""
   SELECT brand, count(*) AS n FROM (SELECT {_brand_case('t')} AS brand FROM (SELECT {D.ascii_fold('lower(text)')} AS t FROM raw)) GROUP BY brand""")
 def brand_exclusion_in_texts(spark, sf):
-    return C.tag_excluded_brand(view(spark, sf, "raw"), "text").groupBy("brand").agg(F.count("*").alias("n"))
+    return C.tag_excluded_brand(texts(spark, sf, "documents", "text"), "text").groupBy("brand").agg(F.count("*").alias("n"))
 
 
 _PICKED = [i for i in range(len(R.catalogue_rows()))]

@@ -8,7 +8,7 @@ from leadlink import refdata as R
 from leadlink.functions import text as T
 from leadlink.operators.merge import LEAD_COLUMNS
 from leadlink.plans import duck as D
-from leadlink.plans.inputs import ctes, table, view
+from leadlink.plans.inputs import ctes, table, texts, view
 from leadlink.plans.q_core import crossed, CROSSED
 from leadlink.plans.registry import query
 from leadlink.session import fresh_path
@@ -43,7 +43,7 @@ def _signal_json(spark, sf):
         F.when(k % 8 == 1, F.lit("haut")).alias("hiring_potential"),
     )
     body = F.to_json(F.struct(F.when(k % 10 != 0, F.array(job)).alias("jobs"), F.when(k % 4 != 1, F.array(recruiter)).alias("recruiters")))
-    return table(spark, sf, "orders").select("o_orderkey", body.alias("body"))
+    return texts(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus").select("o_orderkey", body.alias("body"))
 
 
 @query("json_signal_ingest", f"""WITH j AS (SELECT o_orderkey, 'LBA' AS source,
@@ -183,7 +183,7 @@ _TXT = lambda x: D.strip(_ENT(f"regexp_replace({x}, '(?s)<[^>]*>', '', 'g')"))
     CASE WHEN href LIKE 'http%' AND NOT contains(href, 'example.org') THEN href ELSE '' END AS website,
     CASE WHEN length(name) < 200 THEN name ELSE '' END AS category, {D.phone_valid(D.digits('name'))} AS phone FROM f WHERE name <> ''""")
 def html_listing_extract(spark, sf):
-    return H.listings(table(spark, sf, "pages"), PAGE_LINKS).select(
+    return H.listings(texts(spark, sf, "pages", "page_id", "url", "html"), PAGE_LINKS).select(
         "page_id", "block_pos", "name", "listing_url", "website", "category", "phone"
     )
 
@@ -198,7 +198,7 @@ def html_listing_extract(spark, sf):
     CASE WHEN regexp_matches(full_address, '{T.CP_CITY_NO_QUOTE}') THEN {D.title(D.strip(f"regexp_extract(full_address, '{T.CP_CITY_NO_QUOTE}', 2)"))} ELSE 'Toulouse' END AS city
   FROM g WHERE name <> ''""")
 def html_old_layout(spark, sf):
-    pages = table(spark, sf, "pages").select(
+    pages = texts(spark, sf, "pages", "page_id", "url", "html").select(
         "*", F.lit("hôtel").alias("keyword"), F.lit("training").alias("training"), F.lit("31").alias("dept"), F.lit("Toulouse").alias("city"))
     return H.old_listings(pages, PAGE_ARTICLE).select("page_id", "block_pos", "name", "full_address", "website", "cp", "city")
 
@@ -208,7 +208,7 @@ def html_old_layout(spark, sf):
     ('phone', 0, 'href="tel:'), ('phone', 1, '<a\\b'), ('website', 0, '<a\\b[^>]*href="'), ('category', 0, '<a\\b[^>]*class="[^"]*activite'), ('category', 1, '<a\\b')) t(part, pos, re))
   SELECT part, pos, count(*) FILTER (WHERE regexp_matches(block, '(?is)' || re)) AS n_hit, count(*) AS n_blocks FROM sel, b GROUP BY ALL""")
 def selector_coverage(spark, sf):
-    return H.selector_coverage(table(spark, sf, "pages"), PAGE_LINKS)
+    return H.selector_coverage(texts(spark, sf, "pages", "page_id", "url", "html"), PAGE_LINKS)
 
 
 # --- files -----------------------------------------------------------------------

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from leadlink.functions import similarity as SIM
 from leadlink.functions import text as T
 from leadlink.plans import duck as D
-from leadlink.plans.inputs import ctes, table, view
+from leadlink.plans.inputs import ctes, table, texts, view
 from leadlink.plans.registry import query
 
 
@@ -41,7 +41,7 @@ def normalize_phones(spark, sf):
     {D.keywords('text')} AS keywords FROM raw""")
 def normalize_names(spark, sf):
     t = F.col("text")
-    return view(spark, sf, "raw").select(
+    return texts(spark, sf, "documents", "doc_id", "text").select(
         "doc_id", T.clean_name_link(t).alias("link"), T.clean_name_profile(t).alias("profile"),
         T.clean_name_keywords(t).alias("keywords"),
     )
@@ -51,17 +51,17 @@ def normalize_names(spark, sf):
   SELECT conv_id, turn, {D.clean("'Sas ' || text || ' EI sasu'", T.LEGAL_FORMS_REGISTRY, accents=True)} AS cleaned FROM conversations""")
 def normalize_names_registry(spark, sf):
     named = F.concat(F.lit("Sas "), F.col("text"), F.lit(" EI sasu"))
-    return table(spark, sf, "conversations").select("conv_id", "turn", T.clean_name_registry(named).alias("cleaned"))
+    return texts(spark, sf, "conversations", "conv_id", "turn", "text").select("conv_id", "turn", T.clean_name_registry(named).alias("cleaned"))
 
 
 @query("strip_accents", ctes("raw") + f" SELECT doc_id, {D.ascii_fold('text')} AS plain FROM raw")
 def strip_accents(spark, sf):
-    return view(spark, sf, "raw").select("doc_id", T.strip_accents(F.col("text")).alias("plain"))
+    return texts(spark, sf, "documents", "doc_id", "text").select("doc_id", T.strip_accents(F.col("text")).alias("plain"))
 
 
 @query("title_case", f" SELECT conv_id, turn, {D.title('text')} AS titled FROM conversations")
 def title_case(spark, sf):
-    return table(spark, sf, "conversations").select("conv_id", "turn", T.title_case(F.col("text")).alias("titled"))
+    return texts(spark, sf, "conversations", "conv_id", "turn", "text").select("conv_id", "turn", T.title_case(F.col("text")).alias("titled"))
 
 
 _A = "address"
@@ -98,7 +98,7 @@ def normalize_addresses(spark, sf):
     {D.title(D.strip(f"regexp_extract(text, '{_CPC.replace(chr(39), chr(39)*2)}', 2)"))} AS city FROM raw""")
 def addresses_in_text(spark, sf):
     d = T.cp_and_city(F.col("text"))
-    return view(spark, sf, "raw").select("doc_id", d["cp"].alias("cp"), d["city"].alias("city"))
+    return texts(spark, sf, "documents", "doc_id", "text").select("doc_id", d["cp"].alias("cp"), d["city"].alias("city"))
 
 
 _ENC = "replace(replace(replace(url_encode({x}), '%2F', '/'), '%7E', '~'), '*', '%2A')"
