@@ -62,8 +62,7 @@ def _signal_json(spark, sf):
   u AS (SELECT * FROM j UNION ALL SELECT * FROM r)
   SELECT o_orderkey, source, lpad(siret, 14, '0') AS siret, name, naf, address, city, cp, phone, lbb_score, offers FROM u WHERE siret <> ''""")
 def json_signal_ingest(spark, sf):
-    live, potential = J.signals(J.parse(_signal_json(spark, sf), "body", J.SIGNALS_SCHEMA), ["o_orderkey"])
-    return live.unionByName(potential).drop("item_pos")
+    return J.signal_rows(J.parse(_signal_json(spark, sf), "body", J.SIGNALS_SCHEMA), ["o_orderkey"]).drop("item_pos")
 
 
 def _registry_json(spark, sf):

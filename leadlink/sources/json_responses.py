@@ -72,14 +72,30 @@ def _signal_fields(i: str, live: bool) -> list[Column]:
     ]
 
 
-def signals(responses: DataFrame, keep: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Live-offer rows and hiring-potential rows; a missing array is an empty one."""
+def signal_rows(responses: DataFrame, keep: list[str]) -> DataFrame:
+    """Live-offer and hiring-potential rows in one pass; a missing array is an empty one.
+
+    Both arrays are tagged and exploded together, so a response is read and parsed once. The
+    outer explode matters: for an inner one the optimizer adds a size filter below it, which
+    would parse the JSON text again.
+    """
 
-    def side(array: str, live: bool) -> DataFrame:
-        rows = responses.select(*keep, F.posexplode(array).alias("item_pos", "i")).where(F.col("i").isNotNull())
-        return rows.select(*keep, "item_pos", *_signal_fields("i", live)).where(F.col("siret") != "")
+    def tagged(array: str, live: bool) -> Column:
+        return F.transform(array, lambda x, n: F.struct(F.lit(live).alias("live"), n.alias("pos"), x.alias("i")))
 
-    return side("jobs", True), side("recruiters", False)
+    jobs, recruiters = tagged("jobs", True), tagged("recruiters", False)
+    items = F.when(F.col("jobs").isNull(), recruiters).when(F.col("recruiters").isNull(), jobs).otherwise(F.concat(jobs, recruiters))
+    rows = responses.select(*keep, F.explode_outer(items).alias("t")).where(F.col("t.i").isNotNull())
+    names = ["name", "siret", "naf", "address", "city", "cp", "phone", "lbb_score", "source", "offers"]
+    sides = zip(names, _signal_fields("t.i", True), _signal_fields("t.i", False))
+    fields = [F.when(F.col("t.live"), a).otherwise(b).alias(n) for n, a, b in sides]
+    return rows.select(*keep, F.col("t.pos").alias("item_pos"), *fields).where(F.col("siret") != "")
+
+
+def signals(responses: DataFrame, keep: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The two kinds of rows as separate frames."""
+    rows = signal_rows(responses, keep)
+    return rows.where("source = 'LBA'"), rows.where("source = 'LBB'")
 
 
 def _trade_name(site: str, fallback: str) -> Column:
@@ -104,7 +120,7 @@ def registry_sites(responses: DataFrame, keep: list[str]) -> DataFrame:
 
     responses: commune, requested_naf and the parsed response columns.
     """
-    r = responses.select(*keep, "commune", "requested_naf", F.posexplode("results").alias("result_pos", "r"))
+    r = responses.select(*keep, "commune", "requested_naf", F.posexplode_outer("results").alias("result_pos", "r")).where(F.col("r").isNotNull())
     listed = F.coalesce(F.size("r.matching_etablissements"), F.lit(0)) > 0
     a = r.where(listed).select(*keep, "commune", "requested_naf", "result_pos", "r", F.posexplode("r.matching_etablissements").alias("site_pos", "e"))
     b = r.where(~listed).withColumn("site_pos", F.lit(0)).withColumn("e", F.col("r.siege"))
@@ -115,7 +131,7 @@ def registry_sites(responses: DataFrame, keep: list[str]) -> DataFrame:
 
 def registry_candidates(responses: DataFrame, keep: list[str]) -> DataFrame:
     """Candidates of a name search: position, up to three names, head-office fields."""
-    r = responses.select(*keep, F.posexplode("results").alias("pos", "r"))
+    r = responses.select(*keep, F.posexplode_outer("results").alias("pos", "r")).where(F.col("r").isNotNull())
     sign = F.get(F.col("r.siege.liste_enseignes"), F.lit(0))
     return r.select(
         *keep, "pos",
@@ -128,7 +144,7 @@ def registry_candidates(responses: DataFrame, keep: list[str]) -> DataFrame:
 def profile_companies(responses: DataFrame, keep: list[str]) -> DataFrame:
     """Companies of a profile search; the array may sit under either of two names."""
     arr = F.when(F.coalesce(F.size("resultats"), F.lit(0)) > 0, F.col("resultats")).otherwise(F.col("results"))
-    r = responses.select(*keep, F.posexplode(arr).alias("pos", "c"))
+    r = responses.select(*keep, F.posexplode_outer(arr).alias("pos", "c")).where(F.col("c").isNotNull())
     people = F.when(F.coalesce(F.size("c.representants"), F.lit(0)) > 0, F.col("c.representants")).otherwise(F.col("c.dirigeants"))
     years = F.when(F.coalesce(F.size("c.finances"), F.lit(0)) > 0, F.col("c.finances")).otherwise(F.col("c.comptes"))
     boss = F.get(people, F.lit(0))
