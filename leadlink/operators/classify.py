@@ -103,7 +103,7 @@ def resolve_profiles(requests: DataFrame, spark: SparkSession) -> DataFrame:
     ).withColumn("_name", F.coalesce("_new", "profile"))
     j = j.join(F.broadcast(prof.select(F.col("profile").alias("_name"), "label", "nafs")), "_name", "left")
     g = j.groupBy("request_id").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce("nafs", F.array().cast("array<string>")))))).alias("codes"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.coalesce("nafs", F.array().cast("array<string>")))))).alias("codes"),
         F.array_sort(F.collect_list(F.when(F.col("label").isNotNull(), F.struct("pos", "label")))).alias("_labels"),
         F.array_sort(F.collect_set(F.when(F.col("label").isNull(), F.col("profile")))).alias("unknown"),
     )
@@ -223,5 +223,5 @@ def top_counts(df: DataFrame, key: str, limit: int = 10) -> DataFrame:
     """The most frequent values, each with how many further values there are."""
     counts = df.groupBy(key).agg(F.count("*").alias("n"))
     top = counts.orderBy(F.desc("n"), key).limit(limit)
-    others = counts.agg(F.greatest(F.count("*") - limit, F.lit(0)).alias("n_others"))
-    return top.join(F.broadcast(others))
+    others = counts.agg(F.lit(1).alias("_one"), F.greatest(F.count("*") - limit, F.lit(0)).alias("n_others"))
+    return top.withColumn("_one", F.lit(1)).join(F.broadcast(others), "_one").drop("_one")

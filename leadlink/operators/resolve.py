@@ -204,6 +204,18 @@ def backfill_phones(leads: DataFrame, listings: DataFrame) -> DataFrame:
     )
 
 
+def not_done(rows: DataFrame, progress: DataFrame) -> DataFrame:
+    """Rows whose key is not in a progress table that may be far larger than the rows.
+
+    The progress keys are first reduced to those among the rows, so a small batch costs a
+    scan of the progress table and no shuffle of it.
+    """
+    keyed = rows.withColumn("_n", F.lower("name")).withColumn("_cp", F.col("cp"))
+    here = keyed.select("_n", "_cp").distinct()
+    seen = progress.select(F.lower("name").alias("_n"), F.col("cp").alias("_cp")).join(here, ["_n", "_cp"], "left_semi")
+    return keyed.join(seen.distinct(), ["_n", "_cp"], "left_anti").select(*rows.columns)
+
+
 def todo_and_done(rows: DataFrame, progress: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Resume: rows not processed yet, and rows answered by the progress table.
 

@@ -212,9 +212,6 @@ def selector_coverage(spark, sf):
 
 # --- files -----------------------------------------------------------------------
 
-_CITY_FILE = "lower(replace(city, ' ', '_'))"
-
-
 @query("sinks_roundtrip", ctes("listing") + """
   SELECT ord, siret, name, address, cp, city, phone, website, search_city AS part FROM listing""")
 def sinks_roundtrip(spark, sf):
@@ -235,6 +232,25 @@ def leads_csv_roundtrip(spark, sf):
     return back.select(*[F.col(f"`{d}`").alias(c) for c, d in R.LEAD_DISPLAY.items()])
 
 
+_STAGES = {"listing": (R.LISTING_DISPLAY, "listing"), "signal": (R.SIGNAL_DISPLAY, "potential")}
+
+
+@query("stage_csv_roundtrip", ctes("listing", "potential") + """
+  SELECT 'listing' AS stage, name, address, cp, phone, collected_on, '' AS lbb_score FROM listing
+  UNION ALL SELECT 'signal', name, address, cp, phone, collected_on, lbb_score FROM potential""")
+def stage_csv_roundtrip(spark, sf):
+    """Stage files under their display names; columns a source lacks come back blank."""
+    out = []
+    for stage, (display, source) in _STAGES.items():
+        path = fresh_path(spark, stage)
+        sink.write_stage(view(spark, sf, source), path, display)
+        back = files.read_csv(spark, path, list(display.values()))
+        names = {c: F.col(f"`{d}`").alias(c) for c, d in display.items()}
+        keep = [names[c] for c in ("name", "address", "cp", "phone", "collected_on")]
+        out.append(back.select(F.lit(stage).alias("stage"), *keep, names.get("lbb_score", F.lit("").alias("lbb_score"))))
+    return out[0].unionByName(out[1])
+
+
 @query("superset_roundtrip", """
   SELECT 'customer' AS kind, c_name AS name, CAST(c_custkey AS VARCHAR) AS id, c_mktsegment AS segment, '' AS extra, '' AS director FROM customer
   UNION ALL SELECT 'supplier', s_name, CAST(s_suppkey AS VARCHAR), '', 'x', '' FROM supplier""")
@@ -248,14 +264,14 @@ def superset_roundtrip(spark, sf):
 
 
 @query("sector_outputs", ctes("listing") + """
-  SELECT city AS sector, count(*) AS n_sector, (SELECT count(*) FROM listing) AS n_all FROM listing GROUP BY city""")
+  SELECT city AS sector, count(*) AS n_sector, count(*) AS n_consolidated FROM listing GROUP BY city""")
 def sector_outputs(spark, sf):
     """One folder per sector and one consolidated copy."""
     path = fresh_path(spark, "sectors")
     sink.write_sectors(view(spark, sf, "listing").withColumnRenamed("city", "sector"), path, ["sector"])
-    total = spark.read.parquet(f"{path}/consolidated").agg(F.count("*").alias("n_all"))
+    whole = spark.read.parquet(f"{path}/consolidated").groupBy("sector").agg(F.count("*").alias("n_consolidated"))
     per = spark.read.parquet(f"{path}/sectors").groupBy("sector").agg(F.count("*").alias("n_sector"))
-    return per.join(F.broadcast(total))
+    return per.join(whole, "sector")
 
 
 @query("file_discovery")

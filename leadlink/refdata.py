@@ -442,6 +442,86 @@ LEAD_DISPLAY = {
     "collected_on": "Date de collecte",
 }
 
+# Output column names of the other stages, in order.
+LISTING_DISPLAY = {
+    "name": "Nom de l'entreprise",
+    "address": "Adresse",
+    "city": "Ville",
+    "cp": "Code Postal",
+    "search_city": "Ville de recherche",
+    "phone": "Téléphone",
+    "website": "Site web",
+    "category": "Catégorie",
+    "listing_url": "URL fiche PJ",
+    "collected_on": "Date de collecte",
+}
+ENRICHED_DISPLAY = {
+    **LISTING_DISPLAY,
+    "siret": "SIRET",
+    "naf": "Code NAF",
+    "status": "Statut enrichissement",
+    "score": "Score similarité",
+}
+PROFILED_DISPLAY = {
+    "name": "Nom de l'entreprise",
+    "address": "Adresse",
+    "city": "Ville",
+    "cp": "Code Postal",
+    "search_city": "Ville de recherche",
+    "phone": "Téléphone",
+    "website": "Site web",
+    "category": "Catégorie",
+    "collected_on": "Date de collecte",
+    "siret": "SIRET",
+    "siren": "SIREN",
+    "naf": "Code NAF",
+    "headcount": "Effectifs",
+    "director": "Dirigeant",
+    "revenue": "Chiffre d'affaires",
+    "created_on": "Date de création",
+    "legal_form": "Forme juridique",
+    "status": "Statut enrichissement",
+    "score": "Score similarité",
+    "enriched_by": "Source enrichissement",
+}
+SIGNAL_DISPLAY = {
+    "name": "Nom de l'entreprise",
+    "siret": "SIRET",
+    "naf": "Code NAF",
+    "address": "Adresse",
+    "city": "Ville",
+    "cp": "Code Postal",
+    "phone": "Téléphone",
+    "search_city": "Ville de recherche",
+    "source": "Source",
+    "lbb_score": "Score LBB",
+    "offers": "Offres actives",
+    "collected_on": "Date de collecte",
+}
+SECTOR_DISPLAY = {
+    "training": "Formation associée",
+    "kind": "Type d'établissement",
+    "name": "Nom entreprise",
+    "full_address": "Adresse complète",
+    "cp": "Code postal",
+    "city": "Ville",
+    "dept": "Département",
+    "phone": "Téléphone",
+    "siret": "SIRET",
+    "website": "Site web",
+    "source": "Source",
+    "collected_on": "Date de collecte",
+}
+REGISTRY_DISPLAY = {
+    "name": "Nom établissement",
+    "address": "Adresse",
+    "phone": "Numéro de téléphone",
+    "kind": "Type d'établissement",
+    "priority": "Priorité",
+    "owner": "Propriétaire",
+    "siren": "SIREN",
+}
+
 
 def _lines(block: str) -> list[list[str]]:
     return [[f.strip() for f in ln.split("|")] for ln in block.strip().splitlines()]

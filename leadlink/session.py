@@ -34,8 +34,9 @@ def cut(df: DataFrame) -> DataFrame:
 
 def spread(df: DataFrame) -> DataFrame:
     """Even partitions for rows whose processing costs far more than their size suggests."""
-    spark = df.sparkSession
-    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+    sc = df.sparkSession.sparkContext
+    shuffles = 1 if sc.master.startswith("local") else int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(shuffles, sc.defaultParallelism))
 
 
 def widen(df: DataFrame) -> DataFrame:

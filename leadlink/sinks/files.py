@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from leadlink import refdata
 
+QUOTE = '"'
+
 
 def write_csv(df: DataFrame, path: str, columns: list[str], display: dict[str, str] | None = None, by: list[str] | None = None) -> None:
     """Fixed column order as text; extra columns are dropped, missing ones are blank."""
@@ -15,7 +17,13 @@ def write_csv(df: DataFrame, path: str, columns: list[str], display: dict[str, s
     for c in columns:
         col = F.col(c).cast("string") if c in df.columns else F.lit("")
         out.append(F.coalesce(col, F.lit("")).alias(names.get(c, c)))
-    w = df.select(*out, *(by or [])).write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "")
+    rows = df.select(*out, *(by or []))
+    if by:
+        rows = rows.hint("rebalance", *by)
+    w = (
+        rows.write.mode("overwrite").option("header", True).option("escape", QUOTE).option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    )
     (w.partitionBy(*by) if by else w).csv(path)
 
 
@@ -23,6 +31,11 @@ def write_leads(leads: DataFrame, path: str) -> None:
     write_csv(leads, path, list(refdata.LEAD_DISPLAY), refdata.LEAD_DISPLAY)
 
 
+def write_stage(rows: DataFrame, path: str, display: dict[str, str], by: list[str] | None = None) -> None:
+    """Any stage under its display names (listings, enriched, signals, sectors, registry)."""
+    write_csv(rows, path, list(display), display, by)
+
+
 def write_superset(frames: list[DataFrame], declared: list[str], path: str) -> None:
     """Union of whatever columns the rows have, plus the declared ones, blanks for gaps."""
     out = frames[0]
@@ -35,8 +48,12 @@ def write_superset(frames: list[DataFrame], declared: list[str], path: str) -> N
 
 
 def write_partitioned(df: DataFrame, path: str, by: list[str]) -> None:
-    """One folder per sector, batch or city."""
-    df.write.mode("overwrite").partitionBy(*by).parquet(path)
+    """One folder per sector, batch or city.
+
+    Rebalancing gathers small folders into few files and splits a folder that holds much of
+    the data over several tasks.
+    """
+    df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
 def write_sectors(df: DataFrame, path: str, by: list[str]) -> None:

@@ -9,11 +9,15 @@ from pyspark.sql import types as P
 from leadlink.operators.keyed import number_within
 
 
-def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """All-string CSV with a header; a byte-order mark is dropped, missing text is ""."""
+def read_csv(spark: SparkSession, path: str, columns: list[str], multi_line: bool = True) -> DataFrame:
+    """All-string CSV with a header; a byte-order mark is dropped, missing text is "".
+
+    Quoted line breaks are understood by default, at the price of one task per file; turn
+    `multi_line` off for very large files without them, which are then split.
+    """
     schema = P.StructType([P.StructField(c, P.StringType()) for c in columns])
     return (
-        spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("multiLine", True)
+        spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("multiLine", multi_line)
         .option("escape", '"').option("encoding", "UTF-8").csv(path).na.fill("")
     )
 

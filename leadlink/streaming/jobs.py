@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from leadlink.operators.resolve import todo_and_done
+from leadlink.operators.resolve import not_done
 from leadlink.sources.files import read_progress
 
 
@@ -65,8 +65,7 @@ def resume_job(stream: DataFrame, process, progress: str, progress_schema: str,
         target = f"{progress}/batch={batch_id}"
         done = read_progress(spark, progress, progress_schema + ", batch int")
         done = done.where(F.col("batch") != batch_id).drop("batch")
-        todo, _ = todo_and_done(batch, done)
-        process(todo).withColumn("seq", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(target)
+        process(not_done(batch, done)).withColumn("seq", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(target)
 
     return (
         stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -112,18 +112,50 @@ def test_missing_arrays_are_empty(spark):
 
 def test_csv_keeps_leading_zeros_and_quotes(spark):
     path = fresh_path(spark, "t")
-    rows = [("007", 'a "b", c', ""), ("01000", "line\nbreak", "x")]
+    rows = [("007", 'a "b", c', ""), ("01000", "line\nbreak", "x"), (" 2 ", " ", "x")]
     sink.write_csv(spark.createDataFrame(rows, "cp string, name string, z string"), path, ["cp", "name", "missing"])
     got = sorted((r.cp, r.name, r.missing) for r in files.read_csv(spark, path, ["cp", "name", "missing"]).collect())
     assert got == sorted((a, b, "") for a, b, _ in rows)
 
 
+def test_byte_order_mark_in_a_csv(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("SIRET,Nom\n007,x\n", encoding="utf-8-sig")
+    assert [tuple(r) for r in files.read_csv(spark, str(tmp_path), ["siret", "name"]).collect()] == [("007", "x")]
+
+
+def test_not_done(spark):
+    rows = spark.createDataFrame([("A", "1"), ("b", "1"), ("A", "2")], "name string, cp string")
+    progress = spark.createDataFrame([("a", "1", 0), ("zz", "9", 0)], "name string, cp string, seq int")
+    assert sorted(map(tuple, resolve.not_done(rows, progress).collect())) == [("A", "2"), ("b", "1")]
+
+
 def test_numbering_across_slices(spark):
     df = spark.range(500).select((F.col("id") % 2).alias("g"), F.col("id").alias("o"))
     got = {(r.g, r.o): r.progress for r in files.numbered(df, ["g"], ["o"]).collect()}
     assert all(got[(i % 2, i)] == f"[{i // 2 + 1}/250]" for i in range(500))
 
 
+def test_filters_gate_and_merge_in_one_job(spark):
+    """Coverage of a whole job on a small fixture: brand and code filters, donors, both dedup stages."""
+    from leadlink.operators import flows
+
+    cols = "ord bigint, siret string, name string, naf string, address string, city string, cp string, phone string, website string"
+    listings = spark.createDataFrame(
+        [(0, "1", "SARL Le Four", "10.71C", "", "Lyon", "69003", "", "w"), (1, "2", "Lidl", "10.71C", "", "", "69003", "0400000009", ""),
+         (2, "3", "Garage", "45.20A", "", "", "69003", "0400000003", ""), (3, "", "Four Le", "", "", "", "69003", "0400000001", ""),
+         (4, "5", "Le Four", "10.71C", "2 rue", "", "69004", "0400000001", "")], cols)
+    signals = spark.createDataFrame(
+        [("1", "LBA", 0, "Le Four", "10.71C", "", "", "", "", "", 1), ("6", "LBB", 1, "Patisserie Dupond", "", "", "", "75001", "", "3", None),
+         ("7", "LBB", 2, "Patisserie Dupont", "", "9 rue", "", "75002", "", "4", None)],
+        "siret string, source string, ord bigint, name string, naf string, address string, city string, cp string, phone string, lbb_score string, offers bigint")
+    got = flows.qualify_leads(listings, signals, ["10.71"], "MBT", "2026-02-23").collect()
+    rows = {r.siret.lstrip("0"): r for r in got}
+    assert list(rows) == ["1", "7"]
+    assert rows["1"].phone == "0400000001" and rows["1"].phone_source == "PJ fallback nom+CP"
+    assert rows["1"].address == "2 rue" and rows["1"].priority == "Haute" and rows["1"].source == "PJ + LBA"
+    assert rows["7"].lbb_score == "4" and rows["7"].address == "9 rue"
+
+
 def test_stream_resume_skips_answered_keys(spark):
     src, progress = fresh_path(spark, "in"), fresh_path(spark, "progress")
     schema = "name string, cp string, answer string, seq bigint"
