@@ -73,7 +73,7 @@ def _writer(path: str, roll_bytes: int, date: str, level: int):
                     if out is not None:
                         out.close()
                     name, at, n = f"{task.partitionId():06d}-{n:03d}-{task.taskAttemptId()}.warc.gz", 0, n + 1
-                    out = place.open_output_stream(f"{root}/{name}")
+                    out = place.open_output_stream(f"{root}/{name}", compression=None)
                 digest = base64.b32encode(sha).decode()
                 pack = zlib.compressobj(level, zlib.DEFLATED, 31)
                 member = pack.compress(_record(page_id, url, digest, (html or "").encode(), first, date)) + pack.flush()
