@@ -192,7 +192,7 @@ SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS hex, min(page_id) OVER (PARTITION BY sha1(html)) AS first FROM p)
 SELECT page_id, payload_bytes,
-  array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     ((('0x' || substr(hex, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31)::INT + 1, 1)), '') AS payload_digest,
   CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
