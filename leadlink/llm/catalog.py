@@ -1,4 +1,4 @@
 """Every named query of this subpackage."""
 
-from leadlink.llm import exact_dedup, token_counts, token_orc, warc  # noqa: F401
+from leadlink.llm import exact_dedup, near_dedup, token_counts, token_orc, warc  # noqa: F401
 from leadlink.llm.registry import ORACLES, QUERIES  # noqa: F401
