@@ -48,7 +48,7 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """The rows that stay, with all their columns."""
     gone = mark(docs, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("_gone_id"), F.col("text_sha256").alias("_gone_sha"))
     match = docs[id_col].eqNullSafe(gone["_gone_id"]) & (digest(docs[text_col]) == gone["_gone_sha"])
-    return docs.join(gone, match, "left_anti")
+    return docs.join(gone.hint("shuffle_hash"), match, "left_anti")
 
 
 SQL = r"""

@@ -180,23 +180,39 @@ def pooled(m, texts: list[bytes], width: int, block: int = 2048) -> np.ndarray:
     return total / np.maximum(sizes, 1)[:, None]
 
 
+def judged(m, names: list[str], width: int, texts: list) -> tuple[list[str], np.ndarray]:
+    """(language, score) of each text."""
+    known = [j for j, t in enumerate(texts) if names and t and LETTER.search(t)]
+    lang, score = ["und"] * len(texts), np.zeros(len(texts))
+    if known:
+        p = pooled(m, [texts[j].encode() for j in known], width)
+        for j, row in zip(known, p, strict=True):
+            lang[j], score[j] = names[int(row.argmax())], min(1.0, float(row.max()))
+    return lang, score
+
+
 def _predictor(m, names: list[str], width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 few = batch.slice(k, 256)
-                texts = few.column("text").to_pylist()
-                known = [j for j, t in enumerate(texts) if names and t and LETTER.search(t)]
-                lang, score = ["und"] * len(texts), np.zeros(len(texts))
-                if known:
-                    p = pooled(m, [texts[j].encode() for j in known], width)
-                    for j, row in zip(known, p, strict=True):
-                        lang[j], score[j] = names[int(row.argmax())], min(1.0, float(row.max()))
+                lang, score = judged(m, names, width, few.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([few.column("id"), few.column("held_out"), pa.array(lang), pa.array(score)], names=["id", "held_out", "lang_pred", "score"])
 
     return run
 
 
+def _filter(m, names: list[str], width: int, text_at: int, least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 256):
+                few = batch.slice(k, 256)
+                lang, score = judged(m, names, width, few.column(text_at).to_pylist())
+                yield few.filter(pa.array([w != "und" and s >= least for w, s in zip(lang, score, strict=True)]))
+
+    return run
+
+
 def sample(docs: DataFrame, lang: Column, per_language: int) -> list:
     """(lang, text) of at most `per_language` learnable documents of each language."""
     rows = docs.where(lang.isNotNull() & F.col("text").rlike(r"\p{L}") & F.col("id").isNotNull() & (crc_mod4(F.col("id")) != 2))
@@ -225,6 +241,12 @@ def predict(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     return said.withColumnRenamed("id", id_col)
 
 
+def accepted(docs: DataFrame, least: float = 0.35, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", width: int = 96) -> DataFrame:
+    """The rows whose text is in a learned language with a score of at least `least`, with all their columns."""
+    model, names = fit(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")), "lang")
+    return docs.mapInArrow(_filter(model, names, width, docs.columns.index(text_col), least), docs.schema)
+
+
 @query("op9_language_id")
 def op9_language_id(spark, sf_dir):
     return predict(table(spark, sf_dir, "documents"))
