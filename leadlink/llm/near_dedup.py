@@ -20,8 +20,8 @@ At the defaults a pair of similarity 0.8 shares no band with probability 3e-6.
 
 Defined cases: a null text counts as empty; a text without words is no near-duplicate of anything (a class of its own);
 texts of one to four words have one shingle, all their words. The smallest id of a class names it. Rows that share an id
-are one document whose texts all count. A row without an id gets the class of equal texts, null if none has an id, and
-is never kept by `remove` if it has one. Other columns are ignored, whatever they are called.
+are one document whose texts all count. A row without an id gets the class of equal texts, null if none has an id;
+`remove` cannot name such a row and leaves it. Other columns are ignored, whatever they are called.
 """
 
 from __future__ import annotations
