@@ -12,10 +12,9 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from itertools import chain
 
 import numpy as np
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from leadlink.llm.common import per_worker, ship
 
@@ -56,8 +55,14 @@ class Coder:
             spec = json.load(f)
         self.rule = _splitter(spec)
         self.special = [t["content"][:2] for t in spec["added_tokens"]]
+        # Pre-tokens are normalised and split already: the library has only bytes and merges left to do.
+        self.inner = Tokenizer.from_file(path)
+        if self.rule is not None:
+            self.inner.normalizer = normalizers.Sequence([])
+            self.inner.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.limit = cache
         self.known: dict[str, bytes] = {}
+        self.words = _Words(self._encode, cache) if self.rule is not None and self.rule[1] else None
 
     def pieces(self, text: str) -> list[str] | None:
         """The pre-tokens of a text, None if only the library may split it."""
@@ -71,37 +76,154 @@ class Coder:
         pattern, lower = self.rule
         return pattern.findall(text.lower() if lower else text)
 
-    def encode_pieces(self, pieces: list[str]) -> list[np.ndarray]:
-        """Ids of each pre-token."""
-        done = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(done.ids, dtype="<u4")
+    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pre-tokens in a row, where each one's begin, and the end)."""
+        done = self.inner.encode(pieces, is_pretokenized=True, add_special_tokens=False)
         words = np.array([-1 if w is None else w for w in done.word_ids], dtype=np.int64)
-        return np.split(ids, np.searchsorted(words, np.arange(1, len(pieces))))
+        return np.array(done.ids, dtype="<u4"), np.searchsorted(words, np.arange(len(pieces) + 1))
 
-    def _learn(self, missing: list[str]) -> None:
-        if len(self.known) + len(missing) > self.limit:
-            self.known.clear()
-        for k in range(0, len(missing), 20_000):
-            part = missing[k : k + 20_000]
-            self.known.update(zip(part, (x.tobytes() for x in self.encode_pieces(part)), strict=True))
+    def lengths(self, pieces: list[str]) -> list[int]:
+        """Number of ids of each pre-token."""
+        return np.diff(self._encode(pieces)[1]).tolist()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        out: list[bytes] = []
-        for k in range(0, len(texts), 256):
-            cut = [self.pieces(t) for t in texts[k : k + 256]]
-            seen = set(chain.from_iterable(p for p in cut if p is not None))
-            if len(missing := list(seen - self.known.keys())):
-                if len(self.known) + len(missing) > self.limit:
-                    missing = list(seen)
-                self._learn(missing)
-            for text, parts in zip(texts[k : k + 256], cut, strict=True):
-                if parts is None:
-                    out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes())
-                else:
-                    out.append(b"".join(map(self.known.__getitem__, parts)))
+        out: list = [None] * len(texts)
+        plain: list[tuple[int, bytes]] = []
+        for k, text in enumerate(texts):
+            if self.words is not None and not any(s in text for s in self.special):
+                try:
+                    plain.append((k, text.lower().encode("latin-1")))
+                    continue
+                except UnicodeEncodeError:
+                    pass
+            out[k] = self._encode_pieces(text)
+        while plain:
+            n, size = 0, 0
+            while n < len(plain) and size < 1 << 20:
+                size += len(plain[n][1])
+                n += 1
+            for (k, _), ids in zip(plain[:n], self.words.encode([raw for _, raw in plain[:n]]), strict=True):
+                out[k] = ids if ids is not None else self._encode_pieces(texts[k])
+            del plain[:n]
         return out
 
+    def _encode_pieces(self, text: str) -> bytes:
+        parts = self.pieces(text)
+        if parts is None:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if missing := list({p for p in parts if p not in self.known}):
+            if len(self.known) + len(missing) > self.limit:
+                self.known.clear()
+                missing = list(set(parts))
+            for k in range(0, len(missing), 20_000):
+                part = missing[k : k + 20_000]
+                ids, begin = self._encode(part)
+                raw, at = ids.tobytes(), (begin * 4).tolist()
+                self.known.update((w, raw[a:b]) for w, a, b in zip(part, at, at[1:], strict=False))
+        return b"".join(map(self.known.__getitem__, parts))
+
+
+class _Words:
+    """Ids of lower-case Latin-1 texts, many at a time: numpy finds and hashes the words, Python sees each distinct one once.
+
+    Words are told apart by a 64-bit polynomial hash of at most LONGEST bytes; a text with a longer word is left to the
+    caller.
+    """
+
+    LONGEST = 256
+    SPACE, LETTER, DIGIT, OTHER = range(4)
+
+    def __init__(self, encode, limit: int):
+        self.encode_words, self.limit = encode, limit
+        kinds = []
+        for c in map(chr, range(256)):
+            kind = unicodedata.category(c)[0]
+            kinds.append(self.SPACE if c in SPACES else self.LETTER if kind == "L" else self.DIGIT if kind == "N" else self.OTHER)
+        self.kind = np.array(kinds, np.uint8)
+        rng = np.random.default_rng(1)
+        self.value = rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
+        base = 0x9E3779B97F4A7C15
+        self.factor = (np.uint64(base), np.uint64(pow(base, -1, 1 << 64)))
+        self.powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+        self.forget()
+
+    def forget(self) -> None:
+        self.place: dict[int, int] = {}
+        self.begin, self.size, self.ids = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.uint32)
+        self.used = 0
+
+    def _grown(self, name: str, need: int) -> np.ndarray:
+        old = getattr(self, name)
+        if len(old) < need:
+            setattr(self, name, np.concatenate([old, np.zeros(max(need - len(old), len(old)), old.dtype)]))
+        return getattr(self, name)
+
+    def _power(self, n: int) -> list[np.ndarray]:
+        if len(self.powers[0]) < n:
+            self.powers = [np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, f)]).astype(np.uint64)) for f in self.factor]
+        return self.powers
+
+    def _cut(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and end of every pre-token; data starts and ends with a space."""
+        kind = self.kind[data]
+        change = kind[1:] != kind[:-1]
+        starts = np.empty(len(data), bool)
+        starts[0] = False
+        starts[1:] = change & (kind[1:] != self.SPACE) | (kind[1:] == self.DIGIT)
+        ends = np.empty(len(data), bool)
+        ends[0] = False
+        ends[1:] = change & (kind[:-1] != self.SPACE) | (kind[:-1] == self.DIGIT)
+        # A lone apostrophe takes s, t, m, d, re, ve or ll along.
+        mark = np.flatnonzero((data[:-1] == 39) & starts[:-1] & (kind[1:] == self.LETTER))
+        for at in mark.tolist():
+            tail = bytes(data[at + 1 : at + 3])
+            n = 2 if tail in (b"re", b"ve", b"ll") else 1 if tail[:1] in (b"s", b"t", b"m", b"d") else 0
+            if n:
+                starts[at + 1] = ends[at + 1] = False
+                ends[at + 1 + n] = True
+                starts[at + 1 + n] |= kind[at + 1 + n] == self.LETTER
+        return np.flatnonzero(starts), np.flatnonzero(ends)
+
+    def encode(self, texts: list[bytes]) -> list[bytes | None]:
+        data = np.frombuffer(b" " + b" ".join(texts) + b" ", np.uint8)
+        begin, end = self._cut(data)
+        first = np.cumsum([1] + [len(t) + 1 for t in texts])  # where each text starts
+        word_at = np.searchsorted(begin, first)
+        forth, back = self._power(len(data))
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self.value[data] * forth[: len(data)], out=total[1:])
+        mark = (total[end] - total[begin]) * back[begin]
+        words, where, inverse = np.unique(mark, return_index=True, return_inverse=True)
+        keys = words.tolist()
+        place = list(map(self.place.get, keys))
+        missing = [k for k, p in enumerate(place) if p is None]
+        if missing:
+            if len(self.place) + len(missing) > self.limit:
+                self.forget()
+                missing, place = list(range(len(keys))), [0] * len(keys)
+            for part in (missing[k : k + 20_000] for k in range(0, len(missing), 20_000)):
+                spans = zip(begin[where[part]].tolist(), end[where[part]].tolist(), strict=True)
+                raw = data.tobytes()
+                ids, at = self.encode_words([raw[a:b].decode("latin-1") for a, b in spans])
+                n, used = len(self.place), self.used
+                self._grown("ids", used + len(ids))[used : used + len(ids)] = ids
+                self._grown("begin", n + len(part))[n : n + len(part)] = used + at[:-1]
+                self._grown("size", n + len(part))[n : n + len(part)] = np.diff(at)
+                self.used += len(ids)
+                for k, p in enumerate(part):
+                    place[p] = n + k
+                    self.place[keys[p]] = n + k
+        at = np.array(place, np.int64)[inverse]
+        size = self.size[at]
+        ends = np.cumsum(size)
+        spots = np.repeat(self.begin[at] - (ends - size), size)
+        spots += np.arange(len(spots))
+        ids = self.ids[spots].astype("<u4")
+        bounds = np.concatenate([[0], ends])[word_at].tolist()
+        long = set((np.searchsorted(first, begin[end - begin > self.LONGEST], side="right") - 1).tolist())
+        return [None if k in long else ids[a:b].tobytes() for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True))]
+
 
 def coder(path: str) -> Coder:
     """The worker's coder for this tokenizer file."""

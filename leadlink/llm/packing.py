@@ -43,8 +43,8 @@ def _tokeniser(path: str, end_id: int, kind: str, vocabulary: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                few = batch.slice(k, 512)
+            for k in range(0, batch.num_rows, 1024):
+                few = batch.slice(k, 1024)
                 ids = [np.frombuffer(x + end, "<u4") for x in coder(path).encode([t or "" for t in few.column("text").to_pylist()])]
                 rare = [x[x >= vocabulary // 2] for x in ids]
                 keys = [int(spread[r if len(r) else x].min()) for r, x in zip(rare, ids, strict=True)]

@@ -37,8 +37,8 @@ def _encoder(path: str, end_id: int):
 
         part, at, end = TaskContext.get().partitionId(), 0, np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                few = batch.slice(k, 512)
+            for k in range(0, batch.num_rows, 1024):
+                few = batch.slice(k, 1024)
                 coded = [x + end for x in coder(path).encode(few.column("text").to_pylist())]
                 sizes = np.array([len(x) // 4 for x in coded], np.int64)
                 ends = np.cumsum(sizes)
