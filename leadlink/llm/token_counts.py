@@ -1,7 +1,7 @@
 """Token counts of whole texts by a two-tier lookup on the map side; no pre-token is ever shuffled.
 
 Tier one is a broadcast table of frequent pre-tokens and their token counts, `table_size` entries at most (a few MB),
-gathered from at most `sample_docs` documents: it only saves work, every count is exact whatever it holds. Tier two is
+gathered from about `sample_docs` documents: it only saves work, every count is exact whatever it holds. Tier two is
 a bounded cache in each Python worker, filled by encoding the pre-tokens that tier one misses. Texts with characters or
 strings that the splitting rule doesn't cover are encoded whole by the tokenizers library.
 
@@ -43,10 +43,11 @@ def _frequent(path: str, size: int):
 
 def frequent_lengths(docs: DataFrame, path: str, table_size: int, sample_docs: int) -> dict[str, int]:
     """Pre-token -> token count for the commonest pre-tokens of a bounded sample."""
-    some = docs.select("text").where("text IS NOT NULL").limit(sample_docs)
+    share = min(1.0, sample_docs / max(1, docs.count()))  # a limit would send that many rows of each partition to one task
+    some = docs.select("text").where("text IS NOT NULL").sample(share, 7)
     rows = some.mapInArrow(_frequent(path, table_size), "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
     pieces = [r.piece for r in rows.orderBy(F.desc("n"), "piece").limit(table_size).collect()]
-    return dict(zip(pieces, map(len, Coder(path).encode_pieces(pieces)), strict=True)) if pieces else {}
+    return dict(zip(pieces, Coder(path).lengths(pieces), strict=True)) if pieces else {}
 
 
 class _Lengths:
@@ -65,7 +66,7 @@ class _Lengths:
                 self.seen, missing = {}, list(wanted)
             for j in range(0, len(missing), 20_000):
                 part = missing[j : j + 20_000]
-                self.seen.update(zip(part, map(len, self.coder.encode_pieces(part)), strict=True))
+                self.seen.update(zip(part, self.coder.lengths(part), strict=True))
             for text, parts in zip(texts[k : k + 256], cut, strict=True):
                 if parts is None:
                     out.append(len(self.coder.tokenizer.encode(text, add_special_tokens=False).ids))
