@@ -6,6 +6,7 @@ with the data.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from leadlink.functions import text as T
@@ -26,7 +27,7 @@ _Q = {
 _C = {
     "query_id": "l_orderkey",
     "retry": "CASE WHEN l_orderkey % 6 = 0 THEN 1 ELSE 0 END",
-    "pos": "l_linenumber",
+    "pos": "pos",
     "tie": "l_partkey",
     "n1": "p_name",
     "n2": "CASE WHEN l_partkey % 3 = 0 THEN p_type || ' ' || p_name ELSE '' END",
@@ -37,20 +38,21 @@ _C = {
     "naf": "p_type",
 }
 _FROM_Q = "orders JOIN part ON o_custkey = p_partkey"
-_FROM_C = "lineitem JOIN part ON l_partkey = p_partkey"
-_sel = lambda d: ", ".join(f"{e} AS {c}" for c, e in d.items())
-# one candidate per (search, position): a repeated position keeps its smallest part
-SEARCHES = (
-    f"q AS (SELECT {_sel(_Q)} FROM {_FROM_Q}), "
-    f"c AS (SELECT {_sel(_C)} FROM {_FROM_C} QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) = 1)"
+# Every line of an order is a candidate; its position is its place among them.
+_PLACE = (
+    "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
 )
+_FROM_C = f"(SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(_PLACE)}) AS pos FROM lineitem) JOIN part ON l_partkey = p_partkey"
+_sel = lambda d: ", ".join(f"{e} AS {c}" for c, e in d.items())
+SEARCHES = f"q AS (SELECT {_sel(_Q)} FROM {_FROM_Q}), c AS (SELECT {_sel(_C)} FROM {_FROM_C})"
 
 
 def searches(spark, sf):
     part = table(spark, sf, "part")
     q = table(spark, sf, "orders").join(part, F.col("o_custkey") == F.col("p_partkey"))
     q = q.selectExpr(*[f"{e} AS {c}" for c, e in _Q.items()])
-    lines = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("l_partkey"))
+    place = Window.partitionBy("l_orderkey").orderBy(*_PLACE)
+    lines = table(spark, sf, "lineitem").select("l_orderkey", *_PLACE).withColumn("pos", F.row_number().over(place))
     c = lines.join(part, F.col("l_partkey") == F.col("p_partkey")).selectExpr(*[f"{e} AS {k}" for k, e in _C.items()])
     c = c.withColumn("names", F.filter(F.array("n1", "n2", "n3"), lambda n: n != ""))
     return q, c
@@ -171,12 +173,12 @@ def compare_summary(spark, sf):
 
 
 @query("first_candidate_ids", f"""WITH {SEARCHES},
-  h AS (SELECT query_id, min(CASE WHEN pos % 2 = 0 THEN siret ELSE '9' || siret END) AS s FROM c WHERE pos = 1 GROUP BY query_id)
+  h AS (SELECT query_id, min(CASE WHEN tie % 2 = 0 THEN siret ELSE '9' || siret END) AS s FROM c WHERE pos = 1 GROUP BY query_id)
   SELECT q.query_id, name, CASE WHEN q.siret <> '' THEN q.siret ELSE coalesce(s, '') END AS siret FROM q LEFT JOIN h USING (query_id)""")
 def first_candidate_ids(spark, sf):
     q, c = searches(spark, sf)
     cands = c.select(
-        "query_id", (F.col("pos") - 1).alias("pos"), F.expr("CASE WHEN pos % 2 = 0 THEN siret END").alias("siege_siret"),
+        "query_id", (F.col("pos") - 1).alias("pos"), F.expr("CASE WHEN tie % 2 = 0 THEN siret END").alias("siege_siret"),
         F.concat(F.lit("9"), "siret").alias("siret"),
     )
     return resolve.first_candidate_ids(q.select("query_id", "name", "siret"), cands, ["query_id"])
