@@ -104,7 +104,7 @@ def registry_ingest(spark, sf):
         F.concat(F.lit("owner "), (F.col("n_nationkey") % 3).cast("string")).alias("owner"),
     )
     rows = J.registry_sites(J.parse(_registry_json(spark, sf), "body", J.REGISTRY_SCHEMA), ["c_custkey"])
-    return rows.join(F.broadcast(owners), "commune").select(
+    return rows.join(owners, "commune").select(
         "c_custkey", F.col("site_pos").cast("int").alias("site_pos"), "name", "address", "cp", "city", "siret", "siren", "naf",
         F.lit("Boulangerie").alias("kind"), F.lit(3).alias("priority"), "owner", F.lit("").alias("phone"),
     )
@@ -151,27 +151,22 @@ def profile_ingest(spark, sf):
 _LI = "(?is)(<li>.*?</li>)"
 _ARTICLE = "(?is)(<article>.*?</article>)"
 PAGE_LINKS = H.Layout(
-    blocks=["(?is)(<section class=\"listing\">.*?</section>)", _LI],
-    name=[H.element("h3"), H.element("a")],
-    link=[H.attribute("a", "href", "pro"), H.attribute("a", "href")],
-    phone=["(?is)href=\"tel:([^\"]*)\"", H.element("a")],
-    website=[H.attribute("a", "href")],
-    category=[H.element("a", "activite"), H.element("a")],
+    blocks=["section[class*='listing']", "li"],
+    name=["h3", "a"],
+    link=["a[class*='pro']@href", "a@href"],
+    phone=["a[href^='tel:']@href", "a"],
+    website=["a@href"],
+    category=["a[class*='activite']", "a"],
     base_url="https://d.example.org",
     own_domain="example.org",
 )
-PAGE_ARTICLE = H.Layout(
-    blocks=[_ARTICLE],
-    name=[H.element("h1"), H.element("p")],
-    address=[H.element("p")],
-    website=[H.attribute("a", "href")],
-    own_domain="example.org",
-)
+PAGE_ARTICLE = H.Layout(blocks=["article"], name=["h1", "p"], address=["p"], website=["a@href"], own_domain="example.org")
 _ENT = lambda x: (
     "replace(replace(replace(replace(replace(replace(replace(replace(" + x + ", '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), "
     "'&#39;', ''''), '&middot;', '·'), '&copy;', '©'), '&amp;', '&')"
 )
-_TXT = lambda x: D.strip(_ENT(f"regexp_replace({x}, '(?s)<[^>]*>', '', 'g')"))
+_TXT = lambda x: D.strip(f"regexp_replace({_ENT(f"regexp_replace({x}, '(?s)<[^>]*>', '', 'g')")}, '\\\\s+', ' ', 'g')")
+_FIRST_P = "regexp_extract(block, '(?is)<p[^>]*>(.*?)(?:</p>|<p>|</article>)', 1)"
 
 
 @query("html_listing_extract", f"""WITH b AS (SELECT page_id, unnest(l) AS block, CAST(unnest(range(0, len(l))) AS INTEGER) AS block_pos
@@ -189,7 +184,7 @@ def html_listing_extract(spark, sf):
 
 @query("html_old_layout", f"""WITH b AS (SELECT page_id, url, unnest(l) AS block, CAST(unnest(range(0, len(l))) AS INTEGER) AS block_pos
     FROM (SELECT page_id, url, regexp_extract_all(html, '{_ARTICLE}', 1) AS l FROM pages)),
-  f AS (SELECT page_id, block_pos, {_TXT("regexp_extract(block, '(?is)<h1[^>]*>(.*?)</h1>', 1)")} AS h, {_TXT("regexp_extract(block, '(?is)<p[^>]*>(.*?)</p>', 1)")} AS p,
+  f AS (SELECT page_id, block_pos, {_TXT("regexp_extract(block, '(?is)<h1[^>]*>(.*?)</h1>', 1)")} AS h, {_TXT(_FIRST_P)} AS p,
     regexp_extract(block, '(?is)<a[^>]*href=\"([^\"]*)\"', 1) AS href FROM b),
   g AS (SELECT *, CASE WHEN h <> '' THEN h ELSE p END AS name, replace(p, chr(10), ' ') AS full_address FROM f)
   SELECT page_id, block_pos, name, full_address, CASE WHEN contains(href, 'example.org') THEN '' ELSE href END AS website,
@@ -202,6 +197,64 @@ def html_old_layout(spark, sf):
     return H.old_listings(pages, PAGE_ARTICLE).select("page_id", "block_pos", "name", "full_address", "website", "cp", "city")
 
 
+# Listing pages built around the titles of the stored pages: nested tags of the block's own kind, entities, several
+# selectors that find something unusable before one that fits. Both engines read the same expression.
+_TITLE = "trim(regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '[ \\n\\t\\r]+', ' '))"
+_TITLE_DUCK = "trim(regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '[ \\n\\t\\r]+', ' ', 'g'))"
+_NUM = "lpad(CAST(page_id AS STRING), 8, '0')"
+_LISTING_HTML = f"""
+  '<div id="r"><ul><li class="bi-item"><div class="bi-content"><ul class="tags"><li>nouveau</li></ul><div class="head"><a class="bi-denomination x" href="/pros/' || page_id ||
+  '"><h3><b>Chez</b> ' || t || ' &amp; Fils &eacute;</h3></a></div><div class="bi-address"><span>' || page_id || ' rue <i>neuve</i></span> 31000&#32;saint-jean</div>' ||
+  CASE page_id % 4 WHEN 0 THEN '<div class="bi-fantomas"><span class="number-contact">T&eacute;l : abc</span><b class="a-phone"><i>01</i>' || {_NUM} || '</b></div>'
+    WHEN 1 THEN '<a href="tel:02' || {_NUM} || '">appeler</a>' WHEN 2 THEN '<span class="phone-number">12</span>' ELSE '' END ||
+  CASE page_id % 5 WHEN 0 THEN '<a class="site" href="https://d.example.org/x">s</a><a data-pjlb="{{site}}" href="https://s' || page_id || '.example.com">s</a>'
+    WHEN 1 THEN '<a href="http://u' || page_id || '.example.com" class="my-url"><b>u</b></a>' WHEN 2 THEN '<div class="my-website"><p><a href="http://w' || page_id || '.example.com">w</a></p></div>'
+    ELSE '' END ||
+  CASE WHEN page_id % 3 = 0 THEN '<p class="bi-activite"></p>' ELSE '' END || '<p class="rubrique">Boulangerie <span>&#8211; <em>p&acirc;tisserie</em></span></p></div></li>' ||
+  CASE page_id % 4 WHEN 2 THEN '<li><button class="x btn_tel"><span>T&eacute;l : 03' || {_NUM} || '</span></button></li>' ELSE '' END ||
+  '<li class="bi-item"><div class="bi-content"><a class="bi-denomination"><h3> </h3></a></div></li>' ||
+  '<li class="bi-item"><div class="bi-content"><a class="bi-denomination" href="http://o.example.com"><h3>Deux<br>lignes</h3></a><a href="tel:999">x</a></div></li></ul></div>'"""
+_OLD_HTML = f"""
+  '<section><article class="a bi-bloc"><div class="bi-blocs"></div><div><article>' || t || '</article></div>' ||
+  CASE WHEN page_id % 2 = 0 THEN '<h2><a href="x">Maison ' || page_id || '</a></h2><span class="denomination">autre</span>' ELSE '<span class="x-denomination"><b>Nom</b> ' || page_id || '</span><h3><a>autre</a></h3>' END ||
+  '<address>' || page_id || ' quai<br>du Port 64100 bayonne</address><p class="adresse">plus loin</p>' ||
+  CASE page_id % 3 WHEN 0 THEN '<a class="tel" href="tel:05' || {_NUM} || '"><b>appeler</b></a>' WHEN 1 THEN '<span class="phone">sur <i>demande</i></span><a href="tel:0600000000">x</a>' ELSE '' END ||
+  CASE page_id % 4 WHEN 0 THEN '<a class="site" href="https://d.example.org/in">s</a>' ELSE '' END || '<a class="web" href="https://w' || page_id || '.example.com">w</a></article></section>'"""
+
+
+def _built(spark, sf, html):
+    pages = texts(spark, sf, "pages", "page_id", "html").selectExpr("page_id", f"{_TITLE} AS t")
+    return pages.selectExpr("page_id", f"{html} AS html")
+
+
+def _with_domain(layout):
+    return H.Layout(**{**layout.__dict__, "base_url": "https://d.example.org", "own_domain": "d.example.org"})
+
+
+@query("directory_listings", f"""WITH p AS (SELECT page_id, {_ENT(_TITLE_DUCK)} AS t, {_NUM.replace('STRING', 'VARCHAR')} AS num FROM pages)
+  SELECT page_id, 0 AS block_pos, trim('Chez ' || t || CASE WHEN t = '' THEN '' ELSE ' ' END || '& Fils é') AS name, 'https://d.example.org/pros/' || page_id AS listing_url,
+    page_id || ' rue neuve 31000 saint-jean' AS address,
+    CASE page_id % 4 WHEN 0 THEN '01' || num WHEN 1 THEN '02' || num WHEN 2 THEN '03' || num ELSE '' END AS phone,
+    CASE page_id % 5 WHEN 0 THEN 'https://s' || page_id || '.example.com' WHEN 1 THEN 'http://u' || page_id || '.example.com' WHEN 2 THEN 'http://w' || page_id || '.example.com' ELSE '' END AS website,
+    'Boulangerie – pâtisserie' AS category, '31000' AS cp, 'Saint-Jean' AS city, CASE WHEN page_id % 4 = 3 THEN 'vide' ELSE 'direct' END AS phone_capture FROM p
+  UNION ALL SELECT page_id, 2, 'Deux' || chr(10) || 'lignes', 'http://o.example.com', '', CASE WHEN page_id % 4 = 2 THEN '03' || num ELSE '' END, '', '', '', '',
+    CASE WHEN page_id % 4 = 2 THEN 'direct' ELSE 'vide' END FROM p""")
+def directory_listings(spark, sf):
+    """The directory's own selectors over nested listing markup."""
+    return H.listings(_built(spark, sf, _LISTING_HTML), _with_domain(H.DIRECTORY))
+
+
+@query("older_directory_listings", f"""WITH p AS (SELECT page_id, {_NUM.replace('STRING', 'VARCHAR')} AS num FROM pages)
+  SELECT page_id, 0 AS block_pos, 'training' AS training, 'hôtel' AS kind, CASE WHEN page_id % 2 = 0 THEN 'Maison ' ELSE 'Nom ' END || page_id AS name,
+    page_id || ' quai du Port 64100 bayonne' AS full_address, '31' AS dept, CASE page_id % 3 WHEN 0 THEN '05' || num WHEN 1 THEN 'sur demande' ELSE '' END AS phone,
+    CASE WHEN page_id % 4 = 0 THEN '' ELSE 'https://w' || page_id || '.example.com' END AS website, '64100' AS cp, 'Bayonne' AS city FROM p""")
+def older_directory_listings(spark, sf):
+    """The older layout: the first element in document order decides."""
+    pages = _built(spark, sf, _OLD_HTML).select(
+        "*", F.lit("hôtel").alias("keyword"), F.lit("training").alias("training"), F.lit("31").alias("dept"), F.lit("Toulouse").alias("city"))
+    return H.old_listings(pages, _with_domain(H.OLD_DIRECTORY))
+
+
 @query("selector_coverage", f"""WITH b AS (SELECT unnest(regexp_extract_all(html, '{_LI}', 1)) AS block FROM pages),
   sel AS (SELECT * FROM (VALUES ('name', 0, '<h3\\b'), ('name', 1, '<a\\b'), ('link', 0, '<a\\b[^>]*class="[^"]*pro'), ('link', 1, '<a\\b[^>]*href="'),
     ('phone', 0, 'href="tel:'), ('phone', 1, '<a\\b'), ('website', 0, '<a\\b[^>]*href="'), ('category', 0, '<a\\b[^>]*class="[^"]*activite'), ('category', 1, '<a\\b')) t(part, pos, re))

@@ -1,34 +1,38 @@
-"""Listing blocks and fields out of stored HTML pages, driven by selector rows.
+"""Listing blocks and fields out of stored HTML pages, driven by CSS selectors.
 
-A selector is a regular expression with one group: the block, the field text or the
-attribute wanted. Everything runs in the JVM, one page at a time, whole pages.
+A page is parsed into its element tree inside a map task, one page at a time, whole pages, tags nested to any depth,
+entities decoded. Only elements and raw values are picked there; every rule about the values (phones, links, addresses)
+is a column expression on the array of what each selector found.
+
+A selector is a CSS subset: tag, .class, [attribute], [attribute*='x'], [attribute^='x'], :has(...), descendants and
+comma lists, the first match in document order. `@name` after it takes an attribute, `@name|text` the attribute or else
+the text, nothing the rendered text. `next`, `parent` and `closest(...)` in front look around the block instead of inside
+it; alternatives separated by `||` are tried until an element exists.
 """
 
 from __future__ import annotations
 
+import re
+import sys
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from html.parser import HTMLParser
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadlink.functions import text as T
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-def element(tag: str, cls: str | None = None) -> str:
-    """Inner HTML of <tag>, or of <tag class="..cls..">."""
-    attr = f"[^>]*class\\s*=\\s*[\"'][^\"']*{cls}[^\"']*[\"']" if cls else ""
-    return f"(?is)<{tag}\\b{attr}[^>]*>(.*?)</{tag}>"
-
-
-def attribute(tag: str, name: str, cls: str | None = None) -> str:
-    """Value of an attribute of <tag>, optionally one with a class."""
-    need = f"(?=[^>]*class\\s*=\\s*[\"'][^\"']*{cls})" if cls else ""
-    return f"(?is)<{tag}\\b{need}[^>]*\\b{name}\\s*=\\s*[\"']([^\"']*)[\"']"
+PARTS = ["name", "link", "address", "phone", "website", "category"]
 
 
 @dataclass
 class Layout:
-    """Selectors of one page layout, tried in order for every field."""
+    """Selectors of one page layout, tried in order for every field; one alone means that the first element decides."""
 
     blocks: list[str]
     name: list[str]
@@ -41,89 +45,271 @@ class Layout:
     own_domain: str = ""
 
 
-# Selector values equal to those of the two directory layouts.
+# The selectors of the two directory layouts.
 DIRECTORY = Layout(
-    blocks=[
-        "(?is)(<li\\b[^>]*>(?:(?!</li>).)*class\\s*=\\s*[\"'][^\"']*bi-content(?:(?!</li>).)*</li>)",
-        "(?is)(<(article|div|li)\\b[^>]*class\\s*=\\s*[\"'][^\"']*bi-bloc.*?</\\2>)",
-        "(?is)(<(\\w+)\\b[^>]*data-bi-name.*?</\\2>)",
-    ],
-    name=["(?is)class\\s*=\\s*[\"'][^\"']*bi-denomination[^\"']*[\"'].*?<h3[^>]*>(.*?)</h3>"],
-    link=[attribute("a", "href", "bi-denomination"), "(?is)<a\\b[^>]*href\\s*=\\s*[\"']([^\"']*/pros/[^\"']*)[\"']"],
-    address=["(?is)<(?:\\w+)\\b[^>]*class\\s*=\\s*[\"'][^\"']*bi-address[^\"']*[\"'][^>]*>(.*?)</"],
+    blocks=["li:has(.bi-content)", "article.bi-bloc, div[class*='bi-bloc'], li[class*='bi-bloc']", "[data-bi-name]"],
+    name=["[class*='bi-denomination'] h3"],
+    link=["a[class*='bi-denomination']@href", "a[href*='/pros/']@href"],
+    address=[".bi-address"],
     phone=[
-        "(?is)class\\s*=\\s*[\"'][^\"']*number-contact[^\"']*[\"'][^>]*>(.*?)</",
-        "(?is)class\\s*=\\s*[\"'][^\"']*phone-number[^\"']*[\"'][^>]*>(.*?)</",
-        "(?is)bi-fantomas.*?class\\s*=\\s*[\"'][^\"']*phone[^\"']*[\"'][^>]*>(.*?)</",
-        "(?is)bi-fantomas.*?class\\s*=\\s*[\"'][^\"']*tel[^\"']*[\"'][^>]*>(.*?)</",
-        "(?is)<a\\b[^>]*href\\s*=\\s*[\"']tel:([^\"']*)[\"']",
+        ".bi-fantomas .number-contact", "[class*='number-contact']", "[class*='phone-number']", ".bi-fantomas [class*='phone']",
+        ".bi-fantomas [class*='tel']", "a[href^='tel:']@href",
+        "next [class*='btn_tel'] || closest([class*='bi-bloc']) [class*='btn_tel'] || parent [class*='btn_tel']",
     ],
-    website=[attribute("a", "href", c) for c in ("site-internet", "bi-website", "site", "web", "url")],
-    category=[
-        f"(?is)class\\s*=\\s*[\"'][^\"']*{c}[^\"']*[\"'][^>]*>(.*?)</"
-        for c in ("bi-activite", "activite", "rubrique", "category", "metier")
+    website=[
+        "a[class*='site-internet']@href", "a[class*='bi-website']@href", "a[class*='site']@href", "a[class*='web']@href",
+        "a[href*='http'][class*='url']@href", "a[data-pjlb*='site']@href", "a[data-pjlb*='web']@href", "[class*='website'] a@href",
     ],
+    category=["[class*='bi-activite']", "[class*='activite']", "[class*='rubrique']", "[class*='category']", "[class*='metier']"],
 )
 OLD_DIRECTORY = Layout(
-    blocks=DIRECTORY.blocks[1:],
-    name=[
-        "(?is)class\\s*=\\s*[\"'][^\"']*denomination[^\"']*[\"'][^>]*>(.*?)</",
-        "(?is)<h3[^>]*>\\s*<a[^>]*>(.*?)</a>",
-        "(?is)<h2[^>]*>\\s*<a[^>]*>(.*?)</a>",
-    ],
-    address=[
-        "(?is)class\\s*=\\s*[\"'][^\"']*(?:adresse|address)[^\"']*[\"'][^>]*>(.*?)</",
-        "(?is)<address[^>]*>(.*?)</address>",
-    ],
-    phone=["(?is)href\\s*=\\s*[\"']tel:([^\"']*)[\"']", "(?is)class\\s*=\\s*[\"'][^\"']*(?:tel|phone)[^\"']*[\"'][^>]*>(.*?)</"],
-    website=[attribute("a", "href", c) for c in ("site", "web", "url")],
+    blocks=["article.bi-bloc, div[class*='bi-bloc'], li[class*='bi-bloc']", "[data-bi-name]"],
+    name=["a.bi-denomination, span.bi-denomination, [class*='denomination'], h3 a, h2 a"],
+    address=["[class*='adresse'], address, [class*='address'], .bi-adresse"],
+    phone=["[class*='tel'], [class*='phone'], a[href^='tel:']@href|text"],
+    website=["a[class*='site'], a[class*='web'], a[href*='http'][class*='url']@href"],
 )
 
-ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&middot;": "·", "&copy;": "©", "&amp;": "&"}
-
-
-def inner_text(html: Column) -> Column:
-    """Text of a fragment: tags removed, common entities decoded, trimmed."""
-    s = F.regexp_replace(html, "(?s)<[^>]*>", "")
-    for entity, char in ENTITIES.items():
-        s = F.replace(s, F.lit(entity), F.lit(char))
-    return T.strip(s)
+# --- element tree ------------------------------------------------------------------
+
+VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+#: Elements that start a line of their own in rendered text.
+LINES = frozenset("address article aside blockquote dd div dl dt footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p section table tr ul".split())
+HIDDEN = frozenset(("script", "style", "template"))
+#: An element whose end tag may be left out ends where one of these begins.
+IMPLIED = {"li": {"li"}, "p": LINES, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}}
+
+
+class Element:
+    __slots__ = ("tag", "attrs", "parent", "children")
+
+    def __init__(self, tag: str, attrs: dict[str, str], parent: Element | None):
+        self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
+
+    def descendants(self) -> Iterator[Element]:
+        """In document order, without recursion."""
+        stack = [c for c in reversed(self.children) if isinstance(c, Element)]
+        while stack:
+            e = stack.pop()
+            yield e
+            stack.extend(c for c in reversed(e.children) if isinstance(c, Element))
+
+    def text(self) -> str:
+        """Rendered text: white space collapsed, line breaks at <br> and around blocks."""
+        out: list[str] = []
+        stack: list = [self]
+        while stack:
+            x = stack.pop()
+            if x is None:
+                out.append("\n")
+            elif isinstance(x, str):
+                out.append(x.replace("\n", " "))  # a line break in the source is a space
+            elif x.tag == "br":
+                out.append("\n")
+            elif x.tag not in HIDDEN:
+                edge = [None] if x.tag in LINES and x is not self else []
+                stack.extend([*edge, *reversed(x.children), *edge])
+        lines = (" ".join(s.split()) for s in "".join(out).split("\n"))
+        return "\n".join(s for s in lines if s)
+
+
+class _Tree(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = self.open = Element("", {}, None)
+
+    def handle_starttag(self, tag, attrs):
+        e = self.open
+        while e.parent is not None and e.tag not in ("ul", "ol", "table", "div", "article", "section"):
+            if tag in IMPLIED.get(e.tag, ()):
+                self.open = e.parent
+                break
+            e = e.parent
+        new = Element(tag, {k: v or "" for k, v in attrs}, self.open)
+        self.open.children.append(new)
+        if tag not in VOID:
+            self.open = new
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if self.open.tag == tag and tag not in VOID:
+            self.open = self.open.parent
+
+    def handle_endtag(self, tag):
+        e = self.open
+        while e.parent is not None and e.tag != tag:
+            e = e.parent
+        if e.parent is not None:
+            self.open = e.parent
+
+    def handle_data(self, data):
+        self.open.children.append(data)
+
+
+def parse(html: str) -> Element:
+    tree = _Tree()
+    tree.feed(html)
+    tree.close()
+    return tree.root
+
+
+# --- selectors ---------------------------------------------------------------------
+
+_TOKEN = re.compile(r"^([a-z0-9]+)|\.([\w-]+)|\[([\w-]+)(?:([*^])='([^']*)')?\]|:has\(([^)]*)\)")
+
+
+def _compound(source: str):
+    """A test of one element."""
+    tests, at = [], 0
+    while at < len(source):
+        m = _TOKEN.match(source, at) if at else _TOKEN.match(source)
+        if not m:
+            raise ValueError(f"unknown selector {source!r}")
+        tag, cls, name, how, value, inner = m.groups()
+        if tag:
+            tests.append(lambda e, tag=tag: e.tag == tag)
+        elif cls:
+            tests.append(lambda e, cls=cls: cls in e.attrs.get("class", "").split())
+        elif inner:
+            has = compile_selector(inner)
+            tests.append(lambda e, has=has: first(e, has) is not None)
+        elif how == "*":
+            tests.append(lambda e, name=name, value=value: value in e.attrs.get(name, ""))
+        elif how == "^":
+            tests.append(lambda e, name=name, value=value: e.attrs.get(name, "").startswith(value))
+        else:
+            tests.append(lambda e, name=name: name in e.attrs)
+        at = m.end()
+    return lambda e: all(t(e) for t in tests)
+
+
+def compile_selector(source: str) -> list[list]:
+    """Alternatives, each the tests from the outermost ancestor to the element itself."""
+    return [[_compound(c) for c in alternative.split()] for alternative in source.split(",")]
+
+
+def matches(e: Element, selector: list[list], scope: Element) -> bool:
+    for chain in selector:
+        if not chain[-1](e):
+            continue
+        left, up = len(chain) - 2, e.parent
+        while left >= 0 and up is not None:
+            if chain[left](up):
+                left -= 1
+            up = up.parent
+        if left < 0:
+            return True
+    return False
+
+
+def all_of(scope: Element, selector: list[list]) -> list[Element]:
+    return [e for e in scope.descendants() if matches(e, selector, scope)]
+
+
+def first(scope: Element | None, selector: list[list]) -> Element | None:
+    return next((e for e in scope.descendants() if matches(e, selector, scope)), None) if scope is not None else None
+
+
+def _next_element(e: Element) -> Element | None:
+    if e.parent is None:
+        return None
+    after = e.parent.children[next(k for k, c in enumerate(e.parent.children) if c is e) + 1 :]
+    return next((c for c in after if isinstance(c, Element)), None)
+
+
+def _closest(e: Element | None, selector: list[list]) -> Element | None:
+    while e is not None and not matches(e, selector, e):
+        e = e.parent
+    return e
+
+
+def _picker(source: str):
+    """block -> value of the first element found, None without one."""
+    source, _, wanted = source.partition("@")
+    steps = []
+    for alternative in source.split("||"):
+        alternative = alternative.strip()
+        if alternative.startswith("next "):
+            steps.append((_next_element, compile_selector(alternative[5:])))
+        elif alternative.startswith("parent "):
+            steps.append((lambda e: e.parent, compile_selector(alternative[7:])))
+        elif alternative.startswith("closest("):
+            around, _, inner = alternative[8:].partition(") ")
+            steps.append((lambda e, s=compile_selector(around): _closest(e, s), compile_selector(inner)))
+        else:
+            steps.append((lambda e: e, compile_selector(alternative)))
+    attr, _, other = wanted.partition("|")
+
+    def pick(block: Element) -> str | None:
+        e = next((found for scope, s in steps if (found := first(scope(block), s)) is not None), None)
+        if e is None:
+            return None
+        if attr and (not other or e.attrs.get(attr)):
+            return e.attrs.get(attr, "")
+        return e.text()
+
+    return pick
+
+
+# --- frames ------------------------------------------------------------------------
+
+
+def _extractor(layout: Layout, keep: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = [compile_selector(s) for s in layout.blocks]
+        pickers = [[_picker(s) for s in getattr(layout, p)] for p in PARTS]
+        for batch in batches:
+            rows, pos, values = [], [], [[] for _ in PARTS]
+            for k, html in enumerate(batch.column(keep).to_pylist()):
+                root = parse(html or "")
+                found = next((b for s in wanted if (b := all_of(root, s))), [])
+                for n, block in enumerate(found):
+                    rows.append(k)
+                    pos.append(n)
+                    for v, ps in zip(values, pickers, strict=True):
+                        v.append([p(block) for p in ps])
+            kept = batch.take(pa.array(rows, pa.int64()))
+            texts = pa.list_(pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [*kept.columns[:keep], pa.array(pos, pa.int32()), *(pa.array(v, texts) for v in values)], names=[*batch.schema.names[:keep], "block_pos", *PARTS]
+            )
+
+    return run
 
 
-def blocks_of(html: Column, selectors: list[str]) -> Column:
-    """All blocks of the first selector that finds any on the page."""
-    found = F.array(*[F.regexp_extract_all(html, F.lit(s), F.lit(1)) for s in selectors])
-    return F.get(F.filter(found, lambda x: F.size(x) > 0), F.lit(0))
+def blocks(pages: DataFrame, layout: Layout) -> DataFrame:
+    """One row per block of the first block selector that finds any on the page: the columns of pages except html, block_pos,
+    and per field an array with what each selector found."""
+    others = [c for c in pages.columns if c != "html"]
+    kinds = [f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in others]
+    schema = ", ".join([*kinds, "block_pos int", *(f"`{p}` array<string>" for p in PARTS)])
+    return pages.select(*others, "html").mapInArrow(_extractor(layout, len(others)), schema)
 
 
-def cascade(block: Column, selectors: list[str], clean) -> Column:
+def cascade(part: str, layout: Layout, clean) -> Column:
     """First selector whose cleaned value is usable (non-null and non-empty)."""
-    tries = [T.nonempty(clean(F.regexp_extract(block, s, 1))) for s in selectors]
+    tries = [T.nonempty(clean(F.get(F.col(part), F.lit(k)))) for k in range(len(getattr(layout, part)))]
     return F.coalesce(*tries, F.lit("")) if tries else F.lit("")
 
 
-def short_text(html: Column) -> Column:
-    t = inner_text(html)
-    return F.when((F.length(t) > 0) & (F.length(t) < 200), t)
+def short_text(text: Column) -> Column:
+    return F.when((F.length(text) > 0) & (F.length(text) < 200), text)
 
 
-def blocks(pages: DataFrame, layout: Layout) -> DataFrame:
-    """page_id, block_pos, block."""
-    return pages.select("page_id", "url", F.posexplode(blocks_of(F.col("html"), layout.blocks)).alias("block_pos", "block"))
+def _phone(raw: Column) -> Column:
+    return T.validate_phone(T.strip_phone_label(F.replace(raw, F.lit("tel:"), F.lit(""))))
 
 
 def listings(pages: DataFrame, layout: Layout) -> DataFrame:
     """One row per listing block with a name; the first valid phone wins, not the first found."""
-    b = blocks(pages, layout)
-    addr = cascade(F.col("block"), layout.address, inner_text)
-    out = b.select(
+    out = blocks(pages.select("page_id", "html"), layout).select(
         "page_id", "block_pos",
-        cascade(F.col("block"), layout.name, inner_text).alias("name"),
-        T.absolute_url(layout.base_url, cascade(F.col("block"), layout.link, lambda c: c)).alias("listing_url"),
-        addr.alias("address"),
-        cascade(F.col("block"), layout.phone, lambda c: T.validate_phone(T.strip_phone_label(inner_text(c)))).alias("phone"),
-        cascade(F.col("block"), layout.website, lambda c: T.external_url(layout.own_domain, c)).alias("website"),
-        cascade(F.col("block"), layout.category, short_text).alias("category"),
+        cascade("name", layout, T.strip).alias("name"),
+        T.absolute_url(layout.base_url, cascade("link", layout, lambda c: c)).alias("listing_url"),
+        cascade("address", layout, T.strip).alias("address"),
+        cascade("phone", layout, _phone).alias("phone"),
+        cascade("website", layout, lambda c: T.external_url(layout.own_domain, c)).alias("website"),
+        cascade("category", layout, short_text).alias("category"),
     ).where(F.col("name") != "")
     parts = T.cp_and_city(F.col("address"))
     return out.select(
@@ -133,18 +319,16 @@ def listings(pages: DataFrame, layout: Layout) -> DataFrame:
 
 
 def old_listings(pages: DataFrame, layout: Layout) -> DataFrame:
-    """The older layout: address on one line, phone and site taken from the first hit.
+    """The older layout: address on one line, phone and site taken from the first element, whatever it holds.
 
     pages also carries keyword, training, dept and city: what was searched.
     """
-    b = pages.select("*", F.posexplode(blocks_of(F.col("html"), layout.blocks)).alias("block_pos", "block"))
-    blk = F.col("block")
-    addr = F.replace(cascade(blk, layout.address, inner_text), F.lit("\n"), F.lit(" "))
-    site = cascade(blk, layout.website, lambda c: c)
-    out = b.select(
-        "page_id", "block_pos", F.col("training"), F.col("keyword").alias("kind"),
-        cascade(blk, layout.name, inner_text).alias("name"), addr.alias("full_address"), "dept", F.col("city").alias("_city"),
-        cascade(blk, layout.phone, inner_text).alias("phone"),
+    site = cascade("website", layout, lambda c: c)
+    out = blocks(pages.select("page_id", "training", "keyword", "dept", F.col("city").alias("_city"), "html"), layout).select(
+        "page_id", "block_pos", "training", F.col("keyword").alias("kind"),
+        cascade("name", layout, T.strip).alias("name"),
+        F.replace(cascade("address", layout, T.strip), F.lit("\n"), F.lit(" ")).alias("full_address"), "dept", "_city",
+        cascade("phone", layout, lambda c: T.strip(F.replace(c, F.lit("tel:"), F.lit("")))).alias("phone"),
         F.when(F.contains(site, F.lit(layout.own_domain)) & F.lit(layout.own_domain != ""), "").otherwise(site).alias("website"),
     ).where(F.col("name") != "")
     parts = T.cp_and_city_or(F.col("full_address"), F.col("dept"), F.col("_city"))
@@ -153,17 +337,9 @@ def old_listings(pages: DataFrame, layout: Layout) -> DataFrame:
 
 def selector_coverage(pages: DataFrame, layout: Layout) -> DataFrame:
     """For every candidate selector, on how many blocks it finds something."""
-    b = blocks(pages, layout)
-    rows = [
-        (part, pos, sel)
-        for part in ("name", "link", "address", "phone", "website", "category")
-        for pos, sel in enumerate(getattr(layout, part))
-    ]
-    hits = b.select(
-        F.explode(
-            F.array(*[
-                F.struct(F.lit(p).alias("part"), F.lit(i).alias("pos"), F.col("block").rlike(s).alias("hit")) for p, i, s in rows
-            ])
-        ).alias("h")
-    ).select("h.*")
+    b = blocks(pages.select("page_id", "html"), layout)
+    hits = b.select(F.explode(F.array(*[
+        F.struct(F.lit(p).alias("part"), F.lit(k).alias("pos"), F.get(F.col(p), F.lit(k)).isNotNull().alias("hit"))
+        for p in PARTS for k in range(len(getattr(layout, p)))
+    ])).alias("h")).select("h.*")
     return hits.groupBy("part", "pos").agg(F.count_if("hit").alias("n_hit"), F.count("*").alias("n_blocks"))
