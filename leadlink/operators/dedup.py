@@ -1,8 +1,9 @@
 """Fuzzy deduplication inside blocks: phone + name, and department + name.
 
-Three declared modes, all built on the exact similarity join:
+Four declared modes, all built on the exact similarity join:
 
-* dominance: a row goes when a better-ranked row of its block has a similar name;
+* survivors: a row goes when a better-ranked row of its block that stays has a similar name, the default of the lead job;
+* dominance: a row goes when any better-ranked row of its block has a similar name, whether that one stays or not;
 * sequential: the arrival-order pair loop (a row that was removed during its own turn
   still removes later ones), with ranks fixed at the start of the stage;
 * components: similar rows form connected components, each merged into its best row.
@@ -85,6 +86,45 @@ def dominance(rows: DataFrame, rank: list[Column], threshold: int) -> DataFrame:
     )
 
 
+def survivors(rows: DataFrame, rank: list[Column], threshold: int) -> DataFrame:
+    """Rows with `kept_ord`, `sim`: null where the row stays, else the best staying row with a similar name.
+
+    `rows` has block, name_key, ord. Rounds over the similar pairs of distinct names: a name without an undecided better
+    neighbour stays, its neighbours go, until all are decided. The result is that of one pass in rank order.
+    """
+    rows = rows.withColumn("_rank", F.struct(*rank, F.col("ord").alias("ord")))
+    reps = cut(rows.where(F.col("block") != "").groupBy("block", "name_key").agg(F.min("_rank").alias("_best")))
+    pairs = similar_within(_names(reps), threshold)
+    a = reps.select("block", F.col("name_key").alias("name_a"), F.col("_best").alias("ra"))
+    b = reps.select("block", F.col("name_key").alias("name_b"), F.col("_best").alias("rb"))
+    a_first = F.col("ra") < F.col("rb")
+    edges = cut(pairs.join(a, ["block", "name_a"]).join(b, ["block", "name_b"]).select(
+        F.when(a_first, F.col("ra.ord")).otherwise(F.col("rb.ord")).alias("better"), F.when(a_first, F.col("rb.ord")).otherwise(F.col("ra.ord")).alias("worse"),
+        F.least("ra", "rb").alias("_rank"), "sim",
+    ))
+    met = edges.select(F.col("better").alias("id")).union(edges.select(F.col("worse").alias("id"))).distinct()
+    undecided, left, stay = cut(met), edges.select("better", "worse"), None
+    while not undecided.isEmpty():
+        free = cut(undecided.join(left.select(F.col("worse").alias("id")).distinct(), "id", "left_anti"))
+        stay = free if stay is None else stay.unionByName(free)
+        gone = left.join(free.withColumnRenamed("id", "better"), "better", "left_semi").select(F.col("worse").alias("id")).distinct()
+        undecided = cut(undecided.join(free.unionByName(gone), "id", "left_anti"))
+        left = cut(
+            left.join(undecided.withColumnRenamed("id", "better"), "better", "left_semi").join(undecided.withColumnRenamed("id", "worse"), "worse", "left_semi")
+        )
+    absorbed = edges if stay is None else edges.join(stay.withColumnRenamed("id", "better"), "better", "left_semi")
+    best = absorbed.groupBy("worse").agg(F.min(F.struct("_rank", F.col("better").alias("by"), "sim")).alias("d"))
+    if stay is not None:  # a staying name may still have worse neighbours of its own, never a better one that stays
+        best = best.join(stay.withColumnRenamed("id", "worse"), "worse", "left_anti")
+    fate = reps.select("block", "name_key", F.col("_best.ord").alias("_first")).join(best.withColumnRenamed("worse", "_first"), "_first", "left")
+    own = F.col("ord") == F.col("_first")
+    return rows.join(fate, ["block", "name_key"], "left").select(
+        *[c for c in rows.columns if c != "_rank"],
+        F.coalesce("d.by", F.when(~own, F.col("_first"))).alias("kept_ord"),
+        F.coalesce("d.sim", F.when(~own, F.lit(100.0))).alias("sim"),
+    )
+
+
 def sequential(rows: DataFrame, score: Column, threshold: int) -> DataFrame:
     """The arrival-order pair loop as rounds over the similarity graph.
 

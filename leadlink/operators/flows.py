@@ -28,11 +28,26 @@ def absorb(judged: DataFrame, rank: list, cols: list[str]) -> DataFrame:
     return keyed.merge_groups(rows, ["root"], [first, *rank], ["root", *cols]).drop("n_rows", "root")
 
 
-def qualify_leads(listings: DataFrame, signals: DataFrame, expected: list[str], sector: str, run_date: str) -> DataFrame:
+def dedup_stages(leads: DataFrame, cols: list[str], judge=dedup.survivors) -> tuple[DataFrame, DataFrame]:
+    """(leads, report): duplicates by id, then by phone and name, then by department and name, each stage on what the one
+    before left; the report has removed and remaining rows per stage and in all. leads: `ord` and the lead columns."""
+    phone, prio, filled = keyed.dedup_rank(cols)
+    rows = cut(keyed.best_per_siret(leads, cols).select("ord", *cols))
+    counts = [leads.count(), rows.count()]
+    rows = cut(absorb(cut(judge(dedup.with_phone_block(rows), [phone, prio, filled], dedup.PHONE_THRESHOLD)), [phone, prio, filled], cols))
+    counts.append(rows.count())
+    rows = cut(absorb(cut(judge(dedup.with_department_block(rows), [filled, prio], dedup.NAME_THRESHOLD)), [filled, prio], cols))
+    counts.append(rows.count())
+    lines = [(s, a - b, b) for s, a, b in zip(("siret", "phone", "name"), counts, counts[1:], strict=False)] + [("total", counts[0] - counts[-1], counts[-1])]
+    return rows, leads.sparkSession.createDataFrame(lines, "stage string, removed long, remaining long")
+
+
+def qualify_leads(listings: DataFrame, signals: DataFrame, expected: list[str], sector: str, run_date: str,
+                  judge=dedup.survivors) -> DataFrame:
     """Filter both sources, cross them, back-fill phones, deduplicate, order.
 
     The gate (classify.naf_gate) is a report on the inputs; deciding on it is the caller's.
-    Excluded listings may still lend a phone: the back-fill reads all listings.
+    Excluded listings may still lend a phone: the back-fill reads all listings. `judge` is the deduplication mode.
     """
     donors = keyed.load_phone_listings(listings)
     kept = []
@@ -47,10 +62,10 @@ def qualify_leads(listings: DataFrame, signals: DataFrame, expected: list[str],
     leads = resolve.backfill_phones(leads, donors).drop("outcome").withColumnRenamed("lead_id", "ord")
 
     cols = merge.LEAD_COLUMNS
-    by_phone = dedup.dominance(dedup.with_phone_block(leads), keyed.dedup_rank(cols), dedup.PHONE_THRESHOLD)
+    by_phone = judge(dedup.with_phone_block(leads), keyed.dedup_rank(cols), dedup.PHONE_THRESHOLD)
     leads = cut(absorb(cut(by_phone), keyed.dedup_rank(cols), cols))
     _, prio, filled = keyed.dedup_rank(cols)
-    by_name = dedup.dominance(dedup.with_department_block(leads), [filled, prio], dedup.NAME_THRESHOLD)
+    by_name = judge(dedup.with_department_block(leads), [filled, prio], dedup.NAME_THRESHOLD)
     return merge.order_leads(absorb(cut(by_name), [filled, prio], cols).select(*cols))
 
 
@@ -65,7 +80,7 @@ def registry_extract(sites: DataFrame, cities: DataFrame, kind: str, priority: i
 
     sites: commune, ord and the establishment columns. cities: commune, city_name, owner.
     """
-    rows = sites.join(F.broadcast(cities), "commune")
+    rows = sites.join(cities, "commune")
     one = keyed.first_per_mixed_key(rows, ["city_name"])
     one = one.select(
         "*", F.lit(kind).alias("kind"), F.lit(priority).alias("priority"), F.lit("").alias("phone")

@@ -72,6 +72,40 @@ def dedup_stage_counts(spark, sf):
     return report.stage_counts(by_phone(spark, sf), "phone").unionByName(report.stage_counts(by_name(spark, sf), "name"))
 
 
+def _survivors_sql(tag: str) -> str:
+    """One pass in rank order per block: a name stays unless a staying better name is similar."""
+    return f"""
+  i_{tag} AS (SELECT block, nk, rk, row_number() OVER (PARTITION BY block ORDER BY rk) AS i FROM best_{tag}),
+  e_{tag} AS (SELECT y.block, y.i AS worse, list(x.i) AS better FROM i_{tag} x JOIN i_{tag} y ON x.block = y.block AND x.i < y.i
+          JOIN s_{tag} s ON s.na = x.nk AND s.nb = y.nk AND s.sim >= {{threshold}} GROUP BY ALL),
+  step_{tag} AS (
+    SELECT DISTINCT block, CAST(0 AS BIGINT) AS n, CAST([] AS BIGINT[]) AS stay FROM i_{tag}
+    UNION ALL SELECT p.block, p.n + 1, CASE WHEN e.worse IS NOT NULL AND list_has_any(e.better, p.stay) THEN p.stay ELSE list_append(p.stay, p.n + 1) END
+    FROM step_{tag} p JOIN i_{tag} k ON k.block = p.block AND k.i = p.n + 1 LEFT JOIN e_{tag} e ON e.block = p.block AND e.worse = p.n + 1),
+  stay_{tag} AS (SELECT block, unnest(arg_max(stay, n)) AS i FROM step_{tag} GROUP BY block),
+  by_{tag} AS (SELECT y.block, y.nk, min(struct_pack(rk := x.rk, sim := s.sim)) AS d FROM i_{tag} y JOIN i_{tag} x ON x.block = y.block AND x.i < y.i
+          JOIN stay_{tag} k ON k.block = x.block AND k.i = x.i JOIN s_{tag} s ON s.na = x.nk AND s.nb = y.nk AND s.sim >= {{threshold}} GROUP BY ALL)
+  SELECT r.ord, r.block, r.nk AS name_key, coalesce(b.d.rk.ord, CASE WHEN r.rk <> t.rk THEN t.rk.ord END) AS kept_ord,
+    coalesce(b.d.sim, CASE WHEN r.rk <> t.rk THEN 100.0 END) AS sim
+  FROM r_{tag} r LEFT JOIN best_{tag} t ON t.block = r.block AND t.nk = r.nk LEFT JOIN by_{tag} b ON b.block = r.block AND b.nk = r.nk"""
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query("dedup_phone_survivors", _recursive(PHONE_SQL) + "," + _survivors_sql("phone").format(threshold=dedup.PHONE_THRESHOLD))
+def dedup_phone_survivors(spark, sf):
+    rows = dedup.with_phone_block(view(spark, sf, "lead"))
+    return dedup.survivors(rows, keyed.dedup_rank(LEAD_COLUMNS), dedup.PHONE_THRESHOLD).select("ord", "block", "name_key", "kept_ord", "sim")
+
+
+@query("dedup_name_survivors", _recursive(NAME_SQL) + "," + _survivors_sql("dept").format(threshold=dedup.NAME_THRESHOLD))
+def dedup_name_survivors(spark, sf):
+    rows = dedup.with_department_block(view(spark, sf, "lead"))
+    return dedup.survivors(rows, keyed.dedup_rank(LEAD_COLUMNS)[2:], dedup.NAME_THRESHOLD).select("ord", "block", "name_key", "kept_ord", "sim")
+
+
 def rich_rows(spark, sf):
     """Parts under longer, more varied names; a third of them in one department."""
     name = F.concat_ws(" ", "p_name", F.regexp_replace("p_brand", "[^A-Za-z0-9]", " "), F.lower("p_type"))
@@ -80,12 +114,44 @@ def rich_rows(spark, sf):
     return dedup.with_department_block(rows)
 
 
-@query("dedup_components")
+_RICH = f"""WITH RECURSIVE r AS (SELECT p_partkey AS ord, concat_ws(' ', p_name, regexp_replace(p_brand, '[^A-Za-z0-9]', ' ', 'g'), lower(p_type)) AS name,
+    CASE WHEN p_partkey % 3 = 1 THEN '75001' ELSE lpad(CAST(p_size * 1000 AS VARCHAR), 5, '0') END AS cp, p_size AS weight FROM part),
+  k AS (SELECT ord, weight, {_NAME} AS nk, substr({D.cp('cp')}, 1, 2) AS block FROM r),
+  u0 AS (SELECT block, nk, min(ord) AS ord FROM k WHERE block <> '' GROUP BY ALL),
+  u1 AS (SELECT *, list_transform(string_split('abcdefghijklmnopqrstuvwxyz0123456789 ', ''), lambda c: length(nk) - length(replace(nk, c, ''))) AS h FROM u0),
+  u AS (SELECT *, list_append(h, length(nk) - CAST(list_sum(h) AS BIGINT)) AS letters FROM u1),
+  -- no pair can share more characters in order than it shares at all
+  fit AS MATERIALIZED (SELECT a.block, a.nk AS xa, b.nk AS xb FROM u a JOIN u b ON a.block = b.block AND a.nk < b.nk AND length(a.nk) > 0 AND length(b.nk) > 0
+    AND 200 * least(length(a.nk), length(b.nk)) >= {dedup.NAME_THRESHOLD} * (length(a.nk) + length(b.nk))
+    AND 200 * list_sum(list_transform(range(1, 39), lambda c: least(a.letters[c], b.letters[c]))) >= {dedup.NAME_THRESHOLD} * (length(a.nk) + length(b.nk))),
+  scored AS MATERIALIZED (SELECT block, xa, xb, {D.ratio('xa', 'xb')} AS sim FROM fit), near AS (SELECT block, xa, xb FROM scored WHERE sim >= {dedup.NAME_THRESHOLD})"""
+
+
+@query("dedup_components", _RICH + """,
+  e AS (SELECT a.ord AS a, b.ord AS b FROM near n JOIN u a ON a.block = n.block AND a.nk = xa JOIN u b ON b.block = n.block AND b.nk = xb),
+  ways AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+  reach AS (SELECT ord AS id, ord AS seen FROM u UNION SELECT reach.id, ways.b FROM reach JOIN ways ON ways.a = reach.seen),
+  least_of AS (SELECT id, min(seen) AS component FROM reach GROUP BY id)
+  SELECT k.ord, k.block, k.nk AS name_key, coalesce(component, k.ord) AS component FROM k LEFT JOIN u ON u.block = k.block AND u.nk = k.nk LEFT JOIN least_of ON id = u.ord""")
 def dedup_components(spark, sf):
     return dedup.similarity_components(rich_rows(spark, sf), dedup.NAME_THRESHOLD).select("ord", "block", "name_key", "component")
 
 
-@query("dedup_sequential")
+# The pair loop itself: in arrival order, a row not yet removed meets all later rows not yet removed; the better score stays.
+@query("dedup_sequential", _RICH + """,
+  p AS (SELECT *, weight % 3 AS score, row_number() OVER (PARTITION BY block ORDER BY ord) AS i FROM k WHERE block <> ''),
+  g AS (SELECT block, xa, xb FROM near UNION ALL SELECT block, xb, xa FROM near UNION ALL SELECT block, nk, nk FROM u),
+  later AS (SELECT x.block, x.i AS j, list(y.i ORDER BY y.i) FILTER (WHERE x.score <= y.score) AS loses, list(y.i ORDER BY y.i) FILTER (WHERE x.score > y.score) AS wins
+    FROM p x JOIN g ON g.block = x.block AND g.xa = x.nk JOIN p y ON y.block = x.block AND y.nk = g.xb AND y.i > x.i GROUP BY ALL),
+  step AS (
+    SELECT DISTINCT block, CAST(0 AS BIGINT) AS n, CAST([] AS STRUCT(i BIGINT, kept BIGINT)[]) AS gone FROM p
+    UNION ALL SELECT s.block, s.n + 1, CASE WHEN l.j IS NULL OR list_contains(list_transform(s.gone, lambda x: x.i), s.n + 1) THEN s.gone ELSE
+      s.gone || list_transform(list_filter(coalesce(l.loses, []), lambda y: NOT list_contains(list_transform(s.gone, lambda x: x.i), y)), lambda y: struct_pack(i := y, kept := s.n + 1))
+      || list_transform(list_filter(coalesce(l.wins, []), lambda y: NOT list_contains(list_transform(s.gone, lambda x: x.i), y))[1:1], lambda y: struct_pack(i := s.n + 1, kept := y)) END
+    FROM step s JOIN p ON p.block = s.block AND p.i = s.n + 1 LEFT JOIN later l ON l.block = s.block AND l.j = s.n + 1),
+  fin AS (SELECT block, unnest(arg_max(gone, n)) AS g FROM step GROUP BY block)
+  SELECT k.ord, k.block, k.nk AS name_key, keeper.ord AS kept_ord FROM k LEFT JOIN p ON p.ord = k.ord LEFT JOIN fin ON fin.block = p.block AND fin.g.i = p.i
+  LEFT JOIN p keeper ON keeper.block = p.block AND keeper.i = fin.g.kept""")
 def dedup_sequential(spark, sf):
     return dedup.sequential(rich_rows(spark, sf), F.col("weight") % 3, dedup.NAME_THRESHOLD).select("ord", "block", "name_key", "kept_ord")
 
