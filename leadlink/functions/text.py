@@ -75,7 +75,7 @@ def let(value: Column, body) -> Column:
 
 
 def normalize_siret(raw: Column) -> Column:
-    """14-digit id. Text that is not a finite number is kept as it is, trimmed."""
+    """14-digit id. Text that is not a finite number, or is one of 38 digits and more, is kept as it is, trimmed."""
 
     def as_number(s: Column) -> Column:
         num = F.when(s.rlike(FLOAT_TEXT), s.try_cast("double"))

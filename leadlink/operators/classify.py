@@ -135,7 +135,7 @@ def profiles_by_sector(spark: SparkSession) -> DataFrame:
 
 def warned_codes(codes: DataFrame, warnings: DataFrame) -> DataFrame:
     """Requested codes that carry a warning."""
-    return codes.join(F.broadcast(warnings.select("naf")), "naf", "left_semi")
+    return codes.join(warnings.select("naf"), "naf", "left_semi")
 
 
 # --- keyword lists ---------------------------------------------------------------

@@ -102,7 +102,9 @@ def ranked_grams(name: str, gram: int, ranks: dict[str, int]) -> list[int]:
     for i in range(len(folded) - gram + 1):
         g = folded[i : i + gram]
         seen[g] = nth = seen.get(g, 0) + 1
-        out.append((ranks[g] << 16) + min(nth, 65535))
+        if nth > 65535:
+            raise ValueError("a name repeats a gram more than 65,535 times")
+        out.append((ranks[g] << 16) + nth)
     out.sort()
     return out
 

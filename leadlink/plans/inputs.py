@@ -9,8 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadlink.session import widen
-
 RUN_DATE = "2026-02-23"
 EXPECTED_NAF = ["10.71", "47.11", "86.10Z"]
 
@@ -20,8 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    """Columns of a table whose rows are costly to process."""
-    return widen(table(spark, sf_dir, name).select(*cols))
+    return table(spark, sf_dir, name).select(*cols)
 
 
 _PAIR = "CAST((p_partkey - p_partkey % 2) / 2 AS BIGINT)"

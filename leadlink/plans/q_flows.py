@@ -85,14 +85,15 @@ def staged_backup(spark, sf):
     return per_id.groupBy("search_city").agg(F.sum("c").alias("n_raw"), F.count_if(F.col("siret") != "").alias("n_ids"))
 
 
-@query("batch_output", """WITH n AS (SELECT c_mktsegment AS sector, max(c_custkey) FILTER (WHERE c_custkey % 5 = 0) + 1 AS nb FROM customer GROUP BY 1)
-  SELECT sector, 'batch_' || nb AS batch, count(*) AS n FROM customer JOIN n ON sector = c_mktsegment GROUP BY ALL""")
+@query("batch_output", f"""WITH f AS (SELECT c_mktsegment AS sector, {FOLDER} AS folder FROM customer),
+  n AS (SELECT sector, coalesce(max(TRY_CAST(nullif(regexp_extract(folder, '^batch_([0-9]+)$', 1), '') AS DECIMAL(38, 0))), 0) + 1 AS nb FROM f GROUP BY 1)
+  SELECT sector, 'batch_' || CAST(nb AS VARCHAR) AS batch, count(*) AS n FROM customer JOIN n ON sector = c_mktsegment GROUP BY ALL""")
 def batch_output(spark, sf):
     """Rows written under sector / next batch number."""
     c = table(spark, sf, "customer")
     folders = c.selectExpr("c_mktsegment AS sector", f"{FOLDER} AS folder")
     nxt = files.next_batch(folders, ["sector"])
-    rows = c.withColumnRenamed("c_mktsegment", "sector").join(F.broadcast(nxt), "sector").withColumn(
+    rows = c.withColumnRenamed("c_mktsegment", "sector").join(nxt, "sector").withColumn(
         "batch", F.concat(F.lit("batch_"), F.col("next_batch").cast("string")))
     path = fresh_path(spark, "batches")
     sink.write_partitioned(rows.drop("next_batch"), path, ["sector", "batch"])

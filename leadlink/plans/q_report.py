@@ -118,7 +118,7 @@ _CENTRE = (
   WHERE km <= radius_km OR (radius_km = 0 AND hits = 0 AND km <= 1)""")
 def within_radius(spark, sf):
     nation, customer = table(spark, sf, "nation"), table(spark, sf, "customer")
-    rows = customer.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).selectExpr(
+    rows = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).selectExpr(
         "c_custkey", "n_name AS city", "CAST(45.0 + n_nationkey * 0.1 + (c_custkey % 50) * 0.002 AS DOUBLE) AS lat",
         "CAST(3.0 + (c_custkey % 7) * 0.01 AS DOUBLE) AS lon",
     )
@@ -134,7 +134,7 @@ _CODES = ["10.71", "47.11D", "86.10Z", "43.32A"]
 
 def _params(spark, sf):
     """One JSON request per customer, in the shapes users write."""
-    c = table(spark, sf, "customer").join(F.broadcast(table(spark, sf, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+    c = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     k = F.col("c_custkey")
     body = F.to_json(F.struct(
         k.cast("string").alias("request_id"),
@@ -171,11 +171,11 @@ def request_status(spark, sf):
     return _params(spark, sf).groupBy("status").agg(F.count("*").alias("n"))
 
 
-FOLDER = "CASE c_custkey % 5 WHEN 0 THEN 'batch_' || c_custkey WHEN 1 THEN 'batch_' || c_custkey || '_old' WHEN 2 THEN 'Batch_9999999' ELSE c_name END"
+FOLDER = "CASE WHEN c_custkey % 97 = 0 THEN 'batch_30000000' || c_custkey ELSE CASE c_custkey % 5 WHEN 0 THEN 'batch_' || c_custkey WHEN 1 THEN 'batch_' || c_custkey || '_old' WHEN 2 THEN 'Batch_9999999' ELSE c_name END END"
 
 
 @query("next_batch_number", f"""SELECT c_mktsegment AS sector,
-  CAST(coalesce(max(TRY_CAST(nullif(regexp_extract(f, '^batch_([0-9]+)$', 1), '') AS INTEGER)), 0) + 1 AS INTEGER) AS next_batch
+  CAST(coalesce(max(TRY_CAST(nullif(regexp_extract(f, '^batch_([0-9]+)$', 1), '') AS DECIMAL(38, 0))), 0) + 1 AS DECIMAL(38, 0)) AS next_batch
   FROM (SELECT c_mktsegment, {FOLDER} AS f FROM customer) GROUP BY 1""")
 def next_batch_number(spark, sf):
     folders = table(spark, sf, "customer").selectExpr("c_mktsegment AS sector", f"{FOLDER} AS folder")

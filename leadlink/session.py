@@ -34,15 +34,5 @@ def cut(df: DataFrame) -> DataFrame:
 
 def spread(df: DataFrame) -> DataFrame:
     """Even partitions for rows whose processing costs far more than their size suggests."""
-    sc = df.sparkSession.sparkContext
-    shuffles = 1 if sc.master.startswith("local") else int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(shuffles, sc.defaultParallelism))
-
-
-def widen(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer partitions than the session has cores, leave others alone.
-
-    For costly work per row on a small input, such as one file with one row group; a large
-    scan already has more partitions than cores and gets no shuffle.
-    """
-    return spread(df) if df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism else df
+    shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(shuffles, df.sparkSession.sparkContext.defaultParallelism))

@@ -108,8 +108,8 @@ def resolve_input(runs: DataFrame, files: DataFrame, scope: str) -> DataFrame:
 
 
 def next_batch(folders: DataFrame, by: list[str], name: str = "folder") -> DataFrame:
-    """Next batch number per sector: the highest batch_N plus one, 1 when there is none."""
-    n = F.regexp_extract(name, "^batch_([0-9]+)$", 1).try_cast("int")
+    """Next batch number per sector, in 38 digits: the highest batch_N plus one, 1 when there is none."""
+    n = F.regexp_extract(name, "^batch_([0-9]+)$", 1).try_cast("decimal(38,0)")
     return folders.groupBy(*by).agg((F.coalesce(F.max(n), F.lit(0)) + 1).alias("next_batch"))
 
 
