@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -149,9 +150,8 @@ def tag_excluded_category(df: DataFrame, name: str = "name", category: str = "ca
     by_cat: dict[str, list[str]] = {}
     for _, cat, kw in refdata.category_rows():
         by_cat.setdefault(cat, []).append(kw)
-    rules = F.array(*[F.struct(F.lit(c).alias("c"), F.lit("|".join(k)).alias("re")) for c, k in by_cat.items()])
-    hits = F.filter(rules, lambda r: F.regexp_like(F.col("_text"), r["re"]))
-    return df.withColumn("_text", text).withColumn("excluded", F.get(hits, F.lit(0))["c"]).drop("_text")
+    first = F.coalesce(*[F.when(F.col("_text").rlike("|".join(k)), F.lit(c)) for c, k in by_cat.items()])
+    return df.withColumn("_text", text).withColumn("excluded", first).drop("_text")
 
 
 def tag_excluded_brand(df: DataFrame, name: str = "name") -> DataFrame:
@@ -164,7 +164,9 @@ def _brand_in(norm: Column) -> Column:
     kws = F.array(
         *[F.struct(F.lit(k).alias("kw"), F.lit(_plain(k)).alias("norm")) for k in refdata.brand_keywords()]
     )
-    hits = F.filter(kws, lambda k: F.contains(norm, k["norm"]))
+    # One literal pattern says whether there is any; which one is only asked of the few names that match.
+    some = norm.rlike("|".join(re.escape(_plain(k)) for k in refdata.brand_keywords()))
+    hits = F.when(some, F.filter(kws, lambda k: F.contains(norm, k["norm"])))
     word = F.when(norm.rlike("\\b" + refdata.BRAND_WHOLE_WORD + "\\b"), refdata.BRAND_WHOLE_WORD)
     return F.coalesce(F.get(hits, F.lit(0))["kw"], word)
 

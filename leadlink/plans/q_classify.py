@@ -116,6 +116,34 @@ def _requests(spark, sf):
     )
 
 
+_NAMES = f"[{', '.join(repr(n) for n in _ALL_NAMES)}]"
+
+
+@query("request_codes", f"""WITH prof AS {PROFILES}, al AS {ALIASES},
+  r AS (SELECT CAST(c_custkey AS VARCHAR) AS request_id, CASE c_custkey % 3 WHEN 0 THEN [{_NAMES}[c_custkey % {len(_ALL_NAMES)} + 1]]
+    WHEN 1 THEN [{_NAMES}[c_custkey % {len(_ALL_NAMES)} + 1], {_NAMES}[c_custkey * 7 % {len(_ALL_NAMES)} + 1]] END AS names FROM customer),
+  req AS (SELECT request_id, unnest(range(len(names))) AS pos, unnest(names) AS profile FROM r WHERE names IS NOT NULL),
+  j AS (SELECT req.*, p.label, p.nafs FROM req LEFT JOIN al ON al.alias = req.profile LEFT JOIN prof p ON p.profile = coalesce(al.profile, req.profile))
+  SELECT request_id, coalesce(array_to_string(list_sort(list_distinct(flatten(list(nafs) FILTER (WHERE nafs IS NOT NULL)))), ' '), '') AS codes,
+    coalesce(string_agg(label, ', ' ORDER BY pos) FILTER (WHERE label IS NOT NULL), '') AS label,
+    coalesce(string_agg(DISTINCT profile, ' ' ORDER BY profile) FILTER (WHERE label IS NULL), '') AS unknown FROM j GROUP BY request_id
+  UNION ALL SELECT request_id, '47.11F 10.71C', '', '' FROM r WHERE names IS NULL""")
+def request_codes(spark, sf):
+    """Codes of saved run requests that name one profile, several, or codes."""
+    from leadlink.plans.inputs import table
+    from leadlink.sources import json_responses as J
+
+    k = F.col("c_custkey")
+    name = lambda at: F.element_at(F.array(*[F.lit(n) for n in _ALL_NAMES]), (at % len(_ALL_NAMES) + 1).cast("int"))
+    body = F.to_json(F.struct(
+        k.cast("string").alias("request_id"), F.lit("Lyon").alias("ville"), F.when(k % 3 == 0, name(k)).alias("profil"),
+        F.when(k % 3 == 1, F.array(name(k), name(k * 7))).alias("profils"), F.array(F.lit("47.11F"), F.lit("10.71C")).alias("codes_naf"),
+    ))
+    requests = J.run_requests(J.parse(table(spark, sf, "customer").select(body.alias("body")), "body", J.REQUEST_SCHEMA))
+    return J.request_codes(requests, spark).select(
+        "request_id", F.array_join("codes", " ").alias("codes"), "label", F.array_join("unknown", " ").alias("unknown"))
+
+
 @query("profile_resolve", f"""WITH {_REQ}, prof AS {PROFILES}, al AS {ALIASES},
   j AS (SELECT req.*, p.label, p.nafs FROM req LEFT JOIN al ON al.alias = req.profile LEFT JOIN prof p ON p.profile = coalesce(al.profile, req.profile))
   SELECT request_id, coalesce(array_to_string(list_sort(list_distinct(flatten(list(nafs) FILTER (WHERE nafs IS NOT NULL)))), ' '), '') AS codes,

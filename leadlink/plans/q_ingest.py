@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadlink import refdata as R
@@ -263,6 +266,41 @@ def selector_coverage(spark, sf):
     return H.selector_coverage(texts(spark, sf, "pages", "page_id", "url", "html"), PAGE_LINKS)
 
 
+@query("registry_work_list", """WITH a AS (SELECT * FROM (VALUES (0, '10.71C'), (1, '10.71D'), (2, '47.24Z')) t(activity_pos, activity)),
+  c AS (SELECT s_name AS city, 'owner ' || s_nationkey AS owner, unnest([0, 1]) AS commune_pos, unnest([lpad(CAST(s_suppkey AS VARCHAR), 5, '0'), '7' || s_nationkey]) AS commune FROM supplier)
+  SELECT city, owner, commune_pos, commune, activity_pos, activity FROM c, a""")
+def registry_work_list(spark, sf):
+    """Commune x activity requests of each configured city."""
+    cities = table(spark, sf, "supplier").select(
+        F.col("s_name").alias("city"), F.concat(F.lit("owner "), "s_nationkey").alias("owner"),
+        F.array(F.lpad(F.col("s_suppkey").cast("string"), 5, "0"), F.concat(F.lit("7"), "s_nationkey")).alias("communes"))
+    return J.registry_work(cities, R.REGISTRY_ACTIVITIES)
+
+
+@query("keyword_work_list", """WITH k AS (SELECT c_custkey AS search_id, unnest([0, 1]) AS keyword_pos, unnest([c_mktsegment, 'pharmacie']) AS keyword FROM customer),
+  c AS (SELECT c_custkey AS search_id, unnest([0, 1]) AS city_pos, unnest(['Paris', c_name]) AS city, unnest(['75', '31']) AS dept FROM customer)
+  SELECT search_id, keyword_pos, keyword, city_pos, city, dept FROM k JOIN c USING (search_id)""")
+def keyword_work_list(spark, sf):
+    """Keyword x city searches, the department in a city's text first."""
+    searches = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("search_id"), F.array("c_mktsegment", F.lit("pharmacie")).alias("keywords"), F.array(F.lit("Paris 75"), "c_name").alias("cities"),
+        F.lit("31").alias("dept"))
+    return J.keyword_work(searches)
+
+
+@query("saved_responses", """SELECT o_custkey AS k, o_orderkey AS pos, CASE WHEN o_orderkey % 2 = 0 THEN 'A ' || o_orderkey ELSE '' END AS name FROM orders
+  WHERE o_orderkey % 7 <> 0 UNION ALL SELECT NULL, NULL, NULL FROM orders WHERE o_orderkey % 7 = 0""")
+def saved_responses(spark, sf):
+    """Response files written by a collector and read back, unreadable lines kept as nulls."""
+    path = fresh_path(spark, "responses")
+    k = F.col("o_orderkey")
+    item = F.struct(k.alias("pos"), F.when(k % 2 == 0, F.concat(F.lit("A "), k.cast("string"))).otherwise("").alias("name"))
+    line = F.when(k % 7 == 0, F.lit("{not json")).otherwise(F.to_json(F.struct(F.col("o_custkey").alias("k"), F.array(item).alias("items"))))
+    table(spark, sf, "orders").select(line.alias("value")).write.text(path)
+    back = J.read_responses(spark, path, "k bigint, items array<struct<pos: bigint, name: string>>")
+    return back.select("k", F.explode_outer("items").alias("i")).select("k", "i.pos", "i.name")
+
+
 # --- files -----------------------------------------------------------------------
 
 @query("sinks_roundtrip", ctes("listing") + """
@@ -276,6 +314,27 @@ def sinks_roundtrip(spark, sf):
     return back.select(F.col("ord").cast("bigint").alias("ord"), *cols[1:], "part")
 
 
+@query("skip_empty_csv", "SELECT c_mktsegment AS segment, count(*) AS n, true AS written, false AS empty_written FROM customer GROUP BY 1")
+def skip_empty_csv(spark, sf):
+    """A projected file for rows, none for an empty frame."""
+    rows = table(spark, sf, "customer")
+    path, nothing = fresh_path(spark, "some"), fresh_path(spark, "none")
+    written = sink.write_if_any(rows, path, ["c_custkey", "c_mktsegment"])
+    empty = sink.write_if_any(rows.where("c_custkey < 0"), nothing, ["c_custkey"])
+    back = files.read_csv(spark, path, ["c_custkey", "c_mktsegment"])
+    return back.groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count("*").alias("n")).withColumns({"written": F.lit(written), "empty_written": F.lit(empty)})
+
+
+@query("incremental_save", "SELECT o_custkey AS k, count(*) AS n, max(o_orderkey % 3) AS last FROM orders GROUP BY 1")
+def incremental_save(spark, sf):
+    """Three saves to one progress table; each only adds."""
+    path = fresh_path(spark, "saved")
+    rows = table(spark, sf, "orders").select(F.col("o_custkey").alias("k"), (F.col("o_orderkey") % 3).alias("step"))
+    for step in range(3):
+        sink.append_progress(rows.where(F.col("step") == step), path)
+    return spark.read.parquet(path).groupBy("k").agg(F.count("*").alias("n"), F.max("step").alias("last"))
+
+
 @query("leads_csv_roundtrip", CROSSED + f" SELECT {', '.join(LEAD_COLUMNS)} FROM leads")
 def leads_csv_roundtrip(spark, sf):
     """Leads under their display names, read back and renamed."""
@@ -285,12 +344,17 @@ def leads_csv_roundtrip(spark, sf):
     return back.select(*[F.col(f"`{d}`").alias(c) for c, d in R.LEAD_DISPLAY.items()])
 
 
-_STAGES = {"listing": (R.LISTING_DISPLAY, "listing"), "signal": (R.SIGNAL_DISPLAY, "potential")}
+_STAGES = {
+    "listing": (R.LISTING_DISPLAY, "listing"), "signal": (R.SIGNAL_DISPLAY, "potential"), "enriched": (R.ENRICHED_DISPLAY, "listing"),
+    "profiled": (R.PROFILED_DISPLAY, "listing"), "registry": (R.REGISTRY_DISPLAY, "potential"), "sector": (R.SECTOR_DISPLAY, "listing"),
+}
 
 
 @query("stage_csv_roundtrip", ctes("listing", "potential") + """
   SELECT 'listing' AS stage, name, address, cp, phone, collected_on, '' AS lbb_score FROM listing
-  UNION ALL SELECT 'signal', name, address, cp, phone, collected_on, lbb_score FROM potential""")
+  UNION ALL SELECT 'signal', name, address, cp, phone, collected_on, lbb_score FROM potential
+  UNION ALL SELECT 'enriched', name, address, cp, phone, collected_on, '' FROM listing UNION ALL SELECT 'profiled', name, address, cp, phone, collected_on, '' FROM listing
+  UNION ALL SELECT 'registry', name, address, '', phone, '', '' FROM potential UNION ALL SELECT 'sector', name, '', cp, phone, collected_on, '' FROM listing""")
 def stage_csv_roundtrip(spark, sf):
     """Stage files under their display names; columns a source lacks come back blank."""
     out = []
@@ -299,9 +363,9 @@ def stage_csv_roundtrip(spark, sf):
         sink.write_stage(view(spark, sf, source), path, display)
         back = files.read_csv(spark, path, list(display.values()))
         names = {c: F.col(f"`{d}`").alias(c) for c, d in display.items()}
-        keep = [names[c] for c in ("name", "address", "cp", "phone", "collected_on")]
-        out.append(back.select(F.lit(stage).alias("stage"), *keep, names.get("lbb_score", F.lit("").alias("lbb_score"))))
-    return out[0].unionByName(out[1])
+        keep = [names.get(c, F.lit("").alias(c)) for c in ("name", "address", "cp", "phone", "collected_on", "lbb_score")]
+        out.append(back.select(F.lit(stage).alias("stage"), *keep))
+    return reduce(DataFrame.unionByName, out)
 
 
 @query("superset_roundtrip", """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from leadlink.plans.inputs import table
@@ -24,10 +26,28 @@ def stream_first_seen(spark, sf):
     return spark.read.parquet(path).select("user_id", "event_type")
 
 
+def _arriving(spark, sf):
+    """Events as four files in time order, a tenth of the rows twice in theirs and a ninth again, an hour late, in the next;
+    then a file of new rows from the first quarter, far behind the watermark."""
+    folder = fresh_path(spark, "arriving")
+    events = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id")
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    edge = [low + (high - low) * k / 4 for k in range(4)]
+    rows = events.withColumn("q", sum((F.col("ts") >= F.lit(e)).cast("int") for e in edge[1:]))
+    for n in range(4):
+        own = rows.where(F.col("q") == n)
+        recent = rows.where((F.col("q") == n - 1) & (F.col("event_id") % 9 == 0) & (F.col("ts") > F.lit(edge[n] - timedelta(days=1))))
+        part = own.unionByName(own.where("event_id % 10 = 0")).unionByName(recent.withColumn("ts", F.expr("ts + interval 1 hour")))
+        part.drop("q").coalesce(1).write.mode("append").parquet(folder)
+    rows.where("q = 0").withColumn("event_id", F.col("event_id") + 1_000_000_000).drop("q").coalesce(1).write.mode("append").parquet(folder)
+    return jobs.file_stream(spark, folder, "*.parquet", "event_id bigint, ts timestamp, user_id bigint", files_per_batch=1)
+
+
 @query("stream_first_seen_bounded", "SELECT DISTINCT event_id, user_id FROM events")
 def stream_first_seen_bounded(spark, sf):
+    """Repeated rows go, rows behind the watermark go, and a key is forgotten after two days."""
     path = fresh_path(spark, "first-seen-bounded")
-    firsts = jobs.first_seen(_events(spark, sf), ["event_id"], "ts", "2 days")
+    firsts = jobs.first_seen(_arriving(spark, sf), ["event_id"], "ts", "2 days")
     jobs.append_run(firsts, path, fresh_path(spark, "ckpt")).awaitTermination()
     return spark.read.parquet(path).select("event_id", "user_id")
 

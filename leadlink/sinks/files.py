@@ -10,13 +10,20 @@ from leadlink import refdata
 QUOTE = '"'
 
 
-def write_csv(df: DataFrame, path: str, columns: list[str], display: dict[str, str] | None = None, by: list[str] | None = None) -> None:
-    """Fixed column order as text; extra columns are dropped, missing ones are blank."""
+MARK = "\ufeff"
+
+
+def write_csv(df: DataFrame, path: str, columns: list[str], display: dict[str, str] | None = None, by: list[str] | None = None,
+              mark: bool = True) -> None:
+    """Fixed column order as text; extra columns are dropped, missing ones are blank.
+
+    Every file starts with a byte-order mark, unless `mark` is off.
+    """
     names = display or {}
     out = []
-    for c in columns:
+    for n, c in enumerate(columns):
         col = F.col(c).cast("string") if c in df.columns else F.lit("")
-        out.append(F.coalesce(col, F.lit("")).alias(names.get(c, c)))
+        out.append(F.coalesce(col, F.lit("")).alias(MARK * (mark and n == 0) + names.get(c, c)))
     rows = df.select(*out, *(by or []))
     if by:
         rows = rows.hint("rebalance", *by)

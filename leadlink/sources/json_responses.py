@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as P
 
 from leadlink.functions import text as T
+from leadlink.operators import classify
 
 _ITEM = """struct<
   workplace:struct<siret:string,name:string,legal_name:string,brand:string,
@@ -186,6 +187,34 @@ def run_requests(params: DataFrame) -> DataFrame:
     )
 
 
+def request_codes(requests: DataFrame, spark: SparkSession) -> DataFrame:
+    """(request_id, codes, label, unknown): the activity codes of each accepted request, of its profiles if it names any."""
+    ok = requests.where("status = 'ok'")
+    named = ok.select("request_id", F.posexplode("profiles").alias("pos", "profile"))
+    given = ok.where("profiles IS NULL").select(
+        "request_id", F.coalesce("codes_naf", F.array().cast("array<string>")).alias("codes"), F.lit("").alias("label"), F.array().cast("array<string>").alias("unknown")
+    )
+    return classify.resolve_profiles(named, spark).unionByName(given)
+
+
+def registry_work(cities: DataFrame, activities: list[str]) -> DataFrame:
+    """Every (city, commune, activity) of a registry extract, in order. cities: city, communes, owner."""
+    c = cities.select("city", "owner", F.posexplode("communes").alias("commune_pos", "commune"))
+    return c.select("*", F.posexplode(F.array(*[F.lit(a) for a in activities])).alias("activity_pos", "activity"))
+
+
+def keyword_work(searches: DataFrame) -> DataFrame:
+    """Every (keyword, city) of a search, keywords first; the department inside a city's text wins over the search's own.
+
+    searches: search_id, keywords, cities, dept.
+    """
+    k = searches.select("search_id", "cities", "dept", F.posexplode("keywords").alias("keyword_pos", "keyword"))
+    rows = k.select("search_id", "keyword_pos", "keyword", "dept", F.posexplode("cities").alias("city_pos", "raw"))
+    own = T.department_in_city(F.col("raw"))
+    dept = F.when(F.coalesce(own, F.lit("")) != "", own).otherwise(F.col("dept"))
+    return rows.select("search_id", "keyword_pos", "keyword", "city_pos", T.clean_city(F.col("raw")).alias("city"), dept.alias("dept"))
+
+
 def work_list(requests: DataFrame, occupations: DataFrame) -> DataFrame:
     """Every (request, city, occupation) to collect, in order.
 

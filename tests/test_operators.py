@@ -168,3 +168,60 @@ def test_stream_resume_skips_answered_keys(spark):
     spark.createDataFrame([("a", "1"), ("c", "1")], "name string, cp string").write.mode("append").parquet(src)
     run(ckpt)
     assert sorted(r.name for r in spark.read.schema(schema).parquet(progress).collect()) == ["A", "b", "c"]
+
+
+def test_every_line_is_a_candidate(spark, sf):
+    from leadlink.plans import q_resolve
+
+    _, candidates = q_resolve.searches(spark, sf)
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    assert candidates.count() == lines == candidates.select("query_id", "pos").distinct().count()
+
+
+def test_batch_numbers_beyond_int(spark):
+    folders = spark.createDataFrame([("s", "batch_3000000000"), ("s", "batch_2"), ("t", "batch_99999999999999999999"), ("u", "x")], "sector string, folder string")
+    got = {r.sector: int(r.next_batch) for r in files.next_batch(folders, ["sector"]).collect()}
+    assert got == {"s": 3000000001, "t": 100000000000000000000, "u": 1}
+
+
+def test_page_tree():
+    root = H.parse("""<div class="a bi-bloc"><div>one<div>two</div></div> three &eacute;&#8217;<br>four
+      <script>var x = "</div>";</script><ul><li>p<li>q</ul><p>r<p>s <b>t</b></div><div id=z>u</div>""")
+    block = H.first(root, H.compile_selector("[class*='bi-bloc']"))
+    assert block.text() == "one\ntwo\nthree é’\nfour\np\nq\nr\ns t"
+    assert [e.text() for e in H.all_of(root, H.compile_selector("li, #x, p b".replace("#x, ", "")))] == ["p", "q", "t"]
+    deep = H.parse("<div>" * 3000 + "x" + "</div>" * 3000)
+    assert deep.text() == "x" and len(H.all_of(deep, H.compile_selector("div"))) == 3000
+    assert H.parse("</p><b>open").text() == "open" and H.parse("").text() == ""
+
+
+def test_first_element_decides_in_the_older_layout(spark):
+    html = "<article class='bi-bloc'><h2><a>first</a></h2><i class='denomination'>second</i><span class='tel'></span><a href='tel:0561'>x</a></article>"
+    pages = spark.createDataFrame([(1, html, "t", "k", "31", "Toulouse")], "page_id long, html string, training string, keyword string, dept string, city string")
+    r = H.old_listings(pages, H.OLD_DIRECTORY).first()
+    assert (r.name, r.phone, r.website, r.cp) == ("first", "", "", "31000")
+
+
+def test_files_start_with_a_byte_order_mark(spark, tmp_path):
+    import glob
+
+    sink.write_csv(spark.createDataFrame([("007", "é")], "siret string, name string"), f"{tmp_path}/o", ["siret", "name"])
+    raw = [open(p, "rb").read() for p in glob.glob(f"{tmp_path}/o/part-*.csv")]
+    assert raw and all(x.startswith(b"\xef\xbb\xbfsiret,name\n") for x in raw)
+
+
+def test_chained_stages(spark):
+    """By id, then by phone and name, then by department and name, each on what the one before left."""
+    from leadlink.operators import flows
+
+    cols = ["siret", "name", "phone", "cp", "priority", "website"]
+    rows = [
+        (1, "11111111111111", "Boulangerie Dupont", "", "31000", "Haute", ""), (2, "11111111111111", "Boulangerie Dupont", "0561000000", "31000", "Basse", ""),
+        (3, "22222222222222", "Boulangeries Dupont", "0561000000", "31000", "Basse", "http://w"), (4, "33333333333333", "Boulangerie Duponte", "", "31500", "Basse", ""),
+        (5, "", "Autre Nom", "0561000000", "31000", "Basse", ""), (6, "", "Boulangerie Dupont", "", "75001", "Basse", ""),
+    ]
+    leads = spark.createDataFrame(rows, "ord long, " + ", ".join(f"{c} string" for c in cols))
+    out, report = flows.dedup_stages(leads, cols)
+    assert [tuple(r) for r in report.collect()] == [("siret", 1, 5), ("phone", 1, 4), ("name", 1, 3), ("total", 3, 3)]
+    best = {r.ord: r for r in out.collect()}
+    assert set(best) == {3, 5, 6} and best[3].website == "http://w" and best[3].phone == "0561000000"

@@ -173,3 +173,24 @@ def test_leader_rounds_give_the_same_answer(spark, monkeypatch):
     for o, b, n, s in rows:
         better = [(s2, o2) for o2, b2, n2, s2 in rows if b2 == b and (s2, o2) < (s, o) and similar(n, n2, 85)]
         assert got[o] == (min(better)[1] if better else None)
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_survivors_are_one_pass_in_rank_order(spark, seed):
+    rng, names = fixture_names(seed, 160)
+    rows = [(k, rng.choice(["b1", "b1", "b2", ""]), rng.choice(names), rng.randint(0, 3)) for k in range(220)]
+    df = spark.createDataFrame(rows, "ord long, block string, name_key string, s int")
+    got = {r.ord: r.kept_ord for r in dedup.survivors(df, [F.col("s")], 85).collect()}
+    staying, want = [], {r[0]: None for r in rows}
+    for o, block, name, _ in sorted((r for r in rows if r[1]), key=lambda r: (r[3], r[0])):
+        hit = next((x for x, b, n in staying if b == block and (n == name or similar(n, name, 85))), None)
+        want[o] = hit
+        if hit is None:
+            staying.append((o, block, name))
+    assert got == want
+    assert all(want[k] is None for k in want.values() if k is not None)  # whoever absorbs stays
+
+
+def test_a_gram_repeated_beyond_the_numbering_is_refused():
+    with pytest.raises(ValueError):
+        simjoin.ranked_grams("A" * 70_000, 1, {"A": 1})
