@@ -3,9 +3,9 @@
 The UTF-8 bytes of a whole text are cut into windows of `width` bytes. In each window one gated recurrent unit reads
 forwards and one backwards; at every byte a softmax over both states gives the probability of each language, and a
 document's probabilities are the mean over all of its bytes. Training is plain numpy on the driver: backpropagation
-through time over random windows of at most `per_language` documents of each language (`windows` of them each), chosen by
-a hash of their ids, so the work and memory of training are bounded whatever the corpus holds. Prediction is a map over
-all rows with a model of a few kB.
+through time over random windows of at most `per_language` documents of each language, chosen by a hash of their ids, and
+of each at most `SNIPPETS` snippets of `SNIPPET` bytes spread evenly over the whole text, so the work and memory of
+training are bounded whatever the corpus holds. Prediction is a map over all rows with a model of a few kB.
 
 Never used for a prediction: lang, source, id. Held out from training: rows whose crc32(id as text) mod 4 is 2.
 
@@ -28,6 +28,7 @@ from leadlink.llm.registry import query
 
 ship(__name__)
 
+SNIPPETS, SNIPPET = 48, 240
 LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -213,12 +214,25 @@ def _filter(m, names: list[str], width: int, text_at: int, least: float):
     return run
 
 
+def _snippets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        lang, part = [], []
+        for name, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            raw = text.encode()
+            n = min(SNIPPETS, -(-len(raw) // SNIPPET))
+            at = np.linspace(0, max(0, len(raw) - SNIPPET), n).astype(int).tolist()
+            part += [raw[k : k + SNIPPET] for k in at]
+            lang += [name] * n
+        yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(part, pa.binary())], names=["lang", "snippet"])
+
+
 def sample(docs: DataFrame, lang: Column, per_language: int) -> list:
-    """(lang, text) of at most `per_language` learnable documents of each language."""
+    """(lang, snippet) of at most `per_language` learnable documents of each language."""
     rows = docs.where(lang.isNotNull() & F.col("text").rlike(r"\p{L}") & F.col("id").isNotNull() & (crc_mod4(F.col("id")) != 2))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     chosen = rows.select("id", lang.alias("lang")).withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_language).select("id").distinct()
-    return rows.select("id", lang.alias("lang"), "text").join(F.broadcast(chosen), "id").orderBy("id", "lang").select("lang", F.substring("text", 1, 20_000).alias("text")).collect()
+    texts = rows.select("id", lang.alias("lang"), "text").join(F.broadcast(chosen), "id").select("lang", "text")
+    return texts.mapInArrow(_snippets, "lang string, snippet binary").orderBy("lang", "snippet").collect()
 
 
 def fit(docs: DataFrame, lang_col: str = "lang", per_language: int = 200, hidden: int = 8, steps: int = 500):
@@ -227,7 +241,7 @@ def fit(docs: DataFrame, lang_col: str = "lang", per_language: int = 200, hidden
     names = sorted({r.lang for r in rows})
     if not names:
         return None, []
-    return train([(r.text.encode(), names.index(r.lang)) for r in rows], len(names), hidden, steps=steps), names
+    return train([(bytes(r.snippet), names.index(r.lang)) for r in rows], len(names), hidden, steps=steps), names
 
 
 def predict(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", width: int = 96) -> DataFrame:
