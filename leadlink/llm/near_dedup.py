@@ -13,8 +13,8 @@ ascending order and a process ends as soon as it cannot lower any component.
    fullest buckets, which in a group of near copies is the most central text: no pairs inside a bucket are listed.
 3. Pairs are verified by the exact multiset overlap of whole texts; links are joined to classes.
 4. The exact way for the rest: where a bucket still holds several classes, each member outside its largest class is
-   compared with all members of other classes: as pairs where these are few, in tiles of `tile` x `tile` documents, dealt
-   over the cluster, where they are many. So no bucket is capped and no candidate pair between different classes is left.
+   compared with all members of other classes: as pairs where these are few, in tiles of `tile` x `tile` documents of all
+   crowded buckets with the same largest class, dealt over the cluster, where they are many. So no bucket is capped and no candidate pair between different classes is left.
 
 At the defaults a pair of similarity 0.8 shares no band with probability 3e-6.
 
@@ -61,7 +61,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 class _Words(dict):
     def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
@@ -220,17 +220,21 @@ def _rest(members: DataFrame, texts: DataFrame, labels: DataFrame, threshold: fl
         .join(m.where(few).select("key", F.col("id").alias("b"), F.col("comp").alias("cb")), "key")
         .where("ca <> cb AND (cb = main OR a < b)").select("a", "b").distinct()
     )
-    cells = lambda n: F.ceil(n / F.lit(tile)).cast("int")
-    rows_of, columns_of = cells(F.col("all") - F.col("most")), cells(F.col("all"))
-    dealt = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
-    spread = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    left = out.where(~few).select("key", "id", "comp", F.lit(0).alias("side"), dealt(rows_of).alias("i"), spread(columns_of).alias("j"))
-    right = m.where(~few).select("key", "id", "comp", F.lit(1).alias("side"), spread(rows_of).alias("i"), dealt(columns_of).alias("j"))
-    tiles = left.unionByName(right).join(texts, "id").groupBy("key", "i", "j").applyInArrow(_tiler(threshold), "a long, b long")
+    # Crowded buckets around one class have much the same members: each document enters its tiles once, not once a bucket.
+    big = m.where(~few).select("main", "id", "comp").distinct()
+    outside = F.col("comp") != F.col("main")
+    cells = lambda n: F.greatest(F.lit(1), F.ceil(n / F.lit(tile)).cast("int"))
+    grid = big.groupBy("main").agg(cells(F.count_if(outside)).alias("rows"), cells(F.count("*")).alias("columns"))
+    big = big.join(grid, "main")
+    dealt = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = big.where(outside).select("main", "id", "comp", F.lit(0).alias("side"), dealt("rows").alias("i"), spread("columns").alias("j"))
+    right = big.select("main", "id", "comp", F.lit(1).alias("side"), spread("rows").alias("i"), dealt("columns").alias("j"))
+    tiles = left.unionByName(right).join(texts, "id").groupBy("main", "i", "j").applyInArrow(_tiler(threshold), "a long, b long")
     return _linked(pairs, texts, threshold).unionByName(tiles.distinct())
 
 
-def classes(docs: DataFrame, threshold: float = 0.8, bands: int = 24, rows: int = 4, few_pairs: int = 1024, tile: int = 256,
+def classes(docs: DataFrame, threshold: float = 0.8, bands: int = 24, rows: int = 4, few_pairs: int = 64, tile: int = 256,
             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, class_id, class_size, kept) for every row."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -252,11 +256,8 @@ def classes(docs: DataFrame, threshold: float = 0.8, bands: int = 24, rows: int
     more = _rest(members, whole, labels, threshold, few_pairs, tile)
     links = stored(links.unionByName(more), "all-links")
     labels = components(links, met)
-    named = (
-        signed.select("id", "same").join(reps.select("same", "rep"), "same", "left")
-        .join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left")
-        .select("id", F.coalesce("component", "rep", "id").alias("class_id"))
-    )
+    class_of = reps.select("same", F.col("rep").alias("id")).join(labels, "id", "left").select("same", F.coalesce("component", "id").alias("class_id"))
+    named = signed.select("id", "same").join(class_of, "same", "left").select("id", F.coalesce("class_id", "id").alias("class_id"))
     named = stored(named, "classes")
     sizes = named.groupBy("class_id").agg(F.min("id").alias("least"), F.count("*").alias("class_size"))
     return named.join(sizes, "class_id", "left").select(
