@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from functools import cached_property
 
 import numpy as np
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
@@ -21,7 +22,7 @@ from leadlink.llm.common import per_worker, ship
 ship(__name__)
 
 SPACES = "\t\n\x0b\x0c\r \x85\xa0"
-CACHE = 400_000
+CACHE = 300_000
 
 
 def _letters(kind: str) -> str:
@@ -50,7 +51,7 @@ _UNKNOWN = re.compile("[^\x00-ɏ‐-‧‰-⁞₠-₿]")
 
 class Coder:
     def __init__(self, path: str, cache: int = CACHE):
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path = path
         with open(path) as f:
             spec = json.load(f)
         self.rule = _splitter(spec)
@@ -64,6 +65,11 @@ class Coder:
         self.known: dict[str, bytes] = {}
         self.words = _Words(self._encode, cache) if self.rule is not None and self.rule[1] else None
 
+    @cached_property
+    def tokenizer(self) -> Tokenizer:
+        """The tokenizer as it is, for whole texts; few workers need it."""
+        return Tokenizer.from_file(self.path)
+
     def pieces(self, text: str) -> list[str] | None:
         """The pre-tokens of a text, None if only the library may split it."""
         if self.rule is None or any(s in text for s in self.special):
