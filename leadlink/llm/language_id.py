@@ -255,8 +255,8 @@ def predict(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     return said.withColumnRenamed("id", id_col)
 
 
-def accepted(docs: DataFrame, least: float = 0.35, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", width: int = 96) -> DataFrame:
-    """The rows whose text is in a learned language with a score of at least `least`, with all their columns."""
+def accepted(docs: DataFrame, least: float = 0.0, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", width: int = 96) -> DataFrame:
+    """The rows that are not `und` and score at least `least`, with all their columns."""
     model, names = fit(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")), "lang")
     return docs.mapInArrow(_filter(model, names, width, docs.columns.index(text_col), least), docs.schema)
 
