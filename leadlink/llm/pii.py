@@ -4,8 +4,10 @@ Numbers and dates are found by pattern, validated, and moved by a keyed Feistel
 equal values get equal pseudonyms in every document, different values stay different, and the result validates again:
 
 * card numbers (13 to 19 digits, Luhn): all digits but the last are permuted, the check digit is computed anew;
-* account numbers (IBAN, mod 97): the digits after the check digits are permuted, country and letters stay;
-* phone numbers (+country code, or bracketed or separated groups of 3-3-4): the digits after the country code;
+* account numbers (IBAN, mod 97, as long as the country's are; of unlisted countries or lengths the longest run of groups
+  that validates): the digits after the check digits are permuted, country and letters stay;
+* phone numbers (+country code, or bracketed or separated groups of 3-3-4): the digits after the country code. Where a
+  country has one length the number ends there, elsewhere before a blank that another value follows;
 * social security numbers (AAA-GG-SSSS with possible area, group and serial): within the possible ones;
 * IPv4 addresses: within all addresses;
 * dates (1900 to 2099; Y-M-D, and D/M/Y or D.M.Y or, where only that is a date, M/D/Y): within the days of these years,
@@ -34,10 +36,42 @@ FREE = r"(?<![\w]|\d[.,-])"
 MAIL = r"(?<![\w.%+-])[\w.%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}"
 IP = FREE + r"(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)"
 CARD = FREE + r"(?:\d{13,19}|(?:\d{4}[ -]){3}\d{4}|\d{4}[ -]\d{6}[ -]\d{5})(?!\w|-\d)"
-IBAN = FREE + r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"
 SSN = FREE + r"\d{3}-\d{2}-\d{4}(?!\w|-\d)"
-PHONE = r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\w)|(?<!\w)\(\d{3}\) ?\d{3}-\d{4}(?!\w)|" + FREE + r"\d{3}[-.]\d{3}[-.]\d{4}(?!\w|[-.]\d)"
 DATE = FREE + r"(?:\d{4}-\d{1,2}-\d{1,2}|\d{1,2}[/.]\d{1,2}[/.]\d{4})(?!\w|[-/]\d)"
+GROUPED = r"(?<!\w)\(\d{3}\) ?\d{3}-\d{4}(?!\w)|" + FREE + r"\d{3}[-.]\d{3}[-.]\d{4}(?!\w|[-.]\d)"
+
+#: Characters of an account number by country (the IBAN registry).
+IBAN_SIZES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+#: Digits after the country code, where a country has one length only.
+PHONE_SIZES = {10: "1 7 20 30 44 52 90 91 92", 9: "27 31 33 34 40 41 48 61 212 351 380 420", 8: "45 47 65 852"}
+
+
+def _iban_of(size: int, countries: str) -> str:
+    tail = f"(?: ?[A-Z0-9]{{{size % 4}}})" if size % 4 else ""
+    return rf"(?:{countries.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{size // 4 - 1}}}{tail}"
+
+
+OF_COUNTRY = FREE + "(?:" + "|".join(_iban_of(n, c) for n, c in IBAN_SIZES.items()) + r")(?!\w)"
+#: A blank followed by one of these ends a number of unknown length: the next value begins there.
+_OCTET, _DAY = r"(?:25[0-5]|2[0-4]\d|[01]?\d?\d)", r"(?:0?[1-9]|[12]\d|3[01])"
+_IP = FREE + rf"(?:{_OCTET}\.){{3}}{_OCTET}(?![\w]|\.\d)"
+_DATE = FREE + rf"(?:(?:19|20)\d\d-(?:0?[1-9]|1[0-2])-{_DAY}|{_DAY}[/.]{_DAY}[/.](?:19|20)\d\d)(?!\w|[-/]\d)"
+#: Groups of four go to cards from the end of their run.
+_FOURS = r"(?:\d{4}[ -]){3}\d{4}"
+_CARD = FREE + rf"(?:\d{{13,19}}|{_FOURS}(?:[ -]{_FOURS})*+(?![ -]\d{{4}}(?!\d|[-/.]\d))|\d{{4}}[ -]\d{{6}}[ -]\d{{5}})(?!\w|-\d)"
+NEXT = "(?:" + "|".join((MAIL, _IP, _DATE, SSN, GROUPED, _CARD, OF_COUNTRY, r"\+\d")) + ")"
+IBAN = OF_COUNTRY + "|" + FREE + rf"[A-Z]{{2}}\d{{2}}(?:(?: (?!{NEXT}))?[A-Z0-9]{{4}}){{2,7}}(?:(?: (?!{NEXT}))?[A-Z0-9]{{1,3}})?(?!\w)"
+_GROUPS = rf"[ .-]?\(?\d{{1,4}}\)?(?:(?:[ .-](?!{NEXT}))?\d{{2,4}}){{2,4}}(?!\w)"
+_DIGIT = r"[ .()-]{0,3}\d"  # written out as often as it counts: Java wants to see how far a look-behind reaches
+_SIZED = "|".join(rf"(?:{c.replace(' ', '|')})(?: ?\(0\))?{_DIGIT * n}" for n, c in PHONE_SIZES.items())
+_CODES = "|".join(PHONE_SIZES.values()).replace(" ", "|")
+PHONE = (
+    rf"(?<![\w+])\+(?:{_CODES})(?: ?\(0\))?{_GROUPS}(?<=\+(?:{_SIZED}))|(?<![\w+])\+\d{{1,3}}{_GROUPS}(?<=\+{_DIGIT * 6}{f'(?:{_DIGIT})?' * 9})|" + GROUPED
+)
 #: Where two kinds begin at one place the first wins.
 FOUND = "|".join(f"(?:{p})" for p in (MAIL, IP, DATE, SSN, PHONE, CARD, IBAN))
 
@@ -118,19 +152,32 @@ def _mod97(text: Column) -> Column:
 
 
 def _iban(key: str, m: Column) -> Column:
-    plain = F.replace(m, F.lit(" "), F.lit(""))
-    country, rest = plain.substr(1, 2), plain.substr(F.lit(5), F.length(plain) - 4)
-    new = _refill(rest, permuted_digits(key, "iban", _digits(rest)))
-    check = F.lpad((98 - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
-    full = F.concat(country, check, new)
-    spaced = F.aggregate(
-        _chars(m), F.struct(F.lit("").alias("out"), F.lit(1).alias("k")),
-        lambda s, c: F.struct(
-            F.concat(s["out"], F.when(c == " ", c).otherwise(full.substr(s["k"], F.lit(1)))).alias("out"),
-            (s["k"] + F.when(c == " ", 0).otherwise(1)).alias("k"),
-        ),
-    )["out"]
-    return F.when((F.length(_digits(rest)) >= 4) & (_mod97(F.concat(rest, plain.substr(1, 4))) == 1), spaced)
+    """The longest run of groups that validates; of a country's own length, or of any for the others."""
+    parts = F.split(m, " ")
+    runs = F.transform(F.sequence(F.size(parts), F.lit(1), F.lit(-1)), lambda k: F.array_join(F.slice(parts, F.lit(1), k), " "))
+    tried = F.when(m.rlike(f"^(?:{OF_COUNTRY})$"), F.array(m)).otherwise(runs)
+
+    def valid(t: Column) -> Column:
+        plain = F.replace(t, F.lit(" "), F.lit(""))
+        rest = plain.substr(F.lit(5), F.length(plain) - 4)
+        return (F.length(plain) >= 12) & (F.length(_digits(rest)) >= 4) & (_mod97(F.concat(rest, plain.substr(1, 4))) == 1)
+
+    def changed(t: Column) -> Column:
+        plain = F.replace(t, F.lit(" "), F.lit(""))
+        country, rest = plain.substr(1, 2), plain.substr(F.lit(5), F.length(plain) - 4)
+        new = _refill(rest, permuted_digits(key, "iban", _digits(rest)))
+        check = F.lpad((98 - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
+        full = F.concat(country, check, new)
+        spaced = F.aggregate(
+            _chars(t), F.struct(F.lit("").alias("out"), F.lit(1).alias("k")),
+            lambda s, c: F.struct(
+                F.concat(s["out"], F.when(c == " ", c).otherwise(full.substr(s["k"], F.lit(1)))).alias("out"),
+                (s["k"] + F.when(c == " ", 0).otherwise(1)).alias("k"),
+            ),
+        )["out"]
+        return F.concat(spaced, m.substr(F.length(t) + 1, F.length(m)))
+
+    return F.get(F.transform(F.slice(F.filter(tried, valid), 1, 1), changed), F.lit(0))
 
 
 def _ip(key: str, m: Column) -> Column:
@@ -195,7 +242,7 @@ def pseudonym(key: str, m: Column) -> Column:
     is_ = lambda p: m.rlike(f"^(?:{p})$")
     return (
         F.when(F.contains(m, F.lit("@")), _mail(key, m)).when(is_(IP), _ip(key, m)).when(is_(DATE), _date(key, m))
-        .when(is_(SSN), _ssn(key, m)).when(is_(PHONE), _phone(key, m)).when(is_(CARD), _card(key, m)).otherwise(_iban(key, m))
+        .when(is_(SSN), _ssn(key, m)).when(F.startswith(m, F.lit("+")) | is_(PHONE), _phone(key, m)).when(is_(CARD), _card(key, m)).otherwise(_iban(key, m))
     )
 
 

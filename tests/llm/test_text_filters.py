@@ -164,3 +164,22 @@ def test_mask_defined_cases(spark):
     got = pii.mask(frame(spark)).collect()
     assert sorted([(r.doc_id, r.text) for r in got], key=repr) == sorted([r[:2] for r in ROWS], key=repr)
     assert pii.mask(frame(spark, [])).collect() == []
+
+
+def test_adjacent_values(spark):
+    bban = "WEST 1234 5698 7654 32"
+    unlisted = f"XX{98 - mod97('XX00' + bban):02d} {bban}"
+    values = [
+        "a@b.example", "12@b.example", "190.137.223.204", "2024-05-01", "29.02.2024", "2/29/2024", "123-45-6789", "+1 (826) 555-4081", "+18265554081", "+1 555 0199",
+        "+33 6 12 34 56 78", "+44 (0)20 7946 0958", "+49 30 1234567", "+49 30 4946 0958", "(017) 555-7713", "017-555-7713", "4111 1111 1111 1111", "4111111111111111", "3782 822463 10005",
+        "AT611904300234573201", "GB82 WEST 1234 5698 7654 32", "DE89370400440532013000", "NO93 8601 1117 947", unlisted,
+    ]
+    alone = dict(zip(values, masked(spark, values), strict=True))
+    assert all(n == 1 and t != v for v, (t, n) in alone.items())
+    pairs = [(a, sep, b) for a in values for b in values for sep in (" ", ", ", "\n")]
+    out = masked(spark, ["".join(p) for p in pairs])
+    wrong = [(p, got) for p, got in zip(pairs, out, strict=True) if got != (alone[p[0]][0] + p[1] + alone[p[2]][0], 2)]
+    assert not wrong
+    tails = [(v, t) for v in ("+1 (826) 555-4081", "+33 6 12 34 56 78", "AT611904300234573201", "GB82 WEST 1234 5698 7654 32", unlisted) for t in (" 2024", " 12 345", " ABCD", " PART 12")]
+    out = masked(spark, [v + t for v, t in tails])
+    assert [(v, t, o) for (v, t), o in zip(tails, out, strict=True) if o != (alone[v][0] + t, 1)] == []
