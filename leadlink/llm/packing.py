@@ -5,8 +5,8 @@
 3. Documents are range-partitioned by (lexical key, id), so that texts with the same rare token meet and a key shared by
    many documents is still split between tasks. Inside a task, runs of at most `shard_docs` documents and about
    `shard_tokens` ids form a shard with a BM25 inverted index over token ids, built with the global frequencies.
-4. Each sequence has a seed document. Its rarest terms query the shard's index; the best unused documents follow the
-   seed until the sequence is full. The document cut at the end seeds the next sequence, so sequences have no gaps. What
+4. Each sequence has a seed document. All its terms query the shard's index; the unused documents that share one follow
+   the seed, best first, until the sequence is full or none is left. The document cut at the end seeds the next sequence, so sequences have no gaps. What
    is left open at the end of a shard goes on in the next shard of the task, and what a task has left at its very end
    is cut into sequences of powers of two, which need no padding. There is no padding at all.
 
@@ -76,7 +76,7 @@ def _frequencies(kind: str, vocabulary: int):
 class Shard:
     """BM25 inverted index over the documents of one shard."""
 
-    def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_length: float, terms: int, k1: float = 1.2, b: float = 0.75):
+    def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_length: float, terms: int | None = None, k1: float = 1.2, b: float = 0.75):
         sizes = np.array([len(d) for d in docs])
         code = np.repeat(np.arange(len(docs), dtype=np.uint64), sizes) * np.uint64(len(idf)) + np.concatenate(docs)
         if len(docs) * len(idf) < 1 << 32:
@@ -89,14 +89,25 @@ class Shard:
         self.begin = np.searchsorted(term[order], np.arange(len(idf) + 1))
         self.count = np.diff(self.begin)
         self.unused = np.ones(len(docs), bool)
+        self.least, self.held, self.asked = 1, len(docs), 0
         self.idf, self.terms = idf, terms
         self.term, self.first = term, np.searchsorted(doc, np.arange(len(docs) + 1))
 
-    def neighbours(self, seed: int, most: int) -> list[int]:
-        """Unused documents that share terms with the seed, best first."""
+    def _drop_used(self) -> None:
+        """Take used documents out of the lists."""
+        live = self.unused[self.doc]
+        self.doc, self.weight = self.doc[live], self.weight[live]
+        self.begin = np.concatenate([[0], np.cumsum(live)])[self.begin]
+        self.count, self.least, self.held = np.diff(self.begin), 0, int(self.unused.sum())
+
+    def neighbours(self, seed: int, most: int | None = None) -> list[int]:
+        """Unused documents that share terms with the seed, best first; all of them, or the best `most`."""
+        self.asked += 1
+        if self.asked % 16 == 0 and self.unused.sum() < 0.85 * self.held:
+            self._drop_used()
         own = self.term[self.first[seed] : self.first[seed + 1]]
-        own = own[self.count[own] > 1]
-        if len(own) > self.terms:
+        own = own[self.count[own] > self.least]  # the seed itself is in the lists until used documents are dropped
+        if self.terms is not None and len(own) > self.terms:
             own = own[np.argpartition(self.idf[own], len(own) - self.terms)[-self.terms :]]
         if not len(own):
             return []
@@ -104,9 +115,7 @@ class Shard:
         score = np.bincount(np.concatenate([self.doc[p] for p in parts]), np.concatenate([self.weight[p] for p in parts]), len(self.unused))
         score *= self.unused
         found = np.flatnonzero(score)
-        if len(found) > most:
-            found = found[np.argpartition(score[found], len(found) - most)[-most:]]
-        return found[np.lexsort((found, -score[found]))].tolist()
+        return found[np.argsort(-score[found], kind="stable")][:most].tolist()
 
 
 class Packer:
@@ -144,7 +153,7 @@ class Packer:
         self.sequence, self.at = sequence + 1, 0
 
 
-def pack_shard(packer: Packer, open_ids: list, names: list, docs: list[np.ndarray], shard: Shard, most: int) -> None:
+def pack_shard(packer: Packer, open_ids: list, names: list, docs: list[np.ndarray], shard: Shard) -> None:
     """Pack every document of a shard; open_ids: the ids of the pieces in the sequence that is still open."""
 
     def put(k: int, start: int) -> int:
@@ -166,7 +175,7 @@ def pack_shard(packer: Packer, open_ids: list, names: list, docs: list[np.ndarra
                 start = put(seed, start)
             rest = None
             if packer.at:
-                for other in shard.neighbours(seed, most):
+                for other in shard.neighbours(seed):
                     shard.unused[other] = False
                     end = put(other, 0)
                     if packer.at == 0:
@@ -175,7 +184,7 @@ def pack_shard(packer: Packer, open_ids: list, names: list, docs: list[np.ndarra
             seed, start = rest if rest is not None else (None, 0)
 
 
-def _packer(kind: str, idf: np.ndarray, mean_length: float, limit: int, shard_docs: int, shard_tokens: int, terms: int, most: int):
+def _packer(kind: str, idf: np.ndarray, mean_length: float, limit: int, shard_docs: int, shard_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -183,7 +192,7 @@ def _packer(kind: str, idf: np.ndarray, mean_length: float, limit: int, shard_do
         names, docs, held, seen_type = [], [], 0, None
 
         def settle():
-            pack_shard(packer, open_ids, names, docs, Shard(docs, idf, mean_length, terms), most)
+            pack_shard(packer, open_ids, names, docs, Shard(docs, idf, mean_length))
             names.clear()
             docs.clear()
 
@@ -214,7 +223,7 @@ def _packer(kind: str, idf: np.ndarray, mean_length: float, limit: int, shard_do
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int, limit: int = 2048, shard_docs: int = 2048, shard_tokens: int = 4_000_000,
-         terms: int = 24, neighbours: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, start, length, ids_crc32, doc_tokens, sequence_id, offset), one row per piece."""
     spark = docs.sparkSession
     with open(tokenizer) as f:
@@ -232,7 +241,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, limit: int = 2048, shard_
     seen = np.zeros(vocabulary)
     seen[list(counts)] = list(counts.values())
     idf = np.log(1 + (total - seen + 0.5) / (seen + 0.5)).astype(np.float32)
-    work = _packer(kind, idf, ids / max(total, 1), limit, shard_docs, shard_tokens, terms, neighbours)
+    work = _packer(kind, idf, ids / max(total, 1), limit, shard_docs, shard_tokens)
     ordered = coded.repartitionByRange("key", "id").sortWithinPartitions("key", "id", "ids").select("id", "ids")
     return ordered.mapInArrow(work, f"id {key_type}, " + ", ".join(f"{c} long" for c in FIELDS)).withColumnRenamed("id", id_col)
 

@@ -149,3 +149,42 @@ def test_related_documents_share_sequences(spark):
     for r in got:
         mates[r.sequence_id].add(r.doc_id % 4)
     assert np.mean([len(m) for m in mates.values()]) < 2
+
+
+def test_short_neighbours_fill_the_window():
+    """Two kinds alternate in key order; the 99 others of the seed's kind come before the first of the other kind."""
+    docs = [np.array([5, 6 + k % 2, 9]) for k in range(200)]
+    packer = packing.Packer(256, 0)
+    packing.pack_shard(packer, [], list(range(200)), docs, packing.Shard(docs, np.ones(10), 3.0))
+    order = [r[0] % 2 for r in packer.rows]
+    assert sum(a != b for a, b in zip(order, order[1:], strict=False)) == 1
+
+
+def test_every_term_of_a_long_seed_counts():
+    """Two documents share a seed's common terms, one more of them; a third only has one rare term of it."""
+    docs = [np.arange(100), np.arange(40, 100), np.arange(50, 100), np.array([0, 200])]
+    idf = np.full(300, 1.0)
+    idf[:40] = 2.0
+    shard = packing.Shard(docs, idf, 50.0)
+    shard.unused[0] = False
+    assert shard.neighbours(0)[:2] == [1, 2] and sorted(shard.neighbours(0)) == [1, 2, 3]
+
+
+def test_a_shard_gives_all_neighbours_in_order():
+    docs = [np.array([5, *range(10, 10 + k % 7)]) for k in range(60)]
+    shard = packing.Shard(docs, np.full(30, 1.0), 4.0)
+    shard.unused[0] = False
+    got = shard.neighbours(0)
+    assert sorted(got) == list(range(1, 60)) and got == sorted(got, key=lambda k: (len(docs[k]), k))
+
+
+def test_lists_without_used_documents_rank_alike():
+    rng = np.random.default_rng(5)
+    docs = [rng.integers(0, 200, rng.integers(5, 60)) for _ in range(300)]
+    idf = rng.random(200) + 0.1
+    shard, whole = packing.Shard(docs, idf, 30.0), packing.Shard(docs, idf, 30.0)
+    for seed in rng.permutation(300)[:250].tolist():
+        shard.unused[seed] = whole.unused[seed] = False
+        whole.asked = 0
+        assert shard.neighbours(seed) == whole.neighbours(seed)
+    assert shard.held < whole.held == 300
