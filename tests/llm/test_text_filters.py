@@ -60,6 +60,15 @@ def test_overlaps_defined_cases(spark):
     assert decontaminate.overlaps(frame(spark), items(spark, [])).collect() == []
 
 
+def test_remove_takes_only_contaminated_texts(spark):
+    item = " ".join(f"q{k}" for k in range(20))
+    hit, clean = f"before {item} after", "some clean words " * 10
+    docs = [(None, hit), (None, clean), (None, None), (1, hit), (1, clean), (2, clean), (3, hit), (3, hit), (None, clean)]
+    for small in (10**6, 0):
+        got = decontaminate.remove(frame(spark, [(*d, "en") for d in docs]), items(spark, [(1, item)]), small=small).collect()
+        assert sorted([(r.doc_id, r.text) for r in got], key=repr) == sorted([d for d in docs if d[1] != hit], key=repr)
+
+
 KEY = "k1"
 
 
