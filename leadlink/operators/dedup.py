@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from leadlink.functions import text as T
 from leadlink.operators.keyed import number_within
-from leadlink.operators.simjoin import gram_ranks, similar_between, similar_within
+from leadlink.operators.simjoin import letter_weights, similar_between, similar_within
 from leadlink.session import cut, spread
 
 PHONE_THRESHOLD = 70
@@ -57,14 +57,14 @@ def dominance(rows: DataFrame, rank: list[Column], threshold: int) -> DataFrame:
     rows = rows.withColumn("_rank", F.struct(*rank, F.col("ord").alias("ord")))
     reps = rows.where(F.col("block") != "").groupBy("block", "name_key").agg(F.min("_rank").alias("_best"))
     reps = cut(spread(number_within(reps, ["block"], ["_best"]).withColumnRenamed("name_key", "name")))
-    ranks = gram_ranks(reps.select("block", "name"))
+    weights = letter_weights(reps.select("block", "name"))
     largest = reps.agg(F.max("i")).first()[0] or 0
     own = reps.select("block", "name", F.struct(F.col("_best").alias("_rank"), F.lit(100.0).alias("sim")).alias("d"))
     undecided, low, high = reps.where("i > 1"), 0, FIRST_LEADERS
     leaders = own
     while low < largest:
         head = reps.where((F.col("i") > low) & (F.col("i") <= high))
-        pairs = similar_between(undecided, head, threshold, distinct=True, ranks=ranks).where("name_a <> name_b")
+        pairs = similar_between(undecided, head, threshold, distinct=True, weights=weights).where("name_a <> name_b")
         met = (
             pairs.join(head.select("block", F.col("name").alias("name_b"), F.col("_best").alias("_rank"), F.col("i").alias("_j")), ["block", "name_b"])
             .join(undecided.select("block", F.col("name").alias("name_a"), "i"), ["block", "name_a"])

@@ -80,19 +80,49 @@ def test_join_finds_every_pair_once(spark, threshold):
     assert len(got) == len(set(got)) and set(got) == want
 
 
-def test_gram_bound_holds():
-    """No similar pair may share fewer grams than the join relies on."""
+def test_letter_bound_holds():
+    """The counts of similar names are never further apart than the join allows, in all classes and in some group."""
     rng = random.Random(4)
     for _ in range(3000):
-        a = "".join(rng.choices("AB", k=rng.randint(2, 14)))
+        a = "".join(rng.choices("AB éÉ7", k=rng.randint(1, 30)))
         b = near(rng, a)
         for t in (70, 85, 90):
             if not b or not similar(a, b, t):
                 continue
-            for gram in (1, 2):
-                grams = lambda s: [s[i : i + gram] for i in range(len(s) - gram + 1)]
-                shared = sum(min(grams(a).count(g), grams(b).count(g)) for g in set(grams(a)))
-                assert shared >= simjoin.common_needed(len(a), len(b), t, gram)
+            apart = abs(simjoin.letter_counts([a])[0] - simjoin.letter_counts([b])[0])
+            scheme = simjoin.scheme_of(len(a), len(b), t)
+            assert apart.sum() <= simjoin.allowed(len(a), len(b), t)
+            group = simjoin.deal([float(k) for k in range(simjoin.CLASSES)], scheme)
+            assert min(apart[group == g].sum() for g in range(scheme)) <= 2
+            assert scheme in simjoin.schemes(len(a), t) and scheme in simjoin.schemes(len(b), t)
+
+
+@pytest.mark.parametrize("threshold", [70, 90])
+def test_very_long_names(spark, threshold):
+    """Names so long that no group of classes is as near as two, and one that repeats a letter 70,000 times."""
+    rng = random.Random(9)
+    base = ["".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ ", k=n)) for n in (300, 700, 1200)]
+    names = {near(rng, near(rng, x)) for x in base for _ in range(4)} | set(base)
+    names |= {"".join(c for c in x if rng.random() > p) for x in base for p in (0.1, 0.3, 0.5)}
+    rows = [("b", n) for n in sorted(names)]
+    want = {tuple(sorted((x, y))) for (_, x), (_, y) in combinations(rows, 2) if 200 * S._lcs_long(x, y) >= threshold * (len(x) + len(y))}
+    assert any(simjoin.scheme_of(len(x), len(y), threshold) >= simjoin.WIDE for x, y in want) or threshold > 70
+    got = [tuple(sorted((r.name_a, r.name_b))) for r in simjoin.similar_within(spark.createDataFrame([*rows, ("b", "A" * 70_000)], "block string, name string"), threshold).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_join_grows_with_its_output(spark):
+    """10,000 distinct names of few words in one block: what meets stays near the pairs, far from the pairs of the block."""
+    rng = random.Random(6)
+    words = ["".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ", k=rng.randint(3, 8))) for _ in range(60)]
+    names = set()
+    while len(names) < 10_000:
+        name = " ".join(sorted([str(rng.randint(1, 25)), *rng.sample(words, 4)]))
+        names |= {name, near(rng, name)}
+    frame = spark.createDataFrame([("b", n) for n in sorted(names)], "block string, name string").repartition(8).cache()
+    met = simjoin.candidates_within(frame, 90, simjoin.letter_weights(frame))
+    n, pairs = met.count(), simjoin.similar_within(frame, 90, distinct=True).count()
+    assert pairs > 1000 and n <= 5 * pairs + len(names)
 
 
 def pair_loop(rows, threshold):
@@ -189,8 +219,3 @@ def test_survivors_are_one_pass_in_rank_order(spark, seed):
             staying.append((o, block, name))
     assert got == want
     assert all(want[k] is None for k in want.values() if k is not None)  # whoever absorbs stays
-
-
-def test_a_gram_repeated_beyond_the_numbering_is_refused():
-    with pytest.raises(ValueError):
-        simjoin.ranked_grams("A" * 70_000, 1, {"A": 1})
