@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from leadlink.session import fill
+
 RUN_DATE = "2026-02-23"
 EXPECTED_NAF = ["10.71", "47.11", "86.10Z"]
 
@@ -18,7 +20,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    return table(spark, sf_dir, name).select(*cols)
+    """Columns of a table whose rows are costly to process."""
+    return fill(table(spark, sf_dir, name).select(*cols))
 
 
 _PAIR = "CAST((p_partkey - p_partkey % 2) / 2 AS BIGINT)"

@@ -154,16 +154,19 @@ def profile_ingest(spark, sf):
 _LI = "(?is)(<li>.*?</li>)"
 _ARTICLE = "(?is)(<article>.*?</article>)"
 PAGE_LINKS = H.Layout(
-    blocks=["section[class*='listing']", "li"],
-    name=["h3", "a"],
-    link=["a[class*='pro']@href", "a@href"],
-    phone=["a[href^='tel:']@href", "a"],
-    website=["a@href"],
-    category=["a[class*='activite']", "a"],
+    blocks=[[H.both(H.tag("section"), H.has("class", "listing"))], [H.tag("li")]],
+    name=[H.first(H.tag("h3")), H.first(H.tag("a"))],
+    link=[H.first(H.both(H.tag("a"), H.has("class", "pro")), take="href"), H.first(H.tag("a"), take="href")],
+    phone=[H.first(H.both(H.tag("a"), H.starts("href", "tel:")), take="href"), H.first(H.tag("a"))],
+    website=[H.first(H.tag("a"), take="href")],
+    category=[H.first(H.both(H.tag("a"), H.has("class", "activite"))), H.first(H.tag("a"))],
     base_url="https://d.example.org",
     own_domain="example.org",
 )
-PAGE_ARTICLE = H.Layout(blocks=["article"], name=["h1", "p"], address=["p"], website=["a@href"], own_domain="example.org")
+PAGE_ARTICLE = H.Layout(
+    blocks=[[H.tag("article")]], name=[H.first(H.tag("h1")), H.first(H.tag("p"))], address=[H.first(H.tag("p"))],
+    website=[H.first(H.tag("a"), take="href")], own_domain="example.org",
+)
 _ENT = lambda x: (
     "replace(replace(replace(replace(replace(replace(replace(replace(" + x + ", '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), "
     "'&#39;', ''''), '&middot;', '·'), '&copy;', '©'), '&amp;', '&')"

@@ -36,3 +36,9 @@ def spread(df: DataFrame) -> DataFrame:
     """Even partitions for rows whose processing costs far more than their size suggests."""
     shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(max(shuffles, df.sparkSession.sparkContext.defaultParallelism))
+
+
+def fill(df: DataFrame) -> DataFrame:
+    """Costly rows of a scan with fewer splits than there are cores are dealt over all cores; a larger scan stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

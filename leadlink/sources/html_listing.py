@@ -1,27 +1,27 @@
-"""Listing blocks and fields out of stored HTML pages, driven by CSS selectors.
+"""Listing blocks and fields out of stored HTML pages, as column expressions.
 
-A page is parsed into its element tree inside a map task, one page at a time, whole pages, tags nested to any depth,
-entities decoded. Only elements and raw values are picked there; every rule about the values (phones, links, addresses)
-is a column expression on the array of what each selector found.
+A page is cut into tags and texts by one pattern. A small helper, the only Python on the way in, tells for every tag which
+element it lies in and where its own element ends (left-out end tags, stray ones, void elements). Everything else is array
+expressions on the page's row: elements with the attributes that selectors need, elements that match each selector, blocks,
+and for every block and selector the first match between the block's start and end. Whole pages, tags nested to any depth.
 
-A selector is a CSS subset: tag, .class, [attribute], [attribute*='x'], [attribute^='x'], :has(...), descendants and
-comma lists, the first match in document order. `@name` after it takes an attribute, `@name|text` the attribute or else
-the text, nothing the rendered text. `next`, `parent` and `closest(...)` in front look around the block instead of inside
-it; alternatives separated by `||` are tried until an element exists.
+A selector lists alternatives; an alternative is a chain of tests from an outer element to the element itself. Tests read
+attributes as written; entities are decoded in what is picked. `take` names an attribute, else the rendered text is picked.
 """
 
 from __future__ import annotations
 
-import re
+import html as entities
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable
 from dataclasses import dataclass, field
-from html.parser import HTMLParser
+from functools import reduce
 
-import pyarrow as pa
+import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 from leadlink.functions import text as T
 
@@ -29,261 +29,276 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PARTS = ["name", "link", "address", "phone", "website", "category"]
 
+# --- selectors ---------------------------------------------------------------------
+
+Test = Callable[[Column], Column]
+#: Attributes that selectors may test or take.
+ATTRIBUTES = ["class", "href", "data-pjlb", "data-bi-name"]
+
+
+def tag(name: str) -> Test:
+    return lambda e: e["tag"] == name
+
+
+def word(name: str) -> Test:
+    """One of the element's classes."""
+    return lambda e: F.array_contains(F.split(e["class"], r"\s+"), name)
+
+
+def has(attribute: str, value: str) -> Test:
+    return lambda e: F.contains(e[attribute], F.lit(value))
+
+
+def starts(attribute: str, value: str) -> Test:
+    return lambda e: F.startswith(e[attribute], F.lit(value))
+
+
+def given(attribute: str) -> Test:
+    return lambda e: e[attribute].isNotNull()
+
+
+def both(*tests: Test) -> Test:
+    return lambda e: reduce(lambda a, b: a & b, (t(e) for t in tests))
+
+
+@dataclass(frozen=True)
+class Holds:
+    """An element that holds another one."""
+
+    outer: Test
+    inner: Test
+
+
+@dataclass
+class Pick:
+    """The value of the first element of a block that one of the alternatives matches.
+
+    `around` are further places to look, each only if the ones before have no match: "next" sibling, "parent", or the
+    closest element, the block included, that a test matches.
+    """
+
+    alternatives: list
+    take: str = ""
+    or_text: bool = False
+    around: list = field(default_factory=list)
+
+
+def first(*alternatives, take: str = "", or_text: bool = False) -> Pick:
+    return Pick(list(alternatives), take, or_text)
+
+
+def beside(alternative, *around) -> Pick:
+    return Pick([alternative], around=list(around))
+
 
 @dataclass
 class Layout:
     """Selectors of one page layout, tried in order for every field; one alone means that the first element decides."""
 
-    blocks: list[str]
-    name: list[str]
-    link: list[str] = field(default_factory=list)
-    address: list[str] = field(default_factory=list)
-    phone: list[str] = field(default_factory=list)
-    website: list[str] = field(default_factory=list)
-    category: list[str] = field(default_factory=list)
+    blocks: list[list]
+    name: list[Pick]
+    link: list[Pick] = field(default_factory=list)
+    address: list[Pick] = field(default_factory=list)
+    phone: list[Pick] = field(default_factory=list)
+    website: list[Pick] = field(default_factory=list)
+    category: list[Pick] = field(default_factory=list)
     base_url: str = ""
     own_domain: str = ""
 
 
 # The selectors of the two directory layouts.
+BLOC = [both(tag("article"), word("bi-bloc")), both(tag("div"), has("class", "bi-bloc")), both(tag("li"), has("class", "bi-bloc"))]
 DIRECTORY = Layout(
-    blocks=["li:has(.bi-content)", "article.bi-bloc, div[class*='bi-bloc'], li[class*='bi-bloc']", "[data-bi-name]"],
-    name=["[class*='bi-denomination'] h3"],
-    link=["a[class*='bi-denomination']@href", "a[href*='/pros/']@href"],
-    address=[".bi-address"],
+    blocks=[[Holds(tag("li"), word("bi-content"))], BLOC, [given("data-bi-name")]],
+    name=[first((has("class", "bi-denomination"), tag("h3")))],
+    link=[first(both(tag("a"), has("class", "bi-denomination")), take="href"), first(both(tag("a"), has("href", "/pros/")), take="href")],
+    address=[first(word("bi-address"))],
     phone=[
-        ".bi-fantomas .number-contact", "[class*='number-contact']", "[class*='phone-number']", ".bi-fantomas [class*='phone']",
-        ".bi-fantomas [class*='tel']", "a[href^='tel:']@href",
-        "next [class*='btn_tel'] || closest([class*='bi-bloc']) [class*='btn_tel'] || parent [class*='btn_tel']",
+        first((word("bi-fantomas"), word("number-contact"))), first(has("class", "number-contact")), first(has("class", "phone-number")),
+        first((word("bi-fantomas"), has("class", "phone"))), first((word("bi-fantomas"), has("class", "tel"))),
+        first(both(tag("a"), starts("href", "tel:")), take="href"), beside(has("class", "btn_tel"), "next", has("class", "bi-bloc"), "parent"),
     ],
     website=[
-        "a[class*='site-internet']@href", "a[class*='bi-website']@href", "a[class*='site']@href", "a[class*='web']@href",
-        "a[href*='http'][class*='url']@href", "a[data-pjlb*='site']@href", "a[data-pjlb*='web']@href", "[class*='website'] a@href",
+        first(both(tag("a"), has("class", "site-internet")), take="href"), first(both(tag("a"), has("class", "bi-website")), take="href"),
+        first(both(tag("a"), has("class", "site")), take="href"), first(both(tag("a"), has("class", "web")), take="href"),
+        first(both(tag("a"), has("href", "http"), has("class", "url")), take="href"), first(both(tag("a"), has("data-pjlb", "site")), take="href"),
+        first(both(tag("a"), has("data-pjlb", "web")), take="href"), first((has("class", "website"), tag("a")), take="href"),
     ],
-    category=["[class*='bi-activite']", "[class*='activite']", "[class*='rubrique']", "[class*='category']", "[class*='metier']"],
+    category=[first(has("class", c)) for c in ("bi-activite", "activite", "rubrique", "category", "metier")],
 )
 OLD_DIRECTORY = Layout(
-    blocks=["article.bi-bloc, div[class*='bi-bloc'], li[class*='bi-bloc']", "[data-bi-name]"],
-    name=["a.bi-denomination, span.bi-denomination, [class*='denomination'], h3 a, h2 a"],
-    address=["[class*='adresse'], address, [class*='address'], .bi-adresse"],
-    phone=["[class*='tel'], [class*='phone'], a[href^='tel:']@href|text"],
-    website=["a[class*='site'], a[class*='web'], a[href*='http'][class*='url']@href"],
+    blocks=[BLOC, [given("data-bi-name")]],
+    name=[first(both(tag("a"), word("bi-denomination")), both(tag("span"), word("bi-denomination")), has("class", "denomination"), (tag("h3"), tag("a")), (tag("h2"), tag("a")))],
+    address=[first(has("class", "adresse"), tag("address"), has("class", "address"), word("bi-adresse"))],
+    phone=[first(has("class", "tel"), has("class", "phone"), both(tag("a"), starts("href", "tel:")), take="href", or_text=True)],
+    website=[first(both(tag("a"), has("class", "site")), both(tag("a"), has("class", "web")), both(tag("a"), has("href", "http"), has("class", "url")), take="href")],
 )
 
-# --- element tree ------------------------------------------------------------------
+# --- tags --------------------------------------------------------------------------
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Elements that start a line of their own in rendered text.
 LINES = frozenset("address article aside blockquote dd div dl dt footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p section table tr ul".split())
-HIDDEN = frozenset(("script", "style", "template"))
-#: An element whose end tag may be left out ends where one of these begins.
+#: Elements whose content is neither rendered nor searched.
+HIDDEN = ("script", "style", "template")
+#: An element whose end tag may be left out ends where one of these begins; not beyond the nearest of BOUNDS.
 IMPLIED = {"li": {"li"}, "p": LINES, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}}
+BOUNDS = frozenset(("ul", "ol", "table", "div", "article", "section"))
 
-
-class Element:
-    __slots__ = ("tag", "attrs", "parent", "children")
-
-    def __init__(self, tag: str, attrs: dict[str, str], parent: Element | None):
-        self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
-
-    def descendants(self) -> Iterator[Element]:
-        """In document order, without recursion."""
-        stack = [c for c in reversed(self.children) if isinstance(c, Element)]
-        while stack:
-            e = stack.pop()
-            yield e
-            stack.extend(c for c in reversed(e.children) if isinstance(c, Element))
-
-    def text(self) -> str:
-        """Rendered text: white space collapsed, line breaks at <br> and around blocks."""
-        out: list[str] = []
-        stack: list = [self]
-        while stack:
-            x = stack.pop()
-            if x is None:
-                out.append("\n")
-            elif isinstance(x, str):
-                out.append(x.replace("\n", " "))  # a line break in the source is a space
-            elif x.tag == "br":
-                out.append("\n")
-            elif x.tag not in HIDDEN:
-                edge = [None] if x.tag in LINES and x is not self else []
-                stack.extend([*edge, *reversed(x.children), *edge])
-        lines = (" ".join(s.split()) for s in "".join(out).split("\n"))
+#: Comments, hidden elements whole, other declarations, tags (quoted values may hold anything), texts. No part can run
+#: into recursion: every repetition is of single characters or possessive.
+TOKEN = (
+    r"(?is)<!--.*?(?:-->|\z)|<(script|style|template)\b[^>]*+>.*?(?:</\1\s*+>|\z)|<[!?][^>]*+>"
+    r"|</?[a-z][^\"'>]*+(?:(?:\"[^\"]*+\"|'[^']*+')[^\"'>]*+)*+>|[^<]++|<"
+)
+ATTRIBUTE = r"[^\s\"'>/=]++(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>]++))?+"
+
+
+@F.pandas_udf(ArrayType(IntegerType()))
+def nesting(pages: pd.Series) -> pd.Series:
+    """Of each page's tags ("li", "/li", "li/" if closed at once, "" for text): the number of the tag around it, -1 if it
+    opens nothing, followed by where its element ends (exclusive)."""
+
+    def of(names) -> list[int]:
+        around, end, open_ = [-1] * len(names), [0] * len(names), []
+
+        def close(k: int, at: int) -> None:
+            while len(open_) > k:
+                end[open_.pop() - 1] = at
+
+        for at, name in enumerate(names, 1):
+            if name[:1] == "/":
+                k = next((k for k in range(len(open_) - 1, -1, -1) if names[open_[k] - 1] == name[1:]), None)
+                if k is not None:
+                    close(k, at)
+            elif name:
+                bare = name.rstrip("/")
+                for k in range(len(open_) - 1, -1, -1):
+                    above = names[open_[k] - 1]
+                    if above in BOUNDS and bare not in IMPLIED.get(above, ()):
+                        break
+                    if bare in IMPLIED.get(above, ()):
+                        close(k, at)
+                        break
+                around[at - 1] = open_[-1] if open_ else 0
+                end[at - 1] = at + 1
+                if name == bare and bare not in VOID:
+                    open_.append(at)
+        close(0, len(names) + 1)
+        return around + end
+
+    return pages.map(of)
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def decoded(values: pd.Series) -> pd.Series:
+    """Entities decoded; a text (marked by a leading T) also has its white space collapsed and empty lines dropped."""
+
+    def of(value: str | None) -> str | None:
+        if value is None or value[:1] == "A":
+            return value and entities.unescape(value[1:])
+        lines = (" ".join(entities.unescape(s).split()) for s in value[1:].split("\n"))
         return "\n".join(s for s in lines if s)
 
+    return values.map(lambda row: [of(v) for v in row])
 
-class _Tree(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = self.open = Element("", {}, None)
 
-    def handle_starttag(self, tag, attrs):
-        e = self.open
-        while e.parent is not None and e.tag not in ("ul", "ol", "table", "div", "article", "section"):
-            if tag in IMPLIED.get(e.tag, ()):
-                self.open = e.parent
-                break
-            e = e.parent
-        new = Element(tag, {k: v or "" for k, v in attrs}, self.open)
-        self.open.children.append(new)
-        if tag not in VOID:
-            self.open = new
+def _name(token: Column) -> Column:
+    name = F.lower(F.regexp_extract(token, r"^<(/?[a-zA-Z][^\s/>]*)", 1))
+    closed = name.isin(*HIDDEN) | (F.endswith(token, F.lit("/>")) & ~F.startswith(name, F.lit("/")))
+    return F.when(closed & (name != ""), F.concat(name, F.lit("/"))).otherwise(name)
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if self.open.tag == tag and tag not in VOID:
-            self.open = self.open.parent
 
-    def handle_endtag(self, tag):
-        e = self.open
-        while e.parent is not None and e.tag != tag:
-            e = e.parent
-        if e.parent is not None:
-            self.open = e.parent
+def _piece(token: Column, name: Column) -> Column:
+    """What a token adds to the rendered text; a line break in the source is a blank."""
+    lines = [*LINES, "br", *(f"/{n}" for n in LINES), "br/", "hr/"]
+    return F.when(name.isin(*lines), "\n").when((name != "") | token.rlike(r"^<[!?]"), "").otherwise(F.translate(token, "\n", " "))
 
-    def handle_data(self, data):
-        self.open.children.append(data)
 
+def _element(token: Column, name: Column, at: Column) -> Column:
+    def attribute(key: str) -> Column:
+        entries = F.filter(F.regexp_extract_all(token, F.lit(ATTRIBUTE), F.lit(0)), lambda x: F.lower(F.regexp_extract(x, r"^[^\s=]++", 0)) == key)
+        return F.regexp_extract(F.try_element_at(entries, F.lit(-1)), r"(?s)^[^=]*+=\s*+([\"']?)(.*?)\1$", 2)
 
-def parse(html: str) -> Element:
-    tree = _Tree()
-    tree.feed(html)
-    tree.close()
-    return tree.root
+    size = F.size("names")
+    found = {k: F.when(F.contains(F.lower(token), F.lit(k)), attribute(k)) for k in ATTRIBUTES}
+    return F.struct(
+        (at + 1).alias("n"), F.get("nest", at).alias("parent"), F.get("nest", at + size).alias("end"), F.rtrim(name, F.lit("/")).alias("tag"),
+        *(v.alias(k) for k, v in found.items()),
+    )
 
 
-# --- selectors ---------------------------------------------------------------------
+# --- matches -----------------------------------------------------------------------
+
 
-_TOKEN = re.compile(r"^([a-z0-9]+)|\.([\w-]+)|\[([\w-]+)(?:([*^])='([^']*)')?\]|:has\(([^)]*)\)")
-
-
-def _compound(source: str):
-    """A test of one element."""
-    tests, at = [], 0
-    while at < len(source):
-        m = _TOKEN.match(source, at) if at else _TOKEN.match(source)
-        if not m:
-            raise ValueError(f"unknown selector {source!r}")
-        tag, cls, name, how, value, inner = m.groups()
-        if tag:
-            tests.append(lambda e, tag=tag: e.tag == tag)
-        elif cls:
-            tests.append(lambda e, cls=cls: cls in e.attrs.get("class", "").split())
-        elif inner:
-            has = compile_selector(inner)
-            tests.append(lambda e, has=has: first(e, has) is not None)
-        elif how == "*":
-            tests.append(lambda e, name=name, value=value: value in e.attrs.get(name, ""))
-        elif how == "^":
-            tests.append(lambda e, name=name, value=value: e.attrs.get(name, "").startswith(value))
-        else:
-            tests.append(lambda e, name=name: name in e.attrs)
-        at = m.end()
-    return lambda e: all(t(e) for t in tests)
-
-
-def compile_selector(source: str) -> list[list]:
-    """Alternatives, each the tests from the outermost ancestor to the element itself."""
-    return [[_compound(c) for c in alternative.split()] for alternative in source.split(",")]
-
-
-def matches(e: Element, selector: list[list], scope: Element) -> bool:
-    for chain in selector:
-        if not chain[-1](e):
-            continue
-        left, up = len(chain) - 2, e.parent
-        while left >= 0 and up is not None:
-            if chain[left](up):
-                left -= 1
-            up = up.parent
-        if left < 0:
-            return True
-    return False
-
-
-def all_of(scope: Element, selector: list[list]) -> list[Element]:
-    return [e for e in scope.descendants() if matches(e, selector, scope)]
-
-
-def first(scope: Element | None, selector: list[list]) -> Element | None:
-    return next((e for e in scope.descendants() if matches(e, selector, scope)), None) if scope is not None else None
-
-
-def _next_element(e: Element) -> Element | None:
-    if e.parent is None:
-        return None
-    after = e.parent.children[next(k for k, c in enumerate(e.parent.children) if c is e) + 1 :]
-    return next((c for c in after if isinstance(c, Element)), None)
-
-
-def _closest(e: Element | None, selector: list[list]) -> Element | None:
-    while e is not None and not matches(e, selector, e):
-        e = e.parent
-    return e
-
-
-def _picker(source: str):
-    """block -> value of the first element found, None without one."""
-    source, _, wanted = source.partition("@")
-    steps = []
-    for alternative in source.split("||"):
-        alternative = alternative.strip()
-        if alternative.startswith("next "):
-            steps.append((_next_element, compile_selector(alternative[5:])))
-        elif alternative.startswith("parent "):
-            steps.append((lambda e: e.parent, compile_selector(alternative[7:])))
-        elif alternative.startswith("closest("):
-            around, _, inner = alternative[8:].partition(") ")
-            steps.append((lambda e, s=compile_selector(around): _closest(e, s), compile_selector(inner)))
-        else:
-            steps.append((lambda e: e, compile_selector(alternative)))
-    attr, _, other = wanted.partition("|")
-
-    def pick(block: Element) -> str | None:
-        e = next((found for scope, s in steps if (found := first(scope(block), s)) is not None), None)
-        if e is None:
-            return None
-        if attr and (not other or e.attrs.get(attr)):
-            return e.attrs.get(attr, "")
-        return e.text()
-
-    return pick
-
-
-# --- frames ------------------------------------------------------------------------
-
-
-def _extractor(layout: Layout, keep: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = [compile_selector(s) for s in layout.blocks]
-        pickers = [[_picker(s) for s in getattr(layout, p)] for p in PARTS]
-        for batch in batches:
-            rows, pos, values = [], [], [[] for _ in PARTS]
-            for k, html in enumerate(batch.column(keep).to_pylist()):
-                root = parse(html or "")
-                found = next((b for s in wanted if (b := all_of(root, s))), [])
-                for n, block in enumerate(found):
-                    rows.append(k)
-                    pos.append(n)
-                    for v, ps in zip(values, pickers, strict=True):
-                        v.append([p(block) for p in ps])
-            kept = batch.take(pa.array(rows, pa.int64()))
-            texts = pa.list_(pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [*kept.columns[:keep], pa.array(pos, pa.int32()), *(pa.array(v, texts) for v in values)], names=[*batch.schema.names[:keep], "block_pos", *PARTS]
-            )
-
-    return run
+def _within(e: Column, outer: Column) -> Column:
+    return (outer["n"] < e["n"]) & (e["n"] < outer["end"])
+
+
+def _matches(alternatives: list) -> Column:
+    """Elements of the page that one of the alternatives matches, in document order."""
+
+    def test(alternative, e: Column) -> Column:
+        if isinstance(alternative, Holds):
+            inner = F.filter("elements", alternative.inner)
+            return alternative.outer(e) & F.exists(inner, lambda x: _within(x, e))
+        if isinstance(alternative, tuple):
+            outer, last = alternative
+            return last(e) & F.exists("elements", lambda a: _within(e, a) & outer(a))
+        return alternative(e)
+
+    return F.filter("elements", lambda e: F.coalesce(reduce(lambda a, b: a | b, (F.coalesce(test(x, e), F.lit(False)) for x in alternatives)), F.lit(False)))
+
+
+def _value(pick: Pick, found: Column, block: Column) -> Column:
+    """What a selector finds for a block, marked A (attribute) or T (text); null without an element."""
+    inside = lambda scope: F.get(F.filter(found, lambda e: _within(e, scope)), F.lit(0))
+
+    def scope(where) -> Column:
+        if where == "next":
+            return F.get(F.filter("elements", lambda e: (e["parent"] == block["parent"]) & (e["n"] >= block["end"])), F.lit(0))
+        if where == "parent":
+            page = F.struct(F.lit(0).alias("n"), (F.size("names") + 1).alias("end"))
+            own = F.get(F.filter("elements", lambda e: e["n"] == block["parent"]), F.lit(0))
+            return F.when(block["parent"] == 0, page).otherwise(F.struct(own["n"].alias("n"), own["end"].alias("end")))
+        return F.try_element_at(F.filter("elements", lambda e: (e["n"] <= block["n"]) & (block["n"] < e["end"]) & where(e)), F.lit(-1))
+
+    # With places to look around it, the block itself is not looked into.
+    e = F.coalesce(*[inside(scope(w)) for w in pick.around]) if pick.around else inside(block)
+
+    def read(x: Column) -> Column:
+        text = F.concat(F.lit("T"), F.array_join(F.slice("pieces", x["n"] + 1, F.greatest(x["end"] - x["n"] - 1, F.lit(0))), ""))
+        if not pick.take:
+            return text
+        attribute = F.concat(F.lit("A"), F.coalesce(x[pick.take], F.lit("")))
+        return F.when(attribute == "A", text).otherwise(attribute) if pick.or_text else attribute
+
+    return F.get(F.transform(F.array(e), lambda x: F.when(x.isNotNull(), read(x))), F.lit(0))
 
 
 def blocks(pages: DataFrame, layout: Layout) -> DataFrame:
     """One row per block of the first block selector that finds any on the page: the columns of pages except html, block_pos,
     and per field an array with what each selector found."""
     others = [c for c in pages.columns if c != "html"]
-    kinds = [f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in others]
-    schema = ", ".join([*kinds, "block_pos int", *(f"`{p}` array<string>" for p in PARTS)])
-    return pages.select(*others, "html").mapInArrow(_extractor(layout, len(others)), schema)
+    row = F.struct(*[F.col(f"`{c}`").alias(c) for c in others]).alias("page")
+    cut = pages.select(row, F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(TOKEN), F.lit(0)).alias("tokens"))
+    cut = cut.withColumn("names", F.transform("tokens", _name)).withColumn("nest", nesting("names"))
+    every = F.transform("tokens", lambda t, k: _element(t, F.get("names", k), k))
+    cut = cut.select(
+        "page", "names", F.filter(every, lambda e: e["parent"] >= 0).alias("elements"),
+        F.transform("tokens", lambda t, k: _piece(t, F.get("names", k))).alias("pieces"),
+    )
+    picks = [(f"m{k}", p) for k, p in enumerate(p for part in PARTS for p in getattr(layout, part))]
+    cut = cut.select("*", *[_matches(p.alternatives).alias(c) for c, p in picks], *[_matches(b).alias(f"b{k}") for k, b in enumerate(layout.blocks)])
+    some = [F.when(F.size(f"b{k}") > 0, F.col(f"b{k}")) for k in range(len(layout.blocks))]
+    values = F.transform(F.coalesce(*some), lambda b: F.array(*[_value(p, F.col(c), b) for c, p in picks]))
+    out = cut.select("page", F.posexplode(values).alias("block_pos", "found")).withColumn("found", decoded("found"))
+    at, fields = 1, []
+    for part in PARTS:
+        n = len(getattr(layout, part))
+        fields.append(F.slice("found", at, n).alias(part))
+        at += n
+    return out.select(*[F.col("page")[c].alias(c) for c in others], "block_pos", *fields)
 
 
 def cascade(part: str, layout: Layout, clean) -> Column:

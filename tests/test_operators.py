@@ -184,15 +184,53 @@ def test_batch_numbers_beyond_int(spark):
     assert got == {"s": 3000000001, "t": 100000000000000000000, "u": 1}
 
 
-def test_page_tree():
-    root = H.parse("""<div class="a bi-bloc"><div>one<div>two</div></div> three &eacute;&#8217;<br>four
-      <script>var x = "</div>";</script><ul><li>p<li>q</ul><p>r<p>s <b>t</b></div><div id=z>u</div>""")
-    block = H.first(root, H.compile_selector("[class*='bi-bloc']"))
-    assert block.text() == "one\ntwo\nthree é’\nfour\np\nq\nr\ns t"
-    assert [e.text() for e in H.all_of(root, H.compile_selector("li, #x, p b".replace("#x, ", "")))] == ["p", "q", "t"]
-    deep = H.parse("<div>" * 3000 + "x" + "</div>" * 3000)
-    assert deep.text() == "x" and len(H.all_of(deep, H.compile_selector("div"))) == 3000
-    assert H.parse("</p><b>open").text() == "open" and H.parse("").text() == ""
+def found(spark, html, blocks, *picks):
+    pages = spark.createDataFrame([(html,)], "html string")
+    return [r.name for r in H.blocks(pages, H.Layout(blocks=[[blocks]], name=list(picks))).orderBy("block_pos").collect()]
+
+
+def test_page_blocks_and_texts(spark):
+    """Nested blocks, left-out and stray end tags, hidden and void elements, entities, line breaks."""
+    html = """<body><div class="a bi-bloc"><div>one<div>two</div></div> three &eacute;&#8217;<br>four
+      <script>var x = "</div><li>no";</script><!-- <li>no --><ul><li>p<li>q</ul><p>r<p>s <b>t</b></div><div id=z>u</div></body>"""
+    any_div = H.has("class", "bloc")
+    assert found(spark, html, H.tag("body"), H.first(any_div)) == [["one\ntwo\nthree é’\nfour\np\nq\nr\ns t"]]
+    assert found(spark, html, H.tag("li"), H.first(H.tag("b"))) == [[None], [None]]
+    assert found(spark, html, H.tag("ul"), H.first(H.tag("li"))) == [["p"]]
+    assert found(spark, html, any_div, H.first((H.tag("p"), H.tag("b"))), H.first((H.tag("ul"), H.tag("b")))) == [["t", None]]
+    assert found(spark, "</p><div><b>open", H.tag("div"), H.first(H.tag("b"))) == [["open"]]
+    assert found(spark, "", H.tag("div"), H.first(H.tag("b"))) == [] and found(spark, None, H.tag("div"), H.first(H.tag("b"))) == []
+    assert found(spark, "1 < 2 <div>a < b</div>", H.tag("div"), H.first((H.tag("div"), H.tag("i")))) == [[None]]
+
+
+def test_page_attributes(spark):
+    html = """<div><a title="> class='no' href=x" HREF = '/a&amp;b' class='x  y'>k</a><a data-bi-name href=/plain>l</a><a class=url>m</a><br/><i/>n</div>"""
+    pick = lambda test, **more: H.first(H.both(H.tag("a"), test), **more)
+    got = found(
+        spark, html, H.tag("div"), pick(H.word("y"), take="href"), pick(H.has("class", "no")), pick(H.given("data-bi-name"), take="href"),
+        pick(H.starts("href", "/pl")), pick(H.word("url"), take="href"), pick(H.word("url"), take="href", or_text=True), pick(H.has("class", "x  y"), take="href", or_text=True),
+    )
+    assert got == [["/a&b", None, "/plain", "l", "", "m", "/a&b"]]
+
+
+def test_blocks_that_hold_and_places_around(spark):
+    html = """<li class=out><p><span class=in>1</span><li>2</li><div class="bi-bloc x"><section>s</section><b class=btn>far</b></div><h1>h<i class=btn>near</i></h1>"""
+    assert found(spark, html, H.Holds(H.tag("li"), H.word("in")), H.first(H.tag("span"))) == [["1"]]
+    assert found(spark, html, H.tag("section"), H.beside(H.word("btn"), "next", H.has("class", "bi-bloc"), "parent")) == [["far"]]
+    assert found(spark, html, H.word("x"), H.beside(H.word("btn"), "next", H.has("class", "bi-bloc"), "parent")) == [["near"]]
+    assert found(spark, "<b class=btn>page</b><p>x</p>", H.tag("p"), H.beside(H.word("btn"), "next", "parent")) == [["page"]]
+
+
+def test_hostile_pages(spark):
+    """Deep nesting, endless attributes, open quotes, comments and scripts without an end, a very long text."""
+    deep = "<div>" * 3000 + "x" + "</div>" * 3000
+    assert found(spark, f"<main>{deep}</main>", H.tag("main"), H.first(H.tag("div"))) == [["x"]]
+    many = "<p " + " ".join(f"a{k}='{k}'" for k in range(20_000)) + " class=c>y</p>"
+    assert found(spark, f"<main>{many}</main>", H.tag("main"), H.first(H.word("c"))) == [["y"]]
+    for end in ("<!-- open", "<script>open", "<a title='open", "<", "<p"):
+        assert found(spark, f"<main><b>z</b>{end}", H.tag("main"), H.first(H.tag("b"))) == [["z"]]
+    long = "word " * 200_000
+    assert found(spark, f"<main><b>{long}</b></main>", H.tag("main"), H.first(H.tag("b"))) == [[long.strip()]]
 
 
 def test_first_element_decides_in_the_older_layout(spark):
