@@ -86,11 +86,50 @@ def dominance(rows: DataFrame, rank: list[Column], threshold: int) -> DataFrame:
     )
 
 
+def staying(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """Ids of nodes (id) that stay when a node goes as soon as one better neighbour (worse, better) stays; no circles.
+
+    A node goes if one of its literals is true; a literal is "the better node stays", or flipped, "the better node goes".
+    In each round
+
+    * a node without literals stays, one with a literal and its opposite goes, and both settle literals about them;
+    * a node with a single literal is its opposite, so literals about that node become literals about the node behind it.
+
+    The last step halves chains, so the rounds follow the logarithm of the longest chain, not its length.
+    """
+    left = cut(edges.select("worse", "better", F.lit(False).alias("flip")).distinct())
+    undecided, pending, stay = nodes.select("id"), None, None
+    while True:
+        same = left.groupBy("worse", "better").agg(F.count("*").alias("n"))
+        torn = same.where("n > 1").select(F.col("worse").alias("id")).distinct()
+        free = undecided.join(left.select(F.col("worse").alias("id")).distinct(), "id", "left_anti")
+        known = free.withColumn("stays", F.lit(True)).unionByName(torn.withColumn("stays", F.lit(False)))
+        if pending is not None:
+            known = known.unionByName(pending.withColumn("stays", F.lit(False)))
+        known = cut(known.distinct())
+        free = known.where("stays").select("id")
+        stay = free if stay is None else stay.unionByName(free)
+        settled = known.select(F.col("id").alias("better"), "stays")
+        hit = left.join(settled, "better").where(F.col("stays") != F.col("flip")).select(F.col("worse").alias("id"))
+        over = known.select("id").unionByName(hit).distinct()
+        pending = hit.join(known.select("id"), "id", "left_anti").distinct()
+        rest = left.join(settled.select("better"), "better", "left_anti").join(over.withColumnRenamed("id", "worse"), "worse", "left_anti")
+        alone = rest.groupBy("worse").agg(F.count("*").alias("n"), F.min("better").alias("_next"), F.min("flip").alias("_flip")).where("n = 1")
+        jump = alone.select(F.col("worse").alias("better"), "_next", "_flip")
+        rest = rest.join(jump, "better", "left").select(
+            "worse", F.coalesce("_next", "better").alias("better"), F.coalesce(F.col("flip") == F.col("_flip"), F.col("flip")).alias("flip")
+        )
+        undecided, pending = cut(undecided.join(over, "id", "left_anti")), cut(pending)
+        left = cut(rest.distinct())
+        if undecided.isEmpty():
+            return stay
+
+
 def survivors(rows: DataFrame, rank: list[Column], threshold: int) -> DataFrame:
     """Rows with `kept_ord`, `sim`: null where the row stays, else the best staying row with a similar name.
 
-    `rows` has block, name_key, ord. Rounds over the similar pairs of distinct names: a name without an undecided better
-    neighbour stays, its neighbours go, until all are decided. The result is that of one pass in rank order.
+    `rows` has block, name_key, ord. The similar pairs of distinct names are settled by `staying`. The result is that of one
+    pass in rank order.
     """
     rows = rows.withColumn("_rank", F.struct(*rank, F.col("ord").alias("ord")))
     reps = cut(rows.where(F.col("block") != "").groupBy("block", "name_key").agg(F.min("_rank").alias("_best")))
@@ -103,19 +142,9 @@ def survivors(rows: DataFrame, rank: list[Column], threshold: int) -> DataFrame:
         F.least("ra", "rb").alias("_rank"), "sim",
     ))
     met = edges.select(F.col("better").alias("id")).union(edges.select(F.col("worse").alias("id"))).distinct()
-    undecided, left, stay = cut(met), edges.select("better", "worse"), None
-    while not undecided.isEmpty():
-        free = cut(undecided.join(left.select(F.col("worse").alias("id")).distinct(), "id", "left_anti"))
-        stay = free if stay is None else stay.unionByName(free)
-        gone = left.join(free.withColumnRenamed("id", "better"), "better", "left_semi").select(F.col("worse").alias("id")).distinct()
-        undecided = cut(undecided.join(free.unionByName(gone), "id", "left_anti"))
-        left = cut(
-            left.join(undecided.withColumnRenamed("id", "better"), "better", "left_semi").join(undecided.withColumnRenamed("id", "worse"), "worse", "left_semi")
-        )
-    absorbed = edges if stay is None else edges.join(stay.withColumnRenamed("id", "better"), "better", "left_semi")
+    stay = staying(met, edges.select("worse", "better"))
+    absorbed = edges.join(stay.withColumnRenamed("id", "better"), "better", "left_semi")
     best = absorbed.groupBy("worse").agg(F.min(F.struct("_rank", F.col("better").alias("by"), "sim")).alias("d"))
-    if stay is not None:  # a staying name may still have worse neighbours of its own, never a better one that stays
-        best = best.join(stay.withColumnRenamed("id", "worse"), "worse", "left_anti")
     fate = reps.select("block", "name_key", F.col("_best.ord").alias("_first")).join(best.withColumnRenamed("worse", "_first"), "_first", "left")
     own = F.col("ord") == F.col("_first")
     return rows.join(fate, ["block", "name_key"], "left").select(
@@ -144,27 +173,11 @@ def sequential(rows: DataFrame, score: Column, threshold: int) -> DataFrame:
     near = cut(sym.join(left, ["block", "x"]).join(right, ["block", "y"]).where(F.col("px") < F.col("py")).select("px", "py", "sx", "sy"))
     removes = near.where(F.col("sx") <= F.col("sy")).select("px", "py")
 
-    state = reps.select("pos", F.lit(None).cast("boolean").alias("active"))
-    while True:
-        src = state.select(F.col("pos").alias("px"), F.col("active").alias("src"))
-        seen = removes.join(src, "px").groupBy(F.col("py").alias("pos")).agg(
-            F.bool_or(F.coalesce("src", F.lit(False))).alias("hit"), F.bool_or(F.col("src").isNull()).alias("open")
-        )
-        nxt = state.join(seen, "pos", "left").select(
-            "pos",
-            F.coalesce(
-                "active", F.when(F.col("hit"), False).when(F.coalesce("open", F.lit(False)), F.lit(None)).otherwise(True)
-            ).alias("active"),
-        )
-        state = cut(nxt)
-        if state.where(F.col("active").isNull()).isEmpty():
-            break
-
-    active = state.where("active").select("pos")
+    active = staying(reps.select(F.col("pos").alias("id")), removes.select(F.col("py").alias("worse"), F.col("px").alias("better"))).withColumnRenamed("id", "pos")
     first_remover = removes.join(active.withColumnRenamed("pos", "px"), "px").groupBy(F.col("py").alias("pos")).agg(
         F.min("px").alias("by_earlier")
     )
-    nodes = state.join(first_remover, "pos", "left")
+    nodes = reps.select("pos").join(active.withColumn("active", F.lit(True)), "pos", "left").join(first_remover, "pos", "left")
     later = (
         near.where(F.col("sy") < F.col("sx"))
         .join(active.withColumnRenamed("pos", "px"), "px")

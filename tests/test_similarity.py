@@ -219,3 +219,33 @@ def test_survivors_are_one_pass_in_rank_order(spark, seed):
             staying.append((o, block, name))
     assert got == want
     assert all(want[k] is None for k in want.values() if k is not None)  # whoever absorbs stays
+
+
+def by_rank(nodes, edges):
+    """One pass in rank order; a smaller id is better."""
+    better, stay = {}, set()
+    for w, b in edges:
+        better.setdefault(w, set()).add(b)
+    for n in sorted(nodes):
+        if not better.get(n, set()) & stay:
+            stay.add(n)
+    return stay
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_staying_nodes_of_any_graph(spark, seed):
+    rng = random.Random(seed)
+    nodes = list(range(400))
+    edges = {(max(a, b), min(a, b)) for a, b in ((rng.randrange(400), rng.randrange(400)) for _ in range(rng.choice([100, 400, 1500]))) if a != b}
+    edges |= {(k + 1, k) for k in range(200, 300)} | {(k + 2, k) for k in range(250, 280)}
+    got = dedup.staying(spark.createDataFrame([(n,) for n in nodes], "id long"), spark.createDataFrame(sorted(edges), "worse long, better long")).collect()
+    assert len(got) == len({r.id for r in got}) and {r.id for r in got} == by_rank(nodes, edges)
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    """5,000 nodes, each better than the next: every other one stays, in fewer than 20 rounds of four checkpoints."""
+    n, cuts, keep = 5000, [], dedup.cut
+    monkeypatch.setattr(dedup, "cut", lambda df: (cuts.append(1), keep(df))[1])
+    edges = spark.range(n - 1).select((F.col("id") + 1).alias("worse"), F.col("id").alias("better"))
+    got = {r.id for r in dedup.staying(spark.range(n), edges).collect()}
+    assert got == set(range(0, n, 2)) and len(cuts) < 4 * 20
