@@ -32,8 +32,10 @@ from pyspark.sql import functions as F
 from leadlink.llm.common import table
 from leadlink.llm.registry import query
 
-FREE = r"(?<![\w]|\d[.,-])"
-MAIL = r"(?<![\w.%+-])[\w.%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}"
+#: A comma never joins two numbers; a point or hyphen after a digit may.
+FREE = r"(?<![\w]|\d[.-])"
+#: A domain has at most 127 labels; the bound also keeps the matcher from recursing without end.
+MAIL = r"(?<![\w.%+-])[\w.%+-]++@(?:[A-Za-z0-9-]++\.){1,126}[A-Za-z]{2,}"
 IP = FREE + r"(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d)"
 CARD = FREE + r"(?:\d{13,19}|(?:\d{4}[ -]){3}\d{4}|\d{4}[ -]\d{6}[ -]\d{5})(?!\w|-\d)"
 SSN = FREE + r"\d{3}-\d{2}-\d{4}(?!\w|-\d)"

@@ -185,10 +185,16 @@ def test_adjacent_values(spark):
     ]
     alone = dict(zip(values, masked(spark, values), strict=True))
     assert all(n == 1 and t != v for v, (t, n) in alone.items())
-    pairs = [(a, sep, b) for a in values for b in values for sep in (" ", ", ", "\n")]
+    pairs = [(a, sep, b) for a in values for b in values for sep in (" ", ", ", "\n", ",", ";", "|", "\t")]
     out = masked(spark, ["".join(p) for p in pairs])
     wrong = [(p, got) for p, got in zip(pairs, out, strict=True) if got != (alone[p[0]][0] + p[1] + alone[p[2]][0], 2)]
     assert not wrong
     tails = [(v, t) for v in ("+1 (826) 555-4081", "+33 6 12 34 56 78", "AT611904300234573201", "GB82 WEST 1234 5698 7654 32", unlisted) for t in (" 2024", " 12 345", " ABCD", " PART 12")]
     out = masked(spark, [v + t for v, t in tails])
     assert [(v, t, o) for (v, t), o in zip(tails, out, strict=True) if o != (alone[v][0] + t, 1)] == []
+
+
+def test_hostile_texts_do_not_overflow(spark):
+    texts = ["x@" + "a." * 200_000 + "com", "x@" + "a-" * 200_000, "+1" + " 555" * 100_000, "1." * 300_000, "4111 " * 100_000, "AT61 " * 100_000, "a@b." * 100_000]
+    assert len(masked(spark, texts)) == len(texts)
+    assert masked(spark, ["5,190.1.2.3"])[0][1] == 1
