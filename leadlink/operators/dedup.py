@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from leadlink.functions import text as T
 from leadlink.operators.keyed import number_within
 from leadlink.operators.simjoin import letter_weights, similar_between, similar_within
-from leadlink.session import cut, spread
+from leadlink.session import cut, spread, written
 
 PHONE_THRESHOLD = 70
 NAME_THRESHOLD = 90
@@ -97,32 +97,28 @@ def staying(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
     The last step halves chains, so the rounds follow the logarithm of the longest chain, not its length.
     """
-    left = cut(edges.select("worse", "better", F.lit(False).alias("flip")).distinct())
-    undecided, pending, stay = nodes.select("id"), None, None
+    left = edges.groupBy("worse", "better").agg(F.lit(True).alias("plain"), F.lit(False).alias("flip"))
+    known = nodes.select("id").join(edges.select(F.col("worse").alias("id")).distinct(), "id", "left_anti").withColumn("stays", F.lit(True))
+    known = written(known)
+    stay = known.select("id")
     while True:
-        same = left.groupBy("worse", "better").agg(F.count("*").alias("n"))
-        torn = same.where("n > 1").select(F.col("worse").alias("id")).distinct()
-        free = undecided.join(left.select(F.col("worse").alias("id")).distinct(), "id", "left_anti")
-        known = free.withColumn("stays", F.lit(True)).unionByName(torn.withColumn("stays", F.lit(False)))
-        if pending is not None:
-            known = known.unionByName(pending.withColumn("stays", F.lit(False)))
-        known = cut(known.distinct())
-        free = known.where("stays").select("id")
-        stay = free if stay is None else stay.unionByName(free)
-        settled = known.select(F.col("id").alias("better"), "stays")
-        hit = left.join(settled, "better").where(F.col("stays") != F.col("flip")).select(F.col("worse").alias("id"))
-        over = known.select("id").unionByName(hit).distinct()
-        pending = hit.join(known.select("id"), "id", "left_anti").distinct()
-        rest = left.join(settled.select("better"), "better", "left_anti").join(over.withColumnRenamed("id", "worse"), "worse", "left_anti")
-        alone = rest.groupBy("worse").agg(F.count("*").alias("n"), F.min("better").alias("_next"), F.min("flip").alias("_flip")).where("n = 1")
-        jump = alone.select(F.col("worse").alias("better"), "_next", "_flip")
-        rest = rest.join(jump, "better", "left").select(
-            "worse", F.coalesce("_next", "better").alias("better"), F.coalesce(F.col("flip") == F.col("_flip"), F.col("flip")).alias("flip")
-        )
-        undecided, pending = cut(undecided.join(over, "id", "left_anti")), cut(pending)
-        left = cut(rest.distinct())
-        if undecided.isEmpty():
+        met = written(left.join(known.withColumnRenamed("id", "better"), "better", "left"))
+        true = F.when(F.col("plain") & F.col("flip"), True).otherwise(F.col("stays") == F.col("plain"))
+        fate = written(met.groupBy("worse").agg(F.coalesce(F.max(true), F.lit(False)).alias("goes"), F.count_if(F.col("stays").isNull()).alias("open")))
+        settled = F.col("goes") | (F.col("open") == 0)
+        known = fate.where(settled).select(F.col("worse").alias("id"), (~F.col("goes")).alias("stays"))
+        stay = stay.unionByName(known.where("stays").select("id"))
+        if fate.where(~settled).isEmpty():
             return stay
+        rest = met.where("stays IS NULL").join(fate.where(~settled).select("worse", "open"), "worse")
+        alone = rest.where("open = 1").select(F.col("worse").alias("better"), F.col("better").alias("_next"), F.col("plain").alias("_plain"))
+        # "v stays" with v = not L is "not L": plain and flipped change places unless L itself is flipped.
+        swap = F.coalesce(F.col("_plain"), F.lit(False))
+        rest = rest.join(alone, "better", "left").select(
+            "worse", F.coalesce("_next", "better").alias("better"),
+            F.when(swap, F.col("flip")).otherwise(F.col("plain")).alias("plain"), F.when(swap, F.col("plain")).otherwise(F.col("flip")).alias("flip"),
+        )
+        left = rest.groupBy("worse", "better").agg(F.max("plain").alias("plain"), F.max("flip").alias("flip"))
 
 
 def survivors(rows: DataFrame, rank: list[Column], threshold: int) -> DataFrame:

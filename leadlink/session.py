@@ -32,6 +32,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Like `cut`, for loops of many rounds: a checkpoint keeps the constraints that the optimizer has inferred, which can
+    multiply from round to round; a table that is written and read again has none."""
+    path = fresh_path(df.sparkSession, "round")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Even partitions for rows whose processing costs far more than their size suggests."""
     shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
