@@ -20,6 +20,7 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -74,9 +75,14 @@ def _frequencies(kind: str, vocabulary: int):
 
 
 class Shard:
-    """BM25 inverted index over the documents of one shard."""
+    """BM25 inverted index over the documents of one shard.
 
-    def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_length: float, terms: int | None = None, k1: float = 1.2, b: float = 0.75):
+    A term of `dense` of the documents or more has no list: the scores that such terms give to all pairs of documents are one
+    matrix product, made when the shard is built. Rarer terms are looked up in their lists for each seed.
+    """
+
+    def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_length: float, terms: int | None = None, k1: float = 1.2, b: float = 0.75,
+                 dense: float = 0.15):
         sizes = np.array([len(d) for d in docs])
         code = np.repeat(np.arange(len(docs), dtype=np.uint64), sizes) * np.uint64(len(idf)) + np.concatenate(docs)
         if len(docs) * len(idf) < 1 << 32:
@@ -84,13 +90,24 @@ class Shard:
         pair, tf = np.unique(code, return_counts=True)
         doc, term = (pair // len(idf)).astype(np.int64), (pair % len(idf)).astype(np.int64)
         weight = idf[term] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * sizes[doc] / mean_length))
+        self.terms, self.idf, self.common = terms, idf, None
+        if terms is None:
+            count = np.bincount(term, minlength=len(idf))
+            column = np.cumsum(often := count >= max(2, dense * len(docs))) - 1
+            inside = often[term]
+            if inside.any():
+                held = np.zeros((len(docs), int(often.sum())), np.float32)
+                gives = held.copy()
+                held[doc[inside], column[term[inside]]] = 1
+                gives[doc[inside], column[term[inside]]] = weight[inside]
+                self.common = held @ gives.T  # (seed, document)
+            doc, term, weight = doc[~inside], term[~inside], weight[~inside]
         order = np.argsort(term, kind="stable")
         self.doc, self.weight = doc[order], weight[order].astype(np.float64)
         self.begin = np.searchsorted(term[order], np.arange(len(idf) + 1))
         self.count = np.diff(self.begin)
         self.unused = np.ones(len(docs), bool)
         self.least, self.held, self.asked = 1, len(docs), 0
-        self.idf, self.terms = idf, terms
         self.term, self.first = term, np.searchsorted(doc, np.arange(len(docs) + 1))
 
     def _drop_used(self) -> None:
@@ -102,6 +119,10 @@ class Shard:
 
     def neighbours(self, seed: int, most: int | None = None) -> list[int]:
         """Unused documents that share terms with the seed, best first; all of them, or the best `most`."""
+        return list(islice(self.ranked(seed), most))
+
+    def ranked(self, seed: int) -> Iterator[int]:
+        """The same one by one, sorted in pieces: a seed seldom needs more than a few."""
         self.asked += 1
         if self.asked % 16 == 0 and self.unused.sum() < 0.85 * self.held:
             self._drop_used()
@@ -109,13 +130,16 @@ class Shard:
         own = own[self.count[own] > self.least]  # the seed itself is in the lists until used documents are dropped
         if self.terms is not None and len(own) > self.terms:
             own = own[np.argpartition(self.idf[own], len(own) - self.terms)[-self.terms :]]
-        if not len(own):
-            return []
-        parts = [slice(a, z) for a, z in zip(self.begin[own].tolist(), self.begin[own + 1].tolist(), strict=True)]
-        score = np.bincount(np.concatenate([self.doc[p] for p in parts]), np.concatenate([self.weight[p] for p in parts]), len(self.unused))
-        score *= self.unused
-        found = np.flatnonzero(score)
-        return found[np.argsort(-score[found], kind="stable")][:most].tolist()
+        score = np.zeros(len(self.unused)) if self.common is None else self.common[seed].astype(np.float64)
+        if len(own):
+            parts = [slice(a, z) for a, z in zip(self.begin[own].tolist(), self.begin[own + 1].tolist(), strict=True)]
+            score += np.bincount(np.concatenate([self.doc[p] for p in parts]), np.concatenate([self.weight[p] for p in parts]), len(self.unused))
+        found = np.flatnonzero(self.unused & (score > 0))
+        score = score[found]
+        while len(found):
+            near = score >= -np.partition(-score, 31)[31] if len(found) > 64 else np.ones(len(found), bool)
+            yield from found[near][np.argsort(-score[near], kind="stable")].tolist()
+            found, score = found[~near], score[~near]
 
 
 class Packer:
@@ -175,7 +199,7 @@ def pack_shard(packer: Packer, open_ids: list, names: list, docs: list[np.ndarra
                 start = put(seed, start)
             rest = None
             if packer.at:
-                for other in shard.neighbours(seed):
+                for other in shard.ranked(seed):
                     shard.unused[other] = False
                     end = put(other, 0)
                     if packer.at == 0:
