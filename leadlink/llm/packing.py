@@ -63,8 +63,9 @@ def _frequencies(kind: str, vocabulary: int):
         seen, docs, ids = np.zeros(vocabulary, np.int64), 0, 0
         for batch in batches:
             for raw in batch.column("ids").to_pylist():
-                x = np.frombuffer(raw, kind)
-                seen[np.unique(x)] += 1
+                x = np.sort(np.frombuffer(raw, kind), kind="stable")  # a radix sort for two-byte ids
+                seen[x[np.flatnonzero(x[1:] != x[:-1])]] += 1
+                seen[x[-1]] += 1  # the end id makes sure of one
                 docs, ids = docs + 1, ids + len(x)
         terms = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays(
