@@ -31,6 +31,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, label: str) -> DataFrame:
+    """(uid, row): every row under a number of its own, written, so that rows without an id or with equal ones are told apart."""
+    return stored(docs.select(F.monotonically_increasing_id().alias("uid"), F.struct("*").alias("row")), label)
+
+
+def without(rows: DataFrame, gone: DataFrame, small: int = 1_000_000) -> DataFrame:
+    """The rows of `numbered` whose uid is not in `gone` (uid), a written table; up to `small` of them are broadcast,
+    which leaves the texts where they are, more are met by a shuffle."""
+    side = F.broadcast(gone) if gone.count() <= small else gone.hint("shuffle_hash")
+    return rows.join(side, "uid", "left_anti").select("row.*")
+
+
 def per_worker(key, make):
     """One object per Python worker process, kept from task to task."""
     store = sys.modules.setdefault("leadlink_worker_store", types.ModuleType("leadlink_worker_store")).__dict__

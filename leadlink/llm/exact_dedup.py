@@ -7,7 +7,8 @@ shuffle by digest is even.
 
 Defined cases: a null text counts as empty, and all empty texts are one group. The smallest non-null id of a group
 stays; rows without an id stay only where no row of their group has one. Rows that repeat both id and text are one
-document and are marked alike. Other columns are neither read nor needed, whatever they are called.
+document and are marked alike by `mark`; `remove` keeps exactly one row of every group, whatever the ids are. Other
+columns are neither read nor needed, whatever they are called.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadlink.llm.common import stored, table
+from leadlink.llm.common import numbered, stored, table, without
 from leadlink.llm.registry import query
 
 
@@ -24,9 +25,8 @@ def digest(text: Column) -> Column:
     return F.sha2(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " "), 256)
 
 
-def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", heavy: int = 1024) -> DataFrame:
-    """(id, keep_id, group_size, kept, text_sha256) for every row."""
-    rows = stored(docs.select(F.col(id_col).alias("id"), digest(F.col(text_col)).alias("sha")), "digests")
+def _settled(rows: DataFrame, heavy: int) -> DataFrame:
+    """The rows (id, sha, more), a written table, with `keep_id` and `group_size` of their group."""
     frequent = rows.agg(F.expr(f"approx_top_k(sha, {heavy}, {8 * heavy})").alias("top")).select(F.explode("top.item").alias("sha"))
     winners = stored(
         rows.join(F.broadcast(frequent), "sha", "left_semi").groupBy("sha")
@@ -36,19 +36,28 @@ def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", heavy:
     hot = rows.join(F.broadcast(winners), "sha")
     same = Window.partitionBy("sha")
     rest = rows.join(F.broadcast(winners.select("sha")), "sha", "left_anti").select(
-        "sha", "id", F.min("id").over(same).alias("keep_id"), F.count("*").over(same).alias("group_size")
+        "*", F.min("id").over(same).alias("keep_id"), F.count("*").over(same).alias("group_size")
     )
-    return hot.unionByName(rest).select(
+    return hot.unionByName(rest)
+
+
+def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", heavy: int = 1024) -> DataFrame:
+    """(id, keep_id, group_size, kept, text_sha256) for every row."""
+    rows = stored(docs.select(F.col(id_col).alias("id"), digest(F.col(text_col)).alias("sha")), "digests")
+    return _settled(rows, heavy).select(
         F.col("id").alias(id_col), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.col("sha").alias("text_sha256"),
     )
 
 
-def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns."""
-    gone = mark(docs, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("_gone_id"), F.col("text_sha256").alias("_gone_sha"))
-    match = docs[id_col].eqNullSafe(gone["_gone_id"]) & (digest(docs[text_col]) == gone["_gone_sha"])
-    return docs.join(gone.hint("shuffle_hash"), match, "left_anti")
+def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", heavy: int = 1024) -> DataFrame:
+    """One row of each group, with all its columns: that with the smallest id, the first in the table among equal or no ids."""
+    whole = numbered(docs, "documents")
+    row = F.col("row")
+    rows = stored(whole.select("uid", row[id_col].alias("id"), digest(row[text_col]).alias("sha")), "digests")
+    repeated = stored(_settled(rows, heavy).where("group_size > 1").select("uid", "sha", F.col("id").eqNullSafe(F.col("keep_id")).alias("best")), "repeated")
+    stays = repeated.where("best").groupBy("sha").agg(F.min("uid").alias("uid"))
+    return without(whole, stored(repeated.select("uid").join(stays.select("uid"), "uid", "left_anti"), "gone"))
 
 
 SQL = r"""

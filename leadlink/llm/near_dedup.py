@@ -19,9 +19,10 @@ ascending order and a process ends as soon as it cannot lower any component.
 At the defaults a pair of similarity 0.8 shares no band with probability 3e-6.
 
 Defined cases: a null text counts as empty; a text without words is no near-duplicate of anything (a class of its own);
-texts of one to four words have one shingle, all their words. The smallest id of a class names it. Rows that share an id
-are one document whose texts all count. A row without an id gets the class of equal texts, null if none has an id;
-`remove` cannot name such a row and leaves it. Other columns are ignored, whatever they are called.
+texts of one to four words have one shingle, all their words. Every row is a document of its own, whether its id is
+repeated or null: classes are found over row numbers. The smallest id of a class names it, null if none has an id; one
+row of a class is kept, that with the smallest id, one of them where several rows of the class have it or none has an id.
+Other columns are ignored, whatever they are called.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadlink.llm.common import per_worker, ship, stored, table
+from leadlink.llm.common import numbered, per_worker, ship, stored, table, without
 from leadlink.llm.registry import query
 from leadlink.operators.dedup import components
 
@@ -153,7 +154,7 @@ def _signer(bands: int, rows: int):
                     keys = mixed(keys * np.uint64(0x100000001B3) + sign[:, r::rows])
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(words) + 1, dtype=np.int32) * bands), pa.array(keys.view(np.int64).ravel()))
                 same = [xxhash.xxh3_128_digest(w.tobytes()) if len(w) else None for w in words]
-                yield pa.RecordBatch.from_arrays([few.column("id"), pa.array(same, pa.binary()), lists], names=["id", "same", "keys"])
+                yield pa.RecordBatch.from_arrays([few.column("uid"), few.column("id"), pa.array(same, pa.binary()), lists], names=["uid", "id", "same", "keys"])
 
     return run
 
@@ -234,12 +235,13 @@ def _rest(members: DataFrame, texts: DataFrame, labels: DataFrame, threshold: fl
     return _linked(pairs, texts, threshold).unionByName(tiles.distinct())
 
 
-def classes(docs: DataFrame, threshold: float = 0.8, bands: int = 24, rows: int = 4, few_pairs: int = 64, tile: int = 256,
-            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, class_id, class_size, kept) for every row."""
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    signed = stored(texts.mapInArrow(_signer(bands, rows), "id long, same binary, keys array<long>"), "signatures")
-    reps = signed.where("same IS NOT NULL AND id IS NOT NULL").groupBy("same").agg(F.min("id").alias("rep"), F.first("keys").alias("keys"))
+def _classes(rows: DataFrame, threshold: float, bands: int, rows_of_band: int, few_pairs: int, tile: int) -> DataFrame:
+    """(uid, id, cls, least, size, kept) for every row (uid, id, text) of a written table."""
+    kind = rows.schema["id"].dataType.simpleString()
+    texts = rows.select(F.col("uid").alias("id"), "text")
+    sign = rows.mapInArrow(_signer(bands, rows_of_band), f"uid long, id {kind}, same binary, keys array<long>")
+    signed = stored(sign, "signatures")
+    reps = signed.where("same IS NOT NULL").groupBy("same").agg(F.min("uid").alias("rep"), F.first("keys").alias("keys"))
     keys = reps.select(F.col("rep").alias("id"), F.explode("keys").alias("key"))
     crowded = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = stored(keys.join(crowded, "key"), "buckets")
@@ -253,23 +255,31 @@ def classes(docs: DataFrame, threshold: float = 0.8, bands: int = 24, rows: int
     whole = stored(texts.join(met.hint("shuffle_hash"), "id", "left_semi"), "bucket-texts")
     links = stored(_linked(pairs, whole, threshold), "links")
     labels = stored(components(links, met), "labels")
-    more = _rest(members, whole, labels, threshold, few_pairs, tile)
-    links = stored(links.unionByName(more), "all-links")
+    more = stored(_rest(members, whole, labels, threshold, few_pairs, tile), "more-links")
+    links = links.unionByName(more)
     labels = components(links, met)
-    class_of = reps.select("same", F.col("rep").alias("id")).join(labels, "id", "left").select("same", F.coalesce("component", "id").alias("class_id"))
-    named = signed.select("id", "same").join(class_of, "same", "left").select("id", F.coalesce("class_id", "id").alias("class_id"))
-    named = stored(named, "classes")
-    sizes = named.groupBy("class_id").agg(F.min("id").alias("least"), F.count("*").alias("class_size"))
-    return named.join(sizes, "class_id", "left").select(
-        F.col("id").alias(id_col), F.col("least").alias("class_id"), F.coalesce("class_size", F.lit(1)).alias("class_size"),
-        F.col("id").eqNullSafe(F.col("least")).alias("kept"),
-    )
+    class_of = reps.select("same", F.col("rep").alias("id")).join(labels, "id", "left").select("same", F.coalesce("component", "id").alias("cls"))
+    named = stored(signed.select("uid", "id", "same").join(class_of, "same", "left").select("uid", "id", F.coalesce("cls", "uid").alias("cls")), "classes")
+    first = F.coalesce(F.min_by("uid", "id"), F.min("uid"))
+    sizes = stored(named.groupBy("cls").agg(F.min("id").alias("least"), F.count("*").alias("size"), first.alias("stays")), "class-sizes")
+    return named.join(sizes, "cls").select("uid", "id", "least", "size", (F.col("uid") == F.col("stays")).alias("kept"))
 
 
-def remove(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of each class's smallest id, with all their columns; rows without id or class stay."""
-    gone = classes(docs, threshold, id_col=id_col, text_col=text_col).where(~F.col("kept")).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone.hint("shuffle_hash"), docs[id_col] == gone["_gone"], "left_anti")
+def classes(docs: DataFrame, threshold: float = 0.8, bands: int = 24, rows: int = 4, few_pairs: int = 64, tile: int = 256,
+            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, class_id, class_size, kept) for every row."""
+    texts = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    found = _classes(stored(texts, "texts"), threshold, bands, rows, few_pairs, tile)
+    return found.select(F.col("id").alias(id_col), F.col("least").alias("class_id"), F.col("size").alias("class_size"), "kept")
+
+
+def remove(docs: DataFrame, threshold: float = 0.8, bands: int = 24, rows: int = 4, few_pairs: int = 64, tile: int = 256,
+           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each class, with all its columns."""
+    whole = numbered(docs, "documents")
+    texts = whole.select("uid", F.col("row")[id_col].alias("id"), F.col("row")[text_col].alias("text"))
+    found = _classes(texts, threshold, bands, rows, few_pairs, tile)
+    return without(whole, stored(found.where(~F.col("kept")).select("uid"), "gone"))
 
 
 @query("op2_near_dedup")

@@ -84,4 +84,33 @@ def test_near_defined_cases(spark):
     assert got == sorted([(i, want[i] if i is not None else 1 if t else None, i == (want[i] if i is not None else 1 if t else None)) for i, t, _ in ROWS], key=repr)
     assert near_dedup.classes(frame(spark, [])).collect() == []
     kept = sorted((r.doc_id for r in near_dedup.remove(frame(spark)).collect()), key=repr)
-    assert kept == sorted([i for i, _, _ in ROWS if i is None or want[i] == i], key=repr)
+    assert kept == sorted([i for i, t, _ in ROWS if (want[i] == i if i is not None else not t)], key=repr)
+
+
+def test_ids_that_repeat_or_lack_neither_lose_nor_keep_texts(spark):
+    """A third of the rows under one id, a third under none; every class leaves exactly one row."""
+    texts = group(1, 40) + group(2, 30) + [f"alone {k} " + " ".join(f"q{k * 31 + j}" for j in range(30)) for k in range(20)]
+    texts += texts[:20]
+    random.Random(3).shuffle(texts)
+    rows = [((5, None, 100 + k)[k % 3], t, "en") for k, t in enumerate(texts)]
+    label = near_classes(list(enumerate(texts)))
+    for remove, of in ((near_dedup.remove, lambda k: label[k]), (exact_dedup.remove, lambda k: normal(texts[k]))):
+        got = remove(frame(spark, rows))
+        assert got.columns == frame(spark).columns
+        members = {}
+        for k, (i, t, _) in enumerate(rows):
+            members.setdefault(of(k), []).append((i, t))
+        kept = [(r.doc_id, r.text) for r in got.collect()]
+        assert len(kept) == len(members)
+        for group_rows in members.values():
+            stays = [x for x in kept if x in group_rows]
+            least = min((i for i, _ in group_rows if i is not None), default=None)
+            assert len(stays) == 1 and stays[0][0] == least
+
+
+def test_one_id_on_unlike_texts(spark):
+    a, b, c = group(1, 1)[0], *group(2, 2, edits=(0, 1))
+    rows = [(1, a, "en"), (5, a, "en"), (5, b, "en"), (7, c, "en")]
+    assert sorted((r.doc_id, r.text) for r in near_dedup.remove(frame(spark, rows)).collect()) == [(1, a), (5, b)]
+    got = sorted((r.doc_id, r.class_id, r.class_size, r.kept) for r in near_dedup.classes(frame(spark, rows)).collect())
+    assert got == [(1, 1, 2, True), (5, 1, 2, False), (5, 5, 2, True), (7, 5, 2, False)]
