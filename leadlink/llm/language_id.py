@@ -10,26 +10,32 @@ training are bounded whatever the corpus holds. Prediction is a map over all row
 Never used for a prediction: lang, source, id. Held out from training: rows whose crc32(id as text) mod 4 is 2.
 
 Defined cases: `und` with score 0 for a null text, a text without a letter, or when no labelled row could be learned
-from; rows that repeat are predicted alike; a null id is never learned from, its row is predicted, held_out false.
+from; rows that repeat are predicted alike; a null id is never learned from, its row is predicted, held_out false. The
+bound of the training sample holds for rows: a row is chosen by its id and its text, equal rows count once.
+
+As a filter (`accepted`): the network knows nothing of characters that no training snippet holds, so a document's score is
+multiplied by the share of its letters that were learned. It goes where the product is below half of the lowest score of a
+training snippet, or where it has no letter. Where nothing could be learned, every document with a letter stays.
 """
 
 from __future__ import annotations
 
-import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadlink.llm.common import crc_mod4, ship, table
+from leadlink.llm.common import crc_mod4, per_worker, ship, table
 from leadlink.llm.registry import query
 
 ship(__name__)
 
 SNIPPETS, SNIPPET = 48, 240
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -203,13 +209,41 @@ def _predictor(m, names: list[str], width: int):
     return run
 
 
-def _filter(m, names: list[str], width: int, text_at: int, least: float):
+def _letters() -> np.ndarray:
+    return np.fromiter((chr(c).isalpha() for c in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1)
+
+
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def familiar(alphabet: np.ndarray, texts: list) -> np.ndarray:
+    """Share of each text's letters that are in the alphabet (code points); 0 without letters."""
+    letter = per_worker("letters", _letters)
+    known = np.zeros(len(letter), bool)
+    known[alphabet] = True
+    share = np.zeros(len(texts))
+    for j, text in enumerate(texts):
+        seen = np.bincount(_points(text)) if text else np.zeros(1, np.int64)
+        at = np.flatnonzero(seen)
+        at = at[letter[at]]
+        share[j] = seen[at][known[at]].sum() / seen[at].sum() if len(at) else 0.0
+    return share
+
+
+def _filter(m, names: list[str], width: int, text_at: int, alphabet: np.ndarray, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 few = batch.slice(k, 256)
-                lang, score = judged(m, names, width, few.column(text_at).to_pylist())
-                yield few.filter(pa.array([w != "und" and s >= least for w, s in zip(lang, score, strict=True)]))
+                texts = few.column(text_at).to_pylist()
+                if names:
+                    lang, score = judged(m, names, width, texts)
+                    score = score * familiar(alphabet, texts)
+                    keep = [w != "und" and s >= least for w, s in zip(lang, score, strict=True)]
+                else:
+                    keep = [bool(t and LETTER.search(t)) for t in texts]
+                yield few.filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -229,21 +263,25 @@ def _snippets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def sample(docs: DataFrame, lang: Column, per_language: int) -> list:
     """(lang, snippet) of at most `per_language` learnable documents of each language."""
     rows = docs.where(lang.isNotNull() & F.col("text").rlike(r"\p{L}") & F.col("id").isNotNull() & (crc_mod4(F.col("id")) != 2))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = rows.select("id", lang.alias("lang")).withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_language).select("id").distinct()
-    texts = rows.select("id", lang.alias("lang"), "text").join(F.broadcast(chosen), "id").select("lang", "text")
-    return texts.mapInArrow(_snippets, "lang string, snippet binary").orderBy("lang", "snippet").collect()
+    rows = rows.select("id", lang.alias("lang"), F.xxhash64("text").alias("h"), "text")
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "h")
+    chosen = rows.select("id", "lang", "h").distinct().withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_language).drop("r")
+    texts = rows.join(F.broadcast(chosen), ["id", "lang", "h"]).groupBy("id", "lang", "h").agg(F.first("text").alias("text"))
+    return texts.select("lang", "text").mapInArrow(_snippets, "lang string, snippet binary").orderBy("lang", "snippet").collect()
 
 
-def fit(docs: DataFrame, lang_col: str = "lang", per_language: int = 200, hidden: int = 8, steps: int = 500):
-    """(model, language names)"""
-    rows = sample(docs, F.col(lang_col), per_language)
+def _learn(rows: list, hidden: int = 8, steps: int = 500):
     names = sorted({r.lang for r in rows})
     if not names:
         return None, []
     return train([(bytes(r.snippet), names.index(r.lang)) for r in rows], len(names), hidden, steps=steps), names
 
 
+def fit(docs: DataFrame, lang_col: str = "lang", per_language: int = 200, hidden: int = 8, steps: int = 500):
+    """(model, language names)"""
+    return _learn(sample(docs, F.col(lang_col), per_language), hidden, steps)
+
+
 def predict(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", width: int = 96) -> DataFrame:
     """(id, held_out, lang_pred, score) for every row; learns from the same table."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
@@ -255,10 +293,15 @@ def predict(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     return said.withColumnRenamed("id", id_col)
 
 
-def accepted(docs: DataFrame, least: float = 0.0, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", width: int = 96) -> DataFrame:
-    """The rows that are not `und` and score at least `least`, with all their columns."""
-    model, names = fit(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")), "lang")
-    return docs.mapInArrow(_filter(model, names, width, docs.columns.index(text_col), least), docs.schema)
+def accepted(docs: DataFrame, per_language: int = 200, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", width: int = 96) -> DataFrame:
+    """The rows whose text is in a learned language, with all their columns."""
+    rows = sample(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")), F.col("lang"), per_language)
+    model, names = _learn(rows)
+    parts = [bytes(r.snippet) for r in rows]
+    # A snippet may begin or end inside a character.
+    alphabet = np.unique(np.concatenate([_points(p.decode(errors="ignore")) for p in parts] or [np.zeros(0, np.uint32)]))
+    least = float(pooled(model, parts, width).max(axis=1).min()) / 2 if parts else 0.0
+    return docs.mapInArrow(_filter(model, names, width, docs.columns.index(text_col), alphabet, least), docs.schema)
 
 
 @query("op9_language_id")

@@ -147,11 +147,13 @@ def _bags(passage: int, most: int):
 
 def fit(docs: DataFrame, labels: DataFrame, passage: int, fit_rows: int, fit_passages: int):
     """(model, share of label 1): the model is None unless both classes were seen."""
-    known = labels.where(F.col("label").isNotNull() & F.col("id").isNotNull() & (crc_mod4(F.col("id")) != 2))
-    known = known.join(docs.select("id"), "id", "left_semi").orderBy(F.xxhash64("id"), "id", "label").limit(fit_rows)
+    known = labels.where(F.col("label").isNotNull() & F.col("id").isNotNull() & (crc_mod4(F.col("id")) != 2)).select("id", "label").distinct()
+    rows = docs.select("id", F.xxhash64("text").alias("h"), "text")
+    # A row is chosen by id and text, so the bound holds for rows whatever ids repeat; equal rows count once.
+    chosen = rows.select("id", "h").distinct().join(known, "id").orderBy(F.xxhash64("id"), "id", "h", "label").limit(fit_rows)
     kind = docs.schema["id"].dataType.simpleString()
     rows = (
-        docs.join(F.broadcast(known), "id").select("id", "label", "text")
+        rows.join(F.broadcast(chosen), ["id", "h"]).groupBy("id", "h", "label").agg(F.first("text").alias("text")).select("id", "label", "text")
         .mapInArrow(_bags(passage, fit_passages), f"id {kind}, label int, bag binary").orderBy("id", "label", "bag").collect()
     )
     label = np.array([r.label for r in rows], np.float64)

@@ -118,3 +118,40 @@ def test_quality_defined_cases(spark):
     one = quality.score(frame(spark), labels.where("quality = 1")).collect()
     assert {r.score for r in one} == {1.0} and {r.predicted for r in one} == {1}
     assert {r.score for r in quality.score(frame(spark), labels.where("false")).collect()} == {0.5}
+
+
+def hot(n):
+    """Labelled rows, a third of them under one learnable id, a third without an id."""
+    one = next(k for k in range(10) if not held(k))
+    return [((one, None, 1000 + k)[k % 3], f"text number {k} about things", "en") for k in range(n)]
+
+
+def test_bounds_of_the_training_samples_hold_under_repeated_ids(spark, monkeypatch):
+    docs = frame(spark, hot(900) * 2)
+    rows = docs.selectExpr("doc_id AS id", "text", "lang")
+    assert len(language_id.sample(rows, rows["lang"], 50)) == 50  # each text is one snippet
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda bags, label: seen.append(len(bags)))
+    ids = sorted({i for i, _, _ in hot(900) if i is not None})
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)] * 2, "id long, label int")
+    quality.fit(rows, labels, 512, 40, 4)
+    assert seen == [40]
+
+
+def test_signs_are_no_letters(spark):
+    rows = [(1, "a plain text", "en"), (2, "½ ² ①", "en"), (3, "another plain text", "en"), (4, "12 ½ x", "en")]
+    assert {r.doc_id for r in language_id.predict(frame(spark, rows)).collect() if r.lang_pred == "und"} == {2}
+
+
+def test_the_filter_rejects_letters_never_learned(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    foreign = ["Καλημέρα κόσμε, πώς είσαι σήμερα φίλε μου;", "中文文本在这里我们看到很多汉字", "привет, как дела сегодня", "½ ²"]
+    extra = spark.createDataFrame([(-1 - k, t) for k, t in enumerate(foreign)], "doc_id long, text string")
+    got = language_id.accepted(docs.unionByName(extra, allowMissingColumns=True))
+    want = {r.doc_id for r in docs.collect() if r.text and language_id.LETTER.search(r.text)}
+    assert got.columns == docs.columns and {r.doc_id for r in got.collect()} == want
+
+
+def test_the_filter_keeps_texts_where_nothing_was_learned(spark):
+    got = language_id.accepted(frame(spark, [(1, "text", None), (2, "...", None), (None, "more", None), (3, None, None)]))
+    assert sorted(r.text for r in got.collect()) == ["more", "text"]
