@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from leadlink.functions import text as T
 from leadlink.operators import classify, dedup, keyed, merge, resolve
-from leadlink.session import cut
+from leadlink.session import cut, written
 
 
 def roots(judged: DataFrame) -> DataFrame:
@@ -28,17 +28,23 @@ def absorb(judged: DataFrame, rank: list, cols: list[str]) -> DataFrame:
     return keyed.merge_groups(rows, ["root"], [first, *rank], ["root", *cols]).drop("n_rows", "root")
 
 
+def _counted(rows: DataFrame) -> tuple[DataFrame, int]:
+    """Rows written once, counted by the job that writes them."""
+    seen = Observation()
+    kept = written(rows.observe(seen, F.count(F.lit(1)).alias("n")))
+    return kept, seen.get["n"]
+
+
 def dedup_stages(leads: DataFrame, cols: list[str], judge=dedup.survivors) -> tuple[DataFrame, DataFrame]:
     """(leads, report): duplicates by id, then by phone and name, then by department and name, each stage on what the one
-    before left; the report has removed and remaining rows per stage and in all. leads: `ord` and the lead columns."""
+    before left; the report has removed and remaining rows per stage and in all. leads: `ord` and the lead columns.
+    The counts are observed while a stage is written; no stage is run again to be counted."""
     phone, prio, filled = keyed.dedup_rank(cols)
-    rows = cut(keyed.best_per_siret(leads, cols).select("ord", *cols))
-    counts = [leads.count(), rows.count()]
-    rows = cut(absorb(cut(judge(dedup.with_phone_block(rows), [phone, prio, filled], dedup.PHONE_THRESHOLD)), [phone, prio, filled], cols))
-    counts.append(rows.count())
-    rows = cut(absorb(cut(judge(dedup.with_department_block(rows), [filled, prio], dedup.NAME_THRESHOLD)), [filled, prio], cols))
-    counts.append(rows.count())
-    lines = [(s, a - b, b) for s, a, b in zip(("siret", "phone", "name"), counts, counts[1:], strict=False)] + [("total", counts[0] - counts[-1], counts[-1])]
+    rows, start = _counted(leads.select("ord", *cols))
+    rows, by_id = _counted(keyed.best_per_siret(rows, cols).select("ord", *cols))
+    rows, by_phone = _counted(absorb(cut(judge(dedup.with_phone_block(rows), [phone, prio, filled], dedup.PHONE_THRESHOLD)), [phone, prio, filled], cols))
+    rows, by_name = _counted(absorb(cut(judge(dedup.with_department_block(rows), [filled, prio], dedup.NAME_THRESHOLD)), [filled, prio], cols))
+    lines = [("siret", start - by_id, by_id), ("phone", by_id - by_phone, by_phone), ("name", by_phone - by_name, by_name), ("total", start - by_name, by_name)]
     return rows, leads.sparkSession.createDataFrame(lines, "stage string, removed long, remaining long")
 
 

@@ -164,20 +164,20 @@ _COLS = merge.LEAD_COLUMNS
 _FILLED = D.filled(_COLS)
 _PRIO = "CASE priority WHEN 'Haute' THEN 0 WHEN 'Moyenne' THEN 1 WHEN 'Basse' THEN 2 ELSE 9 END"
 _RANK = f"struct_pack(a := CASE WHEN trim(phone) <> '' THEN 0 ELSE 1 END, b := {_PRIO}, c := -{_FILLED}, d := ord)"
-_KEYED_LEADS = "SELECT * REPLACE (CASE WHEN ord % 5 = 0 THEN '' WHEN ord % 3 = 0 THEN '1' ELSE CAST(ord - ord % 7 AS STRING) END AS siret) FROM lead"
+KEYED_LEADS = "SELECT * REPLACE (CASE WHEN ord % 5 = 0 THEN '' WHEN ord % 3 = 0 THEN '1' ELSE CAST(ord - ord % 7 AS STRING) END AS siret) FROM lead"
 
 
-def _copied_leads(spark, sf):
+def copied_leads(spark, sf):
     key = F.expr("CASE WHEN ord % 5 = 0 THEN '' WHEN ord % 3 = 0 THEN '1' ELSE CAST(ord - ord % 7 AS STRING) END")
     return view(spark, sf, "lead").withColumn("siret", key)
 
 
-@query("dedup_best_per_key", ctes("lead") + f""", r AS (SELECT *, {_RANK} AS rk FROM ({_KEYED_LEADS}))
+@query("dedup_best_per_key", ctes("lead") + f""", r AS (SELECT *, {_RANK} AS rk FROM ({KEYED_LEADS}))
   SELECT siret, {', '.join(f"coalesce(arg_min({c}, rk) FILTER (WHERE trim({c}) <> ''), arg_min({c}, rk)) AS {c}" for c in _COLS if c != 'siret')},
     min(rk).d AS ord, count(*) AS n_rows FROM r WHERE siret <> '' GROUP BY siret
   UNION ALL BY NAME SELECT {', '.join(_COLS)}, ord, 1 AS n_rows FROM r WHERE siret = ''""")
 def dedup_best_per_key(spark, sf):
-    return keyed.best_per_siret(_copied_leads(spark, sf), _COLS)
+    return keyed.best_per_siret(copied_leads(spark, sf), _COLS)
 
 
 @query("row_richness", ctes("lead") + f" SELECT ord, {_FILLED} AS filled FROM lead")

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from leadlink.functions import text as T
-from leadlink.operators import dedup, keyed, report
+from leadlink.operators import dedup, flows, keyed, report
 from leadlink.operators.merge import LEAD_COLUMNS
 from leadlink.plans import duck as D
 from leadlink.plans.inputs import ctes, table, view
+from leadlink.plans.q_core import KEYED_LEADS, copied_leads
 from leadlink.plans.registry import query
 
 _NAME = D.token_sort(D.clean("name", T.LEGAL_FORMS_LINK))
@@ -16,10 +17,10 @@ _FILLED = D.filled(LEAD_COLUMNS)
 _PRIO = "CASE priority WHEN 'Haute' THEN 0 WHEN 'Moyenne' THEN 1 WHEN 'Basse' THEN 2 ELSE 9 END"
 
 
-def _dominance_ctes(tag: str, block: str, rank: str, threshold: int) -> str:
+def _dominance_ctes(tag: str, block: str, rank: str, threshold: int, source: str = "lead") -> str:
     """CTE judged_<tag>: every row against every better row of its block with a similar name."""
     return f"""
-  r_{tag} AS (SELECT *, {block} AS block, {_NAME} AS nk, {rank} AS rk FROM lead),
+  r_{tag} AS (SELECT *, {block} AS block, {_NAME} AS nk, {rank} AS rk FROM {source} l),
   n_{tag} AS (SELECT DISTINCT nk FROM r_{tag}), s_{tag} AS (
     SELECT a.nk AS na, b.nk AS nb, CASE WHEN a.nk = b.nk THEN 100.0 ELSE {D.ratio('a.nk', 'b.nk')} END AS sim FROM n_{tag} a JOIN n_{tag} b
     ON a.nk = b.nk OR (length(a.nk) > 0 AND length(b.nk) > 0 AND 200 * least(length(a.nk), length(b.nk)) >= {threshold} * (length(a.nk) + length(b.nk)))),
@@ -106,6 +107,42 @@ def dedup_name_survivors(spark, sf):
     return dedup.survivors(rows, keyed.dedup_rank(LEAD_COLUMNS)[2:], dedup.NAME_THRESHOLD).select("ord", "block", "name_key", "kept_ord", "sim")
 
 
+def _stage_ctes(tag: str, block: str, rank: str, threshold: int, source: str, out: str) -> str:
+    """CTE `out`: what a survivors stage leaves of `source`, blanks filled from the rows that went into each survivor.
+    A row that goes points at one that stays, never at another that goes."""
+    fate = _survivors_sql(tag).format(threshold=threshold)
+    ctes_of, select = fate.split("\n  SELECT r.ord", 1)
+    order = f"struct_pack(a := CASE WHEN f.kept_ord IS NULL THEN 0 ELSE 1 END, r := {rank})"
+    fills = ", ".join(f"coalesce(arg_min({c}, w) FILTER (WHERE trim({c}) <> ''), arg_min({c}, w)) AS {c}" for c in LEAD_COLUMNS)
+    return f"""{_dominance_ctes(tag, block, rank, threshold, source)},{ctes_of}, fate_{tag} AS MATERIALIZED (SELECT r.ord{select}),
+  {out} AS MATERIALIZED (SELECT root AS ord, {fills} FROM (SELECT l.*, coalesce(f.kept_ord, l.ord) AS root, {order} AS w
+    FROM {source} l JOIN fate_{tag} f ON f.ord = l.ord) GROUP BY root)"""
+
+
+_BOTH_RANK = f"struct_pack(c := -{_FILLED}, b := {_PRIO}, ord := l.ord)"
+_ID_FILLS = ", ".join(f"coalesce(arg_min({c}, rk) FILTER (WHERE trim({c}) <> ''), arg_min({c}, rk)) AS {c}" for c in LEAD_COLUMNS if c != "siret")
+CHAIN_SQL = _recursive(ctes("lead")) + f""",
+  every AS (SELECT * REPLACE (trim(siret) AS siret) FROM ({KEYED_LEADS})),
+  ided AS MATERIALIZED (SELECT min(rk).ord AS ord, siret, {_ID_FILLS} FROM (SELECT *, {_PHONE_RANK} AS rk FROM every WHERE siret <> '') GROUP BY siret
+    UNION ALL BY NAME SELECT ord, {', '.join(LEAD_COLUMNS)} FROM every WHERE siret = ''),
+  {_stage_ctes('c1', D.phone_nine('phone'), _PHONE_RANK.replace(':= ord', ':= l.ord'), dedup.PHONE_THRESHOLD, 'ided', 'phoned')},
+  {_stage_ctes('c2', f"substr({D.cp('cp')}, 1, 2)", _BOTH_RANK, dedup.NAME_THRESHOLD, 'phoned', 'named')}"""
+
+
+@query("dedup_chained_leads", CHAIN_SQL + f" SELECT ord, {', '.join(LEAD_COLUMNS)} FROM named")
+def dedup_chained_leads(spark, sf):
+    """The three stages of the lead job in a row, each on the filled rows the one before left."""
+    return flows.dedup_stages(copied_leads(spark, sf), LEAD_COLUMNS)[0].select("ord", *LEAD_COLUMNS)
+
+
+@query("dedup_chained_counts", CHAIN_SQL + """,
+  n AS (SELECT (SELECT count(*) FROM every) AS n0, (SELECT count(*) FROM ided) AS n1, (SELECT count(*) FROM phoned) AS n2, (SELECT count(*) FROM named) AS n3)
+  SELECT 'siret' AS stage, n0 - n1 AS removed, n1 AS remaining FROM n UNION ALL SELECT 'phone', n1 - n2, n2 FROM n
+  UNION ALL SELECT 'name', n2 - n3, n3 FROM n UNION ALL SELECT 'total', n0 - n3, n3 FROM n""")
+def dedup_chained_counts(spark, sf):
+    return flows.dedup_stages(copied_leads(spark, sf), LEAD_COLUMNS)[1]
+
+
 def rich_rows(spark, sf):
     """Parts under longer, more varied names; a third of them in one department."""
     name = F.concat_ws(" ", "p_name", F.regexp_replace("p_brand", "[^A-Za-z0-9]", " "), F.lower("p_type"))
