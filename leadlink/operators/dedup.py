@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from leadlink.functions import text as T
 from leadlink.operators.keyed import number_within
 from leadlink.operators.simjoin import letter_weights, similar_between, similar_within
-from leadlink.session import cut, spread, written
+from leadlink.session import cut, sorted_side, spread, written
 
 PHONE_THRESHOLD = 70
 NAME_THRESHOLD = 90
@@ -66,8 +66,8 @@ def dominance(rows: DataFrame, rank: list[Column], threshold: int) -> DataFrame:
         head = reps.where((F.col("i") > low) & (F.col("i") <= high))
         pairs = similar_between(undecided, head, threshold, distinct=True, weights=weights).where("name_a <> name_b")
         met = (
-            pairs.join(head.select("block", F.col("name").alias("name_b"), F.col("_best").alias("_rank"), F.col("i").alias("_j")), ["block", "name_b"])
-            .join(undecided.select("block", F.col("name").alias("name_a"), "i"), ["block", "name_a"])
+            pairs.join(sorted_side(head.select("block", F.col("name").alias("name_b"), F.col("_best").alias("_rank"), F.col("i").alias("_j"))), ["block", "name_b"])
+            .join(sorted_side(undecided.select("block", F.col("name").alias("name_a"), "i")), ["block", "name_a"])
             .where("_j < i")
             .groupBy("block", F.col("name_a").alias("name"))
             .agg(F.min(F.struct("_rank", "sim")).alias("d"))
@@ -79,7 +79,7 @@ def dominance(rows: DataFrame, rank: list[Column], threshold: int) -> DataFrame:
         low, high = high, high * LEADER_GROWTH
     leader = leaders.groupBy("block", F.col("name").alias("name_key")).agg(F.min("d").alias("d"))
     beaten = F.col("d._rank") < F.col("_rank")
-    return rows.join(leader, ["block", "name_key"], "left").select(
+    return rows.join(sorted_side(leader), ["block", "name_key"], "left").select(
         *[c for c in rows.columns if c != "_rank"],
         F.when(beaten, F.col("d._rank.ord")).alias("kept_ord"),
         F.when(beaten, F.col("d.sim")).alias("sim"),
@@ -102,7 +102,7 @@ def staying(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     known = written(known)
     stay = known.select("id")
     while True:
-        met = written(left.join(known.withColumnRenamed("id", "better"), "better", "left"))
+        met = written(left.join(sorted_side(known.withColumnRenamed("id", "better")), "better", "left"))
         true = F.when(F.col("plain") & F.col("flip"), True).otherwise(F.col("stays") == F.col("plain"))
         fate = written(met.groupBy("worse").agg(F.coalesce(F.max(true), F.lit(False)).alias("goes"), F.count_if(F.col("stays").isNull()).alias("open")))
         settled = F.col("goes") | (F.col("open") == 0)
@@ -110,11 +110,11 @@ def staying(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         stay = stay.unionByName(known.where("stays").select("id"))
         if fate.where(~settled).isEmpty():
             return stay
-        rest = met.where("stays IS NULL").join(fate.where(~settled).select("worse", "open"), "worse")
+        rest = met.where("stays IS NULL").join(sorted_side(fate.where(~settled).select("worse", "open")), "worse")
         alone = rest.where("open = 1").select(F.col("worse").alias("better"), F.col("better").alias("_next"), F.col("plain").alias("_plain"))
         # "v stays" with v = not L is "not L": plain and flipped change places unless L itself is flipped.
         swap = F.coalesce(F.col("_plain"), F.lit(False))
-        rest = rest.join(alone, "better", "left").select(
+        rest = rest.join(sorted_side(alone), "better", "left").select(
             "worse", F.coalesce("_next", "better").alias("better"),
             F.when(swap, F.col("flip")).otherwise(F.col("plain")).alias("plain"), F.when(swap, F.col("plain")).otherwise(F.col("flip")).alias("flip"),
         )
@@ -133,17 +133,17 @@ def survivors(rows: DataFrame, rank: list[Column], threshold: int) -> DataFrame:
     a = reps.select("block", F.col("name_key").alias("name_a"), F.col("_best").alias("ra"))
     b = reps.select("block", F.col("name_key").alias("name_b"), F.col("_best").alias("rb"))
     a_first = F.col("ra") < F.col("rb")
-    edges = cut(pairs.join(a, ["block", "name_a"]).join(b, ["block", "name_b"]).select(
+    edges = cut(pairs.join(sorted_side(a), ["block", "name_a"]).join(sorted_side(b), ["block", "name_b"]).select(
         F.when(a_first, F.col("ra.ord")).otherwise(F.col("rb.ord")).alias("better"), F.when(a_first, F.col("rb.ord")).otherwise(F.col("ra.ord")).alias("worse"),
         F.least("ra", "rb").alias("_rank"), "sim",
     ))
     met = edges.select(F.col("better").alias("id")).union(edges.select(F.col("worse").alias("id"))).distinct()
     stay = staying(met, edges.select("worse", "better"))
-    absorbed = edges.join(stay.withColumnRenamed("id", "better"), "better", "left_semi")
+    absorbed = edges.join(sorted_side(stay.withColumnRenamed("id", "better")), "better", "left_semi")
     best = absorbed.groupBy("worse").agg(F.min(F.struct("_rank", F.col("better").alias("by"), "sim")).alias("d"))
-    fate = reps.select("block", "name_key", F.col("_best.ord").alias("_first")).join(best.withColumnRenamed("worse", "_first"), "_first", "left")
+    fate = reps.select("block", "name_key", F.col("_best.ord").alias("_first")).join(sorted_side(best.withColumnRenamed("worse", "_first")), "_first", "left")
     own = F.col("ord") == F.col("_first")
-    return rows.join(fate, ["block", "name_key"], "left").select(
+    return rows.join(sorted_side(fate), ["block", "name_key"], "left").select(
         *[c for c in rows.columns if c != "_rank"],
         F.coalesce("d.by", F.when(~own, F.col("_first"))).alias("kept_ord"),
         F.coalesce("d.sim", F.when(~own, F.lit(100.0))).alias("sim"),
@@ -166,29 +166,29 @@ def sequential(rows: DataFrame, score: Column, threshold: int) -> DataFrame:
     sym = sym.unionByName(reps.select("block", F.col("name_key").alias("x"), F.col("name_key").alias("y")).distinct())
     left = reps.select("block", F.col("name_key").alias("x"), F.col("_score").alias("sx"), F.col("pos").alias("px"))
     right = reps.select("block", F.col("name_key").alias("y"), F.col("_score").alias("sy"), F.col("pos").alias("py"))
-    near = cut(sym.join(left, ["block", "x"]).join(right, ["block", "y"]).where(F.col("px") < F.col("py")).select("px", "py", "sx", "sy"))
+    near = cut(sym.join(sorted_side(left), ["block", "x"]).join(sorted_side(right), ["block", "y"]).where(F.col("px") < F.col("py")).select("px", "py", "sx", "sy"))
     removes = near.where(F.col("sx") <= F.col("sy")).select("px", "py")
 
     active = staying(reps.select(F.col("pos").alias("id")), removes.select(F.col("py").alias("worse"), F.col("px").alias("better"))).withColumnRenamed("id", "pos")
-    first_remover = removes.join(active.withColumnRenamed("pos", "px"), "px").groupBy(F.col("py").alias("pos")).agg(
+    first_remover = removes.join(sorted_side(active.withColumnRenamed("pos", "px")), "px").groupBy(F.col("py").alias("pos")).agg(
         F.min("px").alias("by_earlier")
     )
-    nodes = reps.select("pos").join(active.withColumn("active", F.lit(True)), "pos", "left").join(first_remover, "pos", "left")
+    nodes = reps.select("pos").join(sorted_side(active.withColumn("active", F.lit(True))), "pos", "left").join(sorted_side(first_remover), "pos", "left")
     later = (
         near.where(F.col("sy") < F.col("sx"))
-        .join(active.withColumnRenamed("pos", "px"), "px")
-        .join(nodes.select(F.col("pos").alias("py"), F.col("by_earlier").alias("_r")), "py")
+        .join(sorted_side(active.withColumnRenamed("pos", "px")), "px")
+        .join(sorted_side(nodes.select(F.col("pos").alias("py"), F.col("by_earlier").alias("_r"))), "py")
         .where(F.col("_r").isNull() | (F.col("_r") >= F.col("px")))
         .groupBy(F.col("px").alias("pos"))
         .agg(F.min("py").alias("by_later"))
     )
-    nodes = nodes.join(later, "pos", "left")
-    fate = reps.join(nodes, "pos").select(
+    nodes = nodes.join(sorted_side(later), "pos", "left")
+    fate = reps.join(sorted_side(nodes), "pos").select(
         "block", "name_key", "_score", "pos", F.coalesce("by_earlier", "by_later").alias("_gone"),
         F.coalesce("by_earlier", "pos").alias("_copies"),
     )
     gone = F.when(F.col("ord") == F.col("pos"), F.col("_gone")).otherwise(F.col("_copies"))
-    return rows.join(fate, ["block", "name_key", "_score"], "left").select(
+    return rows.join(sorted_side(fate), ["block", "name_key", "_score"], "left").select(
         *[c for c in rows.columns if c != "_score"], F.when(F.col("pos").isNotNull(), gone).alias("kept_ord")
     )
 
@@ -227,9 +227,9 @@ def similarity_components(rows: DataFrame, threshold: int) -> DataFrame:
     pairs = similar_within(_names(reps), threshold, distinct=True)
     a = reps.select("block", F.col("name_key").alias("name_a"), F.col("id").alias("a"))
     b = reps.select("block", F.col("name_key").alias("name_b"), F.col("id").alias("b"))
-    labels = components(pairs.join(a, ["block", "name_a"]).join(b, ["block", "name_b"]).select("a", "b"), reps)
-    lab = reps.join(labels, "id").select("block", "name_key", "component")
-    return rows.join(lab, ["block", "name_key"], "left").withColumn("component", F.coalesce("component", "ord"))
+    labels = components(pairs.join(sorted_side(a), ["block", "name_a"]).join(sorted_side(b), ["block", "name_b"]).select("a", "b"), reps)
+    lab = sorted_side(reps).join(labels, "id").select("block", "name_key", "component")
+    return rows.join(sorted_side(lab), ["block", "name_key"], "left").withColumn("component", F.coalesce("component", "ord"))
 
 
 def merge_audit(judged: DataFrame) -> DataFrame:

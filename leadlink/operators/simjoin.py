@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadlink.functions import similarity as SIM
-from leadlink.session import cut, spread
+from leadlink.session import cut, sorted_side, spread
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -193,7 +193,7 @@ def _fits(threshold: int) -> Column:
 
 
 def _meet(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame:
-    a, b = left.alias("a"), right.alias("b")
+    a, b = left.alias("a"), sorted_side(right).alias("b")
     same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("block", "scheme", "kind", "key")]
     return a.join(b, same[0] & same[1] & same[2] & same[3] & _fits(threshold))
 

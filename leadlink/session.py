@@ -40,6 +40,12 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sorted_side(df: DataFrame) -> DataFrame:
+    """A side of a join that is never broadcast: the optimizer judges names, keys and ids by the small files they come from,
+    and would send tables that grow with the input through the driver."""
+    return df.hint("merge")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Even partitions for rows whose processing costs far more than their size suggests."""
     shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
