@@ -68,15 +68,15 @@ def resolve_registry(queries: DataFrame, candidates: DataFrame) -> DataFrame:
     )
 
 
-def profile_best(queries: DataFrame, candidates: DataFrame, use_cp: bool) -> DataFrame:
-    """Best company profile per query by name (half), postal code (30) and city (20).
+def profile_best(queries: DataFrame, candidates: DataFrame, passes: list[bool]) -> DataFrame:
+    """Best company profiles per query by name (half), postal code (30) and city (20), one for each pass.
 
-    candidates: query_id, pos, names (array), cand_cp, cand_city, siret. Result: query_id,
-    found, score, status, siret, cand_name, cand_score.
+    candidates: query_id, pos, names (array), cand_cp, cand_city, siret. A pass counts postal codes or
+    not; one that does not is for queries with a postal code only. Names and cities are scored once for all passes. Result: query_id and, for pass k, a struct p<k> of found, score, status, siret,
+    cand_name, cand_score (null if no candidate scores).
     """
-    cp = T.text(F.col("cp")) if use_cp else F.lit("")
     q = queries.select(
-        "query_id", cp.alias("_cp"), T.clean_name_profile(F.col("name")).alias("_ql"),
+        "query_id", T.text(F.col("cp")).alias("_cp"), T.clean_name_profile(F.col("name")).alias("_ql"),
         T.token_sort(T.clean_name_profile(F.col("name"))).alias("_qt"),
         T.token_sort(T.clean_name_keywords(F.col("name"))).alias("_qa"),
         F.upper(T.strip_accents(F.col("city"))).alias("_qc"),
@@ -100,50 +100,55 @@ def profile_best(queries: DataFrame, candidates: DataFrame, use_cp: bool) -> Dat
     bonus_city = F.when(
         (F.col("_qc") != "") & (F.col("_cc") != "") & (SIM.ratio(F.col("_qc"), F.col("_cc")) >= CITY_THRESHOLD), 20
     ).otherwise(0)
-    e = e.withColumn("_name", F.when(F.col("cname").isNotNull(), name)).withColumn("_bonus", bonus_cp + bonus_city)
-    e = e.withColumn(
-        "_score", F.when(F.col("cname").isNull(), 0).otherwise((0.5 * F.col("_name") + F.col("_bonus")).cast("int"))
-    )
-    best = e.groupBy("query_id").agg(
-        F.min(
-            F.struct((-F.col("_score")).alias("neg"), "pos", (-F.col("_name")).alias("nneg"), "npos", "cname", "siret", "cand_cp", "_cp")
-        ).alias("b"),
-        F.count_if(F.coalesce("npos", F.lit(0)) == 0).alias("n_candidates"),
-    )
-    score = -F.col("b.neg")
-    single = (F.col("n_candidates") == 1) & (F.col("b._cp") != "") & (T.text(F.col("b.cand_cp")) == F.col("b._cp"))
-    threshold = F.when(single, PROFILE_SINGLE).otherwise(PROFILE_LOW)
-    ok = score >= threshold
+    e = e.withColumn("_name", F.when(F.col("cname").isNotNull(), name)).withColumn("_bonus", bonus_city).withColumn("_bonus_cp", bonus_cp)
+    best = e.groupBy("query_id").agg(*[_best_scored(use_cp).alias(f"b{k}") for k, use_cp in enumerate(passes)], F.count_if(F.coalesce("npos", F.lit(0)) == 0).alias("n_candidates"))
+    return best.select("query_id", *[_profile(F.col(f"b{k}")).alias(f"p{k}") for k in range(len(passes))])
+
+
+def _best_scored(use_cp: bool) -> Column:
+    cp, bonus = (F.col("_cp"), F.col("_bonus_cp") + F.col("_bonus")) if use_cp else (F.lit(""), F.col("_bonus"))
+    score = F.when(F.col("cname").isNull(), 0).otherwise((0.5 * F.col("_name") + bonus).cast("int"))
+    row = F.struct((-score).alias("neg"), "pos", (-F.col("_name")).alias("nneg"), "npos", "cname", "siret", "cand_cp", cp.alias("_cp"))
+    return F.min(row if use_cp else F.when(F.col("_cp") != "", row))
+
+
+def _profile(b: Column) -> Column:
+    score = -b["neg"]
+    single = (F.col("n_candidates") == 1) & (b["_cp"] != "") & (T.text(b["cand_cp"]) == b["_cp"])
+    ok = score >= F.when(single, PROFILE_SINGLE).otherwise(PROFILE_LOW)
     status = F.when(score >= PROFILE_HIGH, "Trouvé par nom").otherwise("SIRET trouvé (confiance moyenne)")
-    return best.where(score > 0).select(
-        "query_id", ok.alias("found"), F.when(ok, score).otherwise(0).alias("score"),
+    return F.when(score > 0, F.struct(
+        ok.alias("found"), F.when(ok, score).otherwise(0).alias("score"),
         F.when(ok, status).otherwise("Non trouvé").alias("status"),
-        F.when(ok, T.normalize_siret(F.col("b.siret"))).otherwise("").alias("siret"),
-        T.text(F.col("b.cname")).alias("cand_name"), score.alias("cand_score"),
-    )
+        F.when(ok, T.normalize_siret(b["siret"])).otherwise("").alias("siret"),
+        T.text(b["cname"]).alias("cand_name"), score.alias("cand_score"),
+    ))
 
 
 def enrich_profiles(queries: DataFrame, companies: DataFrame, with_cp: DataFrame, without_cp: DataFrame) -> DataFrame:
     """Direct id, else name with postal code, else name alone; one result per query.
 
     queries: query_id, name, cp, city, siret. companies: siret (unique). The two candidate
-    frames are the answers of the searches with and without a postal code.
+    frames are the answers of the searches with and without a postal code; one frame given for both is scored once.
     """
     q = queries.withColumn("_siret", T.normalize_siret(F.col("siret"))).drop("siret")
     direct = q.where(F.col("_siret") != "").join(
         companies.select(T.normalize_siret(F.col("siret")).alias("_siret")).distinct(), "_siret", "left_semi"
     ).select("query_id", F.col("_siret").alias("siret"))
     todo = q.join(direct, "query_id", "left_anti")
-    p1 = profile_best(todo, with_cp, True)
-    p2 = profile_best(todo.where(T.text(F.col("cp")) != ""), without_cp, False)
-    d, a, b = direct.alias("d"), p1.alias("a"), p2.alias("b")
+    if without_cp is with_cp:
+        both = profile_best(todo, with_cp, [True, False])
+    else:
+        second = profile_best(todo.where(T.text(F.col("cp")) != ""), without_cp, [False]).withColumnRenamed("p0", "p1")
+        both = profile_best(todo, with_cp, [True]).join(second, "query_id", "full_outer")
+    both = both.withColumnsRenamed({"p0": "a", "p1": "b"})
     is_d, is_a, is_b = F.col("d.siret").isNotNull(), F.coalesce("a.found", F.lit(False)), F.coalesce("b.found", F.lit(False))
     status_b = F.replace(F.col("b.status"), F.lit("Trouvé par nom"), F.lit("Trouvé par nom (sans CP)"))
     better_b = F.coalesce("b.cand_score", F.lit(0)) > F.coalesce("a.cand_score", F.lit(0))
     miss_name = F.when(better_b, F.col("b.cand_name")).otherwise(T.text(F.col("a.cand_name")))
     return (
         queries.select("query_id")
-        .join(d, "query_id", "left").join(a, "query_id", "left").join(b, "query_id", "left")
+        .join(direct.select("query_id", F.struct("siret").alias("d")), "query_id", "left").join(both, "query_id", "left")
         .select(
             "query_id",
             F.when(is_d, F.col("d.siret")).when(is_a, F.col("a.siret")).when(is_b, F.col("b.siret")).otherwise("").alias("siret"),

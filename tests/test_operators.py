@@ -263,3 +263,21 @@ def test_chained_stages(spark):
     assert [tuple(r) for r in report.collect()] == [("siret", 1, 5), ("phone", 1, 4), ("name", 1, 3), ("total", 3, 3)]
     best = {r.ord: r for r in out.collect()}
     assert set(best) == {3, 5, 6} and best[3].website == "http://w" and best[3].phone == "0561000000"
+
+
+def test_profiles_of_one_search_are_scored_once(spark):
+    """Both passes from one scoring give what two searches with the same answers give."""
+    queries = spark.createDataFrame(
+        [(1, "Boulangerie Martin", "75001", "Lyon", ""), (2, "Garage du Nord", "", "Lyon", ""), (3, "Le Fournil", "69001", "", ""), (4, "Direct", "1", "", "7"),
+         (5, "Twice", "", "Lyon", ""), (5, "Twice Again", "31000", "Lyon", ""), (6, None, None, None, None)],
+        "query_id long, name string, cp string, city string, siret string")
+    found = spark.createDataFrame(
+        [(1, 0, ["Martin"], "75001", "Paris", "11"), (1, 1, ["Boulangerie Martin", "BM"], "69001", "Lyon", "12"), (2, 0, ["Garage Nord"], "", "Lyon", "21"),
+         (3, 0, [None, "Fournil Le"], "69001", None, "31"), (5, 0, ["Twice"], "31000", "Lyon", "51"), (5, 1, ["Twice Again"], "", "Lyon", "52"), (6, 0, ["x"], None, None, "61")],
+        "query_id long, pos int, names array<string>, cand_cp string, cand_city string, siret string")
+    companies = spark.createDataFrame([("7",)], "siret string")
+    once = resolve.enrich_profiles(queries, companies, found, found)
+    twice = resolve.enrich_profiles(queries, companies, found, found.select("*"))
+    assert sorted(once.collect()) == sorted(twice.collect())
+    nodes = [d._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") for d in (once, twice)]
+    assert 2 * nodes[0] == nodes[1] > 0
