@@ -17,7 +17,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -154,8 +154,18 @@ TOKEN = (
 ATTRIBUTE = r"[^\s\"'>/=]++(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>]++))?+"
 
 
-@F.pandas_udf(ArrayType(IntegerType()))
-def nesting(pages: pd.Series) -> pd.Series:
+#: So many rows at once are Python objects; what is around them stays Arrow.
+SLICE = 64
+
+
+def _sliced(of: Callable, values: pa.Array, kind: pa.DataType) -> pa.Array:
+    """`of` applied to every value, few of them as Python objects at a time."""
+    few = [pa.array([of(v) for v in values.slice(k, SLICE).to_pylist()], kind) for k in range(0, len(values), SLICE)]
+    return pa.concat_arrays(few) if few else pa.array([], kind)
+
+
+@F.arrow_udf(ArrayType(IntegerType()))
+def nesting(pages: pa.Array) -> pa.Array:
     """Of each page's tags ("li", "/li", "li/" if closed at once, "" for text): the number of the tag around it, -1 if it
     opens nothing, followed by where its element ends (exclusive)."""
 
@@ -187,11 +197,11 @@ def nesting(pages: pd.Series) -> pd.Series:
         close(0, len(names) + 1)
         return around + end
 
-    return pages.map(of)
+    return _sliced(of, pages, pa.list_(pa.int32()))
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def decoded(values: pd.Series) -> pd.Series:
+@F.arrow_udf(ArrayType(StringType()))
+def decoded(values: pa.Array) -> pa.Array:
     """Entities decoded; a text (marked by a leading T) also has its white space collapsed and empty lines dropped."""
 
     def of(value: str | None) -> str | None:
@@ -200,7 +210,12 @@ def decoded(values: pd.Series) -> pd.Series:
         lines = (" ".join(entities.unescape(s).split()) for s in value[1:].split("\n"))
         return "\n".join(s for s in lines if s)
 
-    return values.map(lambda row: [of(v) for v in row])
+    return _sliced(lambda row: [of(v) for v in row], values, pa.list_(pa.string()))
+
+
+# Results that the optimizer may not count on are computed once; else a filter on a field would decode all values again,
+# in a Python worker of its own for every task.
+nesting, decoded = nesting.asNondeterministic(), decoded.asNondeterministic()
 
 
 def _name(token: Column) -> Column:

@@ -1,5 +1,6 @@
 """Relational traps of the keyed, merge, resolve, source and streaming operators."""
 
+import pyarrow as pa
 import pyspark.sql.functions as F
 
 from leadlink.operators import geo, keyed, merge, resolve
@@ -281,3 +282,16 @@ def test_profiles_of_one_search_are_scored_once(spark):
     assert sorted(once.collect()) == sorted(twice.collect())
     nodes = [d._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") for d in (once, twice)]
     assert 2 * nodes[0] == nodes[1] > 0
+
+
+def test_page_helpers_run_once_and_on_few_rows(spark):
+    page = "<ul>" + "".join(f"<li class='bi-content'><article class='bi-bloc'><div class='bi-denomination'><h3>N&amp;{k}</h3></div></article></li>" for k in range(3)) + "</ul>"
+    pages = spark.createDataFrame([(k, page) for k in range(200)], "page_id long, html string")
+    rows = H.listings(pages, H.DIRECTORY)
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 2
+    assert sorted({(r.block_pos, r.name) for r in rows.collect()}) == [(0, "N&0"), (1, "N&1"), (2, "N&2")]
+    at_once = []
+    values = pa.array([["a"], None, ["b"]] * 100, pa.list_(pa.string()))
+    few = type("Few", (), {"__len__": lambda self: len(values), "slice": lambda self, k, n: at_once.append(n) or values.slice(k, n)})()
+    assert H._sliced(lambda v: v, few, values.type).equals(values)
+    assert max(at_once) <= 64
