@@ -214,7 +214,8 @@ def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
             .distinct()
         )
         nxt = cut(small)
-        if nxt.exceptAll(e).isEmpty() and e.exceptAll(nxt).isEmpty():
+        # Both are without copies: of equal size, they are equal if one holds the other.
+        if nxt.count() == e.count() and nxt.exceptAll(e).isEmpty():
             break
         e = nxt
     label = e.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("_c"))
