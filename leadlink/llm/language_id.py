@@ -13,9 +13,13 @@ Defined cases: `und` with score 0 for a null text, a text without a letter, or w
 from; rows that repeat are predicted alike; a null id is never learned from, its row is predicted, held_out false. The
 bound of the training sample holds for rows: a row is chosen by its id and its text, equal rows count once.
 
-As a filter (`accepted`): the network knows nothing of characters that no training snippet holds, so a document's score is
-multiplied by the share of its letters that were learned. It goes where the product is below half of the lowest score of a
-training snippet, or where it has no letter. Where nothing could be learned, every document with a letter stays.
+As a filter (`accepted`) nothing is learned from the sample alone, which only gives the weights and the optimizer's state
+that training goes on from. Every window of every learnable row, copies too, then counts in one of `SHARES` further steps:
+a step's gradient is the sum over all rows of its share, each language with equal weight, added up by Spark, so that the
+number, order and contents of the partitions do not matter. The letters that were learned are those of all learnable rows.
+The network knows nothing of other characters, so a document's score is multiplied by the share of its letters that were
+learned. It goes where the product is below half of the lowest score of a learnable document, or where it has no letter.
+Where nothing could be learned, every document with a letter stays.
 """
 
 from __future__ import annotations
@@ -28,13 +32,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
-from leadlink.llm.common import crc_mod4, per_worker, ship, table
+from leadlink.llm.common import crc_mod4, per_worker, ship, stored, table
 from leadlink.llm.registry import query
 
 ship(__name__)
 
 SNIPPETS, SNIPPET = 48, 240
+SHARES = 8
 LETTER = regex.compile(r"\p{L}")
 
 
@@ -102,8 +108,9 @@ def window_sums(m, x: np.ndarray, size: np.ndarray) -> np.ndarray:
     return total
 
 
-def gradients(m, x: np.ndarray, label: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-    """Mean loss over all positions of full windows and its gradient, by backpropagation through time."""
+def gradients(m, x: np.ndarray, label: np.ndarray, weight: np.ndarray | None = None) -> tuple[float, dict[str, np.ndarray]]:
+    """Mean loss over all positions of full windows and its gradient, by backpropagation through time. With a weight for
+    each window the gradient is that of the weighted sum of the windows' mean losses."""
     hidden, (width, n) = m["frec"].shape[1], x.shape
     states, kept = {}, {}
     for d, times in (("f", range(width)), ("b", range(width - 1, -1, -1))):
@@ -119,7 +126,10 @@ def gradients(m, x: np.ndarray, label: np.ndarray) -> tuple[float, dict[str, np.
     at = (label[None, :].repeat(width, 0), np.arange(width)[:, None], np.arange(n)[None, :])
     loss = float(-np.log(p[at] + 1e-12).mean())
     p[at] -= 1
-    p /= width * n
+    if weight is None:
+        p /= width * n
+    else:
+        p *= weight / width
     g = {"out": np.einsum("ctn,thn->ch", p, both), "bias": p.sum(axis=(1, 2))[:, None]}
     back = np.einsum("ch,ctn->thn", m["out"], p)
     for d, times, part_of in (("f", range(width - 1, -1, -1), slice(0, hidden)), ("b", range(width), slice(hidden, None))):
@@ -143,9 +153,19 @@ def gradients(m, x: np.ndarray, label: np.ndarray) -> tuple[float, dict[str, np.
     return loss, g
 
 
-def train(samples: list[tuple[bytes, int]], languages: int, hidden: int = 8, width: int = 48, steps: int = 500, batch: int = 192,
-          rate: float = 0.02, seed: int = 7) -> dict[str, np.ndarray]:
-    """Adam over random windows; each step takes the languages in equal shares."""
+def _descend(m, mean, square, g, step: int, speed: float) -> None:
+    """One step of Adam, in place."""
+    norm = np.sqrt(sum(float((v**2).sum()) for v in g.values()))
+    for k, v in g.items():
+        v = v / max(1.0, norm)
+        mean[k] = 0.9 * mean[k] + 0.1 * v
+        square[k] = 0.99 * square[k] + 0.01 * v * v
+        m[k] = (m[k] - speed * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+
+
+def started(samples: list[tuple[bytes, int]], languages: int, hidden: int = 8, width: int = 48, steps: int = 500, batch: int = 192,
+            rate: float = 0.02, seed: int = 7) -> tuple[dict, dict, dict]:
+    """(model, Adam's means and squares) after steps over random windows; each step takes the languages in equal shares."""
     rng = np.random.default_rng(seed)
     m = new_model(languages, hidden, seed)
     by = [[np.frombuffer(s.ljust(width), np.uint8) for s, k in samples if k == lang] for lang in range(languages)]
@@ -158,14 +178,12 @@ def train(samples: list[tuple[bytes, int]], languages: int, hidden: int = 8, wid
             k = rng.integers(len(s) - width + 1)
             rows.append(s[k : k + width])
         _, g = gradients(m, np.stack(rows, axis=1), label)
-        norm = np.sqrt(sum(float((v**2).sum()) for v in g.values()))
-        speed = rate * min(1.0, 2 * (1 - step / (steps + 1)))
-        for k, v in g.items():
-            v = v / max(1.0, norm)
-            mean[k] = 0.9 * mean[k] + 0.1 * v
-            square[k] = 0.99 * square[k] + 0.01 * v * v
-            m[k] = (m[k] - speed * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
-    return m
+        _descend(m, mean, square, g, step, rate * min(1.0, 2 * (1 - step / (steps + 1))))
+    return m, mean, square
+
+
+def train(samples: list[tuple[bytes, int]], languages: int, hidden: int = 8, steps: int = 500) -> dict[str, np.ndarray]:
+    return started(samples, languages, hidden, steps=steps)[0]
 
 
 def pooled(m, texts: list[bytes], width: int, block: int = 2048) -> np.ndarray:
@@ -231,19 +249,100 @@ def familiar(alphabet: np.ndarray, texts: list) -> np.ndarray:
     return share
 
 
-def _filter(m, names: list[str], width: int, text_at: int, alphabet: np.ndarray, least: float):
+def windows(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes, the start of each window in them and its text; together the windows hold every byte. A text's last window ends
+    with the text, a text shorter than a window is filled with blanks."""
+    whole = [t.ljust(width) for t in texts]
+    sizes = np.array([len(t) for t in whole], np.int64)
+    count = -(-sizes // width)
+    owner = np.repeat(np.arange(len(whole)), count)
+    nth = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    start = (np.cumsum(sizes) - sizes)[owner] + np.minimum(nth * width, sizes[owner] - width)
+    return np.frombuffer(b"".join(whole), np.uint8), start, owner
+
+
+def _slopes(m, names: list[str], each: dict[str, float], width: int):
+    """Sums over a task's rows (lang, text): entries of the gradient, and its letters as entries without a value."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = {w: k for k, w in enumerate(names)}
+        heavy = np.array([each.get(w, 0.0) for w in names], np.float32)
+        total = {k: np.zeros(v.shape) for k, v in m.items()}
+        seen: set[str] = set()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                few = batch.slice(at, 256)
+                texts = few.column(1).to_pylist()
+                seen.update(*texts)
+                label = np.array([place[w] for w in few.column(0).to_pylist()])
+                data, start, owner = windows([t.encode() for t in texts], width)
+                for k in range(0, len(owner), 2048):
+                    of = label[owner[k : k + 2048]]
+                    x = data[start[k : k + 2048] + np.arange(width)[:, None]]
+                    for name, v in gradients(m, x, of, heavy[of])[1].items():
+                        total[name] += v
+        if not seen:
+            return
+        for name, v in total.items():
+            yield pa.RecordBatch.from_pydict({"part": [name] * v.size, "at": np.arange(v.size, dtype=np.int32), "value": v.ravel()})
+        letters = sorted(ord(c) for c in seen if c.isalpha())
+        yield pa.RecordBatch.from_pydict({"part": ["letter"] * len(letters), "at": pa.array(letters, pa.int32()), "value": np.zeros(len(letters))})
+
+    return run
+
+
+def _learnable(lang: Column, ident: Column, text: Column) -> Column:
+    """Whether a row may be learned from."""
+    return F.coalesce(lang.isNotNull() & text.rlike(r"\p{L}") & ident.isNotNull() & (crc_mod4(ident) != 2), F.lit(False))
+
+
+def learned(rows: DataFrame, per_language: int, hidden: int = 8, steps: int = 500, rate: float = 0.01, width: int = 48):
+    """(model, language names, code points of the letters) from every learnable row of (id, text, lang)."""
+    few = sample(rows, F.col("lang"), per_language)
+    names = sorted({r.lang for r in few})
+    if not names:
+        return None, [], np.zeros(0, np.int64)
+    m, mean, square = started([(bytes(r.snippet), names.index(r.lang)) for r in few], len(names), hidden, steps=steps)
+    share = F.pmod(F.xxhash64("id", "text"), F.lit(SHARES))
+    usable = rows.where(_learnable(F.col("lang"), F.col("id"), F.col("text"))).select(share.alias("share"), "lang", "text")
+    counts: dict[int, dict[str, int]] = {}
+    n_windows = F.greatest(F.ceil(F.octet_length("text") / width), F.lit(1))
+    for r in usable.groupBy("share", "lang").agg(F.sum(n_windows).alias("n")).collect():
+        counts.setdefault(r.share, {})[r.lang] = r.n
+    letters: set[int] = set()
+    for k, nth in enumerate(sorted(counts)):
+        each = {w: 1 / (n * len(counts[nth])) for w, n in counts[nth].items()}
+        sums = usable.where(F.col("share") == nth).select("lang", "text").mapInArrow(_slopes(m, names, each, width), "part string, at int, value double")
+        g = {name: np.zeros(v.shape) for name, v in m.items()}
+        for r in sums.groupBy("part", "at").agg(F.sum("value").alias("value")).collect():
+            if r.part == "letter":
+                letters.add(r.at)
+            else:
+                g[r.part].flat[r.at] = r.value
+        _descend(m, mean, square, g, steps + k + 1, rate * (1 - k / len(counts)))
+    return m, names, np.array(sorted(letters))
+
+
+def _with_letter(text_at: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([bool(t and LETTER.search(t)) for t in batch.column(text_at).to_pylist()], pa.bool_()))
+
+    return run
+
+
+def _scored(m, names: list[str], width: int, text_at: int, alphabet: np.ndarray, columns: list[str]):
+    """Rows with a last column more than `columns`: the row itself, that column, and the score; null without a letter."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 few = batch.slice(k, 256)
                 texts = few.column(text_at).to_pylist()
-                if names:
-                    lang, score = judged(m, names, width, texts)
-                    score = score * familiar(alphabet, texts)
-                    keep = [w != "und" and s >= least for w, s in zip(lang, score, strict=True)]
-                else:
-                    keep = [bool(t and LETTER.search(t)) for t in texts]
-                yield few.filter(pa.array(keep, pa.bool_()))
+                lang, score = judged(m, names, width, texts)
+                score = pa.array(score * familiar(alphabet, texts), mask=np.array([w == "und" for w in lang], bool))
+                row = pa.StructArray.from_arrays(few.columns[:-1], columns)
+                yield pa.RecordBatch.from_arrays([row, few.column(len(columns)), score], names=["row", "learned", "score"])
 
     return run
 
@@ -262,8 +361,7 @@ def _snippets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def sample(docs: DataFrame, lang: Column, per_language: int) -> list:
     """(lang, snippet) of at most `per_language` learnable documents of each language."""
-    rows = docs.where(lang.isNotNull() & F.col("text").rlike(r"\p{L}") & F.col("id").isNotNull() & (crc_mod4(F.col("id")) != 2))
-    rows = rows.select("id", lang.alias("lang"), F.xxhash64("text").alias("h"), "text")
+    rows = docs.where(_learnable(lang, F.col("id"), F.col("text"))).select("id", lang.alias("lang"), F.xxhash64("text").alias("h"), "text")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "h")
     chosen = rows.select("id", "lang", "h").distinct().withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_language).drop("r")
     texts = rows.join(F.broadcast(chosen), ["id", "lang", "h"]).groupBy("id", "lang", "h").agg(F.first("text").alias("text"))
@@ -294,14 +392,18 @@ def predict(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
 
 def accepted(docs: DataFrame, per_language: int = 200, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", width: int = 96) -> DataFrame:
-    """The rows whose text is in a learned language, with all their columns."""
-    rows = sample(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")), F.col("lang"), per_language)
-    model, names = _learn(rows)
-    parts = [bytes(r.snippet) for r in rows]
-    # A snippet may begin or end inside a character.
-    alphabet = np.unique(np.concatenate([_points(p.decode(errors="ignore")) for p in parts] or [np.zeros(0, np.uint32)]))
-    least = float(pooled(model, parts, width).max(axis=1).min()) / 2 if parts else 0.0
-    return docs.mapInArrow(_filter(model, names, width, docs.columns.index(text_col), alphabet, least), docs.schema)
+    """The rows whose text is in a learned language, with all their columns. The scores of all rows are written with them,
+    as the least score that stays is known after the last one only."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    model, names, alphabet = learned(rows, per_language)
+    if not names:
+        return docs.mapInArrow(_with_letter(docs.columns.index(text_col)), docs.schema)
+    may = _learnable(F.col(lang_col), F.col(id_col), F.col(text_col))
+    kind = StructType([StructField("row", docs.schema), StructField("learned", BooleanType()), StructField("score", DoubleType())])
+    said = docs.select("*", may.alias("_learned")).mapInArrow(_scored(model, names, width, docs.columns.index(text_col), alphabet, docs.columns), kind)
+    said = stored(said, "language-scores")
+    least = said.where("learned").agg(F.min("score")).first()[0] or 0.0
+    return said.where(F.col("score") >= least / 2).select("row.*")
 
 
 @query("op9_language_id")

@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import ROWS, frame
 from leadlink.llm import language_id, quality
@@ -155,3 +156,37 @@ def test_the_filter_rejects_letters_never_learned(spark):
 def test_the_filter_keeps_texts_where_nothing_was_learned(spark):
     got = language_id.accepted(frame(spark, [(1, "text", None), (2, "...", None), (None, "more", None), (3, None, None)]))
     assert sorted(r.text for r in got.collect()) == ["more", "text"]
+
+
+def test_the_filter_learns_from_all_rows(spark):
+    """More documents than the training starts from, each in letters of its own."""
+    texts = ["plain words here", "просто слова здесь", "απλές λέξεις εδώ", "մի քանի բառ այստեղ", "რამდენიმე სიტყვა აქ", "כמה מילים כאן"]
+    ids = [k for k in range(100) if not held(k)]
+    rows = [(i, t, "xx") for i, t in zip(ids, texts, strict=False)] + [(1000, "λέξεις", None), (1001, "中文文本", None)]
+    got = language_id.accepted(frame(spark, rows), per_language=1)
+    assert sorted(r.doc_id for r in got.collect()) == [*ids[: len(texts)], 1000]
+
+
+def test_every_window_of_every_row_counts_in_the_gradient():
+    m = language_id.new_model(2, 4)
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(list("abcdé "), n)) or "a" for n in (1, 7, 8, 9, 500, 64)]
+    lang, each = ["en", "de", "en", "de", "de", "en"], {"en": 0.01, "de": 0.003}
+    data, start, owner = language_id.windows([t.encode() for t in texts], 8)
+    joined = b"".join(t.encode().ljust(8) for t in texts)
+    assert data.tobytes() == joined and set((start[:, None] + np.arange(8)).ravel()) == set(range(len(joined)))
+    of = np.array([["de", "en"].index(w) for w in lang])[owner]
+    want = language_id.gradients(m, data[start + np.arange(8)[:, None]], of, np.array([0.003, 0.01], np.float32)[of])[1]
+    for cuts in ([6], [1, 5], [2, 1, 3]):
+        g, letters, at = {k: np.zeros(v.shape) for k, v in m.items()}, set(), 0
+        for n in cuts:
+            batch = pa.RecordBatch.from_pydict({"lang": lang[at : at + n], "text": texts[at : at + n]})
+            at += n
+            for out in language_id._slopes(m, ["de", "en"], each, 8)(iter([batch])):
+                for part, k, v in zip(*(c.to_pylist() for c in out.columns), strict=True):
+                    if part == "letter":
+                        letters.add(chr(k))
+                    else:
+                        g[part].flat[k] += v
+        assert letters == {c for t in texts for c in t if c.isalpha()}
+        assert all(np.allclose(g[k], want[k], atol=1e-6) for k in want)
