@@ -121,32 +121,58 @@ def staying(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         left = rest.groupBy("worse", "better").agg(F.max("plain").alias("plain"), F.max("flip").alias("flip"))
 
 
+FIRST_SLICE, SLICE_GROWTH = 1024, 16
+
+
 def survivors(rows: DataFrame, rank: list[Column], threshold: int) -> DataFrame:
     """Rows with `kept_ord`, `sim`: null where the row stays, else the best staying row with a similar name.
 
-    `rows` has block, name_key, ord. The similar pairs of distinct names are settled by `staying`. The result is that of one
-    pass in rank order.
+    `rows` has block, name_key, ord. The result is that of one pass in rank order. The names of a block are settled in
+    slices of that order, a first few, then ever larger ones: the similar pairs inside a slice by `staying`, then all later
+    names meet those of the slice that stay and leave at a hit, which is their best as earlier slices had none. So of a
+    dense group only what no earlier name has removed is ever compared with itself.
     """
     rows = rows.withColumn("_rank", F.struct(*rank, F.col("ord").alias("ord")))
-    reps = cut(rows.where(F.col("block") != "").groupBy("block", "name_key").agg(F.min("_rank").alias("_best")))
-    pairs = similar_within(_names(reps), threshold)
-    a = reps.select("block", F.col("name_key").alias("name_a"), F.col("_best").alias("ra"))
-    b = reps.select("block", F.col("name_key").alias("name_b"), F.col("_best").alias("rb"))
-    a_first = F.col("ra") < F.col("rb")
-    edges = cut(pairs.join(sorted_side(a), ["block", "name_a"]).join(sorted_side(b), ["block", "name_b"]).select(
-        F.when(a_first, F.col("ra.ord")).otherwise(F.col("rb.ord")).alias("better"), F.when(a_first, F.col("rb.ord")).otherwise(F.col("ra.ord")).alias("worse"),
-        F.least("ra", "rb").alias("_rank"), "sim",
-    ))
-    met = edges.select(F.col("better").alias("id")).union(edges.select(F.col("worse").alias("id"))).distinct()
-    stay = staying(met, edges.select("worse", "better"))
-    absorbed = edges.join(sorted_side(stay.withColumnRenamed("id", "better")), "better", "left_semi")
-    best = absorbed.groupBy("worse").agg(F.min(F.struct("_rank", F.col("better").alias("by"), "sim")).alias("d"))
-    fate = reps.select("block", "name_key", F.col("_best.ord").alias("_first")).join(sorted_side(best.withColumnRenamed("worse", "_first")), "_first", "left")
+    reps = rows.where(F.col("block") != "").groupBy("block", "name_key").agg(F.min("_rank").alias("_best"))
+    reps = cut(spread(number_within(reps, ["block"], ["_best"]).withColumnRenamed("name_key", "name")))
+    weights = letter_weights(reps.select("block", "name"))
+    largest = reps.agg(F.max("i")).first()[0] or 0
+    undecided, low, high, gone = reps, 0, FIRST_SLICE, None
+    while low < largest:
+        head = undecided.where(F.col("i") <= high)
+        pairs = similar_within(head, threshold, distinct=True, weights=weights)
+        a = head.select("block", F.col("name").alias("name_a"), F.col("_best").alias("ra"))
+        b = head.select("block", F.col("name").alias("name_b"), F.col("_best").alias("rb"))
+        a_first = F.col("ra") < F.col("rb")
+        edges = cut(pairs.join(sorted_side(a), ["block", "name_a"]).join(sorted_side(b), ["block", "name_b"]).select(
+            F.when(a_first, F.col("ra.ord")).otherwise(F.col("rb.ord")).alias("better"), F.when(a_first, F.col("rb.ord")).otherwise(F.col("ra.ord")).alias("worse"),
+            F.least("ra", "rb").alias("_rank"), "sim",
+        ))
+        met = edges.select(F.col("better").alias("id")).union(edges.select(F.col("worse").alias("id"))).distinct()
+        stay = staying(met, edges.select("worse", "better"))
+        absorbed = edges.join(sorted_side(stay.withColumnRenamed("id", "better")), "better", "left_semi")
+        best = absorbed.groupBy(F.col("worse").alias("_first")).agg(F.min(F.struct("_rank", F.col("better").alias("by"), "sim")).alias("d"))
+        settled = cut(head.withColumn("_first", F.col("_best.ord")).join(sorted_side(best), "_first", "left").select("block", "name", "_best", "d"))
+        lost = settled.where("d IS NOT NULL").select("block", "name", "d")
+        gone = lost if gone is None else gone.unionByName(lost)
+        if high < largest:
+            later, standing = undecided.where(F.col("i") > high), settled.where("d IS NULL")
+            pairs = similar_between(later, standing, threshold, distinct=True, weights=weights)
+            hit = pairs.join(sorted_side(standing.select("block", F.col("name").alias("name_b"), F.col("_best").alias("_rank"))), ["block", "name_b"])
+            hit = cut(hit.groupBy("block", F.col("name_a").alias("name")).agg(F.min(F.struct("_rank", F.col("_rank.ord").alias("by"), "sim")).alias("d")))
+            gone = gone.unionByName(hit)
+            undecided = cut(spread(later.join(sorted_side(hit), ["block", "name"], "left_anti")))
+        low, high = high, high * SLICE_GROWTH
+    fate = reps.select("block", F.col("name").alias("name_key"), F.col("_best.ord").alias("_first"))
+    if gone is None:
+        fate = fate.withColumns({"by": F.col("_first"), "_sim": F.lit(None).cast("double")}).where("false")
+    else:
+        fate = fate.join(sorted_side(gone.select("block", F.col("name").alias("name_key"), F.col("d.by").alias("by"), F.col("d.sim").alias("_sim"))), ["block", "name_key"], "left")
     own = F.col("ord") == F.col("_first")
     return rows.join(sorted_side(fate), ["block", "name_key"], "left").select(
         *[c for c in rows.columns if c != "_rank"],
-        F.coalesce("d.by", F.when(~own, F.col("_first"))).alias("kept_ord"),
-        F.coalesce("d.sim", F.when(~own, F.lit(100.0))).alias("sim"),
+        F.coalesce("by", F.when(~own, F.col("_first"))).alias("kept_ord"),
+        F.coalesce("_sim", F.when(~own, F.lit(100.0))).alias("sim"),
     )
 
 

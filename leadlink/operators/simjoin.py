@@ -223,14 +223,14 @@ def candidates_within(names: DataFrame, threshold: int, weights: list[float]) ->
     return met.select(F.col("a.block").alias("block"), F.least(a, b)["name"].alias("name_a"), F.greatest(a, b)["name"].alias("name_b"))
 
 
-def similar_within(df: DataFrame, threshold: int, distinct: bool = False) -> DataFrame:
+def similar_within(df: DataFrame, threshold: int, distinct: bool = False, weights: list[float] | None = None) -> DataFrame:
     """Similar pairs of different names in the same block: block, name_a, name_b, sim.
 
     `df` has string columns block and name. Copies are collapsed into a checkpointed table of
     distinct names first, unless the caller passes such a table (`distinct`).
     """
     names = _usable(df) if distinct else cut(spread(_usable(df).distinct()))
-    return _verify(candidates_within(names, threshold, letter_weights(names)).distinct(), threshold)
+    return _verify(candidates_within(names, threshold, weights or letter_weights(names)).distinct(), threshold)
 
 
 def similar_between(left: DataFrame, right: DataFrame, threshold: int, distinct: bool = False, weights: list[float] | None = None) -> DataFrame:

@@ -221,6 +221,25 @@ def test_survivors_are_one_pass_in_rank_order(spark, seed):
     assert all(want[k] is None for k in want.values() if k is not None)  # whoever absorbs stays
 
 
+def test_survivors_in_slices_compare_only_what_is_undecided(spark, monkeypatch):
+    """A dense block in several slices: right against one pass, and never are all its names compared with each other."""
+    monkeypatch.setattr(dedup, "FIRST_SLICE", 4)
+    monkeypatch.setattr(dedup, "SLICE_GROWTH", 3)
+    within, sizes = dedup.similar_within, []
+    monkeypatch.setattr(dedup, "similar_within", lambda names, *a, **k: sizes.append(names.count()) or within(names, *a, **k))
+    rng = random.Random(5)
+    rows = [(k, "hot", f"customer 0000{rng.randint(0, 399):05d}", rng.randint(0, 9)) for k in range(120)] + [(120, "hot", "", 0), (121, "cold", "customer 000000001", 0)]
+    df = spark.createDataFrame(rows, "ord long, block string, name_key string, s int")
+    got = {r.ord: r.kept_ord for r in dedup.survivors(df, [F.col("s")], 90).collect()}
+    staying, want = [], {}
+    for o, block, name, _ in sorted(rows, key=lambda r: (r[3], r[0])):
+        want[o] = next((x for x, b, n in staying if b == block and (n == name or (n and name and similar(n, name, 90)))), None)
+        if want[o] is None:
+            staying.append((o, block, name))
+    assert got == want
+    assert len(sizes) > 2 and max(sizes) < len({n for _, _, n, _ in rows}) / 2
+
+
 def by_rank(nodes, edges):
     """One pass in rank order; a smaller id is better."""
     better, stay = {}, set()
