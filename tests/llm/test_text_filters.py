@@ -60,6 +60,15 @@ def test_overlaps_defined_cases(spark):
     assert decontaminate.overlaps(frame(spark), items(spark, [])).collect() == []
 
 
+def test_remove_leaves_texts_where_they_are(spark):
+    item = " ".join(f"w{i}" for i in range(30))
+    docs = [(1, item, "en"), (2, "other " * 12, "en"), (None, item, "en"), (None, "kept " * 12, "en"), (1, None, "en")]
+    for few, moved in ((200_000, False), (0, True)):
+        rest = decontaminate.remove(frame(spark, docs), items(spark, [(1, item)]), few=few)
+        assert ("LeftAnti" in (plan := rest._jdf.queryExecution().executedPlan().toString())) and ("Exchange hashpartitioning" in plan) == moved
+        assert sorted((r.doc_id or 0, r.text or "") for r in rest.collect()) == [(0, "kept " * 12), (1, ""), (2, "other " * 12)]
+
+
 def test_remove_takes_only_contaminated_texts(spark):
     item = " ".join(f"q{k}" for k in range(20))
     hit, clean = f"before {item} after", "some clean words " * 10
