@@ -32,7 +32,6 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
 from leadlink.llm.common import crc_mod4, per_worker, ship, stored, table
 from leadlink.llm.registry import query
@@ -261,8 +260,9 @@ def windows(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.
     return np.frombuffer(b"".join(whole), np.uint8), start, owner
 
 
-def _slopes(m, names: list[str], each: dict[str, float], width: int):
-    """Sums over a task's rows (lang, text): entries of the gradient, and its letters as entries without a value."""
+def _slopes(m, names: list[str], each: dict[str, float], width: int, block: int = 512):
+    """Sums over a task's rows (lang, text): entries of the gradient, and its letters as entries without a value. All that
+    backpropagation keeps of a block takes some 50 kB a window; a worker holds it until it ends."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = {w: k for k, w in enumerate(names)}
@@ -276,9 +276,9 @@ def _slopes(m, names: list[str], each: dict[str, float], width: int):
                 seen.update(*texts)
                 label = np.array([place[w] for w in few.column(0).to_pylist()])
                 data, start, owner = windows([t.encode() for t in texts], width)
-                for k in range(0, len(owner), 2048):
-                    of = label[owner[k : k + 2048]]
-                    x = data[start[k : k + 2048] + np.arange(width)[:, None]]
+                for k in range(0, len(owner), block):
+                    of = label[owner[k : k + block]]
+                    x = data[start[k : k + block] + np.arange(width)[:, None]]
                     for name, v in gradients(m, x, of, heavy[of])[1].items():
                         total[name] += v
         if not seen:
@@ -331,18 +331,17 @@ def _with_letter(text_at: int):
     return run
 
 
-def _scored(m, names: list[str], width: int, text_at: int, alphabet: np.ndarray, columns: list[str]):
-    """Rows with a last column more than `columns`: the row itself, that column, and the score; null without a letter."""
+def _scored(m, names: list[str], width: int, alphabet: np.ndarray):
+    """Rows (sha, learned, text) with the score in place of the text; null without a letter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 few = batch.slice(k, 256)
-                texts = few.column(text_at).to_pylist()
+                texts = few.column("text").to_pylist()
                 lang, score = judged(m, names, width, texts)
                 score = pa.array(score * familiar(alphabet, texts), mask=np.array([w == "und" for w in lang], bool))
-                row = pa.StructArray.from_arrays(few.columns[:-1], columns)
-                yield pa.RecordBatch.from_arrays([row, few.column(len(columns)), score], names=["row", "learned", "score"])
+                yield pa.RecordBatch.from_arrays([few.column("sha"), few.column("learned"), score], names=["sha", "learned", "score"])
 
     return run
 
@@ -391,19 +390,23 @@ def predict(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     return said.withColumnRenamed("id", id_col)
 
 
-def accepted(docs: DataFrame, per_language: int = 200, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", width: int = 96) -> DataFrame:
-    """The rows whose text is in a learned language, with all their columns. The scores of all rows are written with them,
-    as the least score that stays is known after the last one only."""
+def accepted(docs: DataFrame, per_language: int = 200, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", width: int = 96,
+             few: int = 200_000) -> DataFrame:
+    """The rows whose text is in a learned language, with all their columns. The scores of all rows are written under digests
+    of their texts, as the least score that stays is known after the last one only. Up to `few` texts that go are broadcast,
+    which leaves the rows where they are, more are met by a shuffle."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     model, names, alphabet = learned(rows, per_language)
     if not names:
         return docs.mapInArrow(_with_letter(docs.columns.index(text_col)), docs.schema)
     may = _learnable(F.col(lang_col), F.col(id_col), F.col(text_col))
-    kind = StructType([StructField("row", docs.schema), StructField("learned", BooleanType()), StructField("score", DoubleType())])
-    said = docs.select("*", may.alias("_learned")).mapInArrow(_scored(model, names, width, docs.columns.index(text_col), alphabet, docs.columns), kind)
-    said = stored(said, "language-scores")
+    sha = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+    said = docs.select(sha.alias("sha"), may.alias("learned"), F.col(text_col).alias("text"))
+    said = stored(said.mapInArrow(_scored(model, names, width, alphabet), "sha binary, learned boolean, score double"), "language-scores")
     least = said.where("learned").agg(F.min("score")).first()[0] or 0.0
-    return said.where(F.col("score") >= least / 2).select("row.*")
+    stays = F.coalesce(F.col("score") >= least / 2, F.lit(False))
+    gone = stored(said.where(~stays).select(F.col("sha").alias("_gone_sha")).distinct(), "other-languages")
+    return docs.join(F.broadcast(gone) if gone.count() <= few else gone.hint("shuffle_hash"), sha == gone["_gone_sha"], "left_anti")
 
 
 @query("op9_language_id")

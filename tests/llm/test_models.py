@@ -167,6 +167,17 @@ def test_the_filter_learns_from_all_rows(spark):
     assert sorted(r.doc_id for r in got.collect()) == [*ids[: len(texts)], 1000]
 
 
+def test_the_filter_writes_scores_without_texts(spark, monkeypatch):
+    written, stored = [], language_id.stored
+    monkeypatch.setattr(language_id, "stored", lambda df, label: written.append(df.dtypes) or stored(df, label))
+    rows = [(1, "plain words here", "en"), (3, "more of the plain words", "en"), (1, "中文文本", None), (None, "中文文本", "en"), (None, "words", "en"), (1, None, "en")]
+    for few in (200_000, 0):
+        got = language_id.accepted(frame(spark, rows), few=few)
+        assert got.columns == frame(spark).columns
+        assert sorted(r.text for r in got.collect()) == ["more of the plain words", "plain words here", "words"]
+    assert len(written) == 4 and all(kind in ("binary", "boolean", "double") for columns in written for _, kind in columns)
+
+
 def test_every_window_of_every_row_counts_in_the_gradient():
     m = language_id.new_model(2, 4)
     rng = np.random.default_rng(3)
