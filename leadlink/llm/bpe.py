@@ -2,7 +2,7 @@
 
 A tokenizer encodes each pre-token on its own, so the ids of a text are its pre-tokens' ids in order. Splitting and
 looking up is several times faster than encoding, and each distinct pre-token is encoded by the tokenizers library once
-per worker process (a bounded cache). The short cut is taken only where it is provably the same: for the two public
+per worker process (a bounded cache; of a full one, the pre-tokens met again stay). The short cut is taken only where it is provably the same: for the two public
 splitting rules below, and for texts whose characters are Latin letters, digits, punctuation and signs, without the
 start of a special token. Every other text is encoded whole by the library.
 """
@@ -10,6 +10,7 @@ start of a special token. Every other text is encoded whole by the library.
 from __future__ import annotations
 
 import json
+import os
 import re
 import unicodedata
 from functools import cached_property
@@ -23,6 +24,20 @@ ship(__name__)
 
 SPACES = "\t\n\x0b\x0c\r \x85\xa0"
 CACHE = 300_000
+#: An entry of _Words takes less than a third of the memory of one in a dictionary.
+WORDS = 3
+
+
+def _byte_letters() -> np.ndarray:
+    """The visible character by which a byte-level tokenizer writes each byte; the blank stays, it parts words here."""
+    out = np.arange(256, dtype="<u2")
+    hidden = [b for b in range(256) if not (32 < b < 127 or 160 < b and b != 173)]
+    out[hidden] = 256 + np.arange(len(hidden))
+    out[32] = 32
+    return out
+
+
+BYTES = _byte_letters()
 
 
 def _letters(kind: str) -> str:
@@ -56,14 +71,40 @@ class Coder:
             spec = json.load(f)
         self.rule = _splitter(spec)
         self.special = [t["content"][:2] for t in spec["added_tokens"]]
-        # Pre-tokens are normalised and split already: the library has only bytes and merges left to do.
-        self.inner = Tokenizer.from_file(path)
-        if self.rule is not None:
-            self.inner.normalizer = normalizers.Sequence([])
-            self.inner.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.limit = cache
         self.known: dict[str, bytes] = {}
-        self.words = _Words(self._encode, cache) if self.rule is not None and self.rule[1] else None
+        self.words = _Words(self._encode_words, WORDS * cache) if self.rule is not None and self.rule[1] else None
+        self.closing = self._closing(spec["model"])
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+
+    @staticmethod
+    def _closing(model: dict) -> np.ndarray | None:
+        """Whether an id ends a word, if the ids show it: every last byte carries the suffix and none else does."""
+        vocab, suffix = model.get("vocab"), model.get("end_of_word_suffix")
+        if model["type"] != "BPE" or not suffix or any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "ignore_merges")):
+            return None
+        if any(chr(c) + tail not in vocab for c in BYTES if c != 32 for tail in ("", suffix)):
+            return None
+        closing = np.zeros(1 + max(vocab.values()), bool)
+        closing[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
+        return closing
+
+    @cached_property
+    def inner(self) -> Tokenizer:
+        """For pre-tokens: they are normalised and split already, the library has only bytes and merges left to do."""
+        inner = Tokenizer.from_file(self.path)
+        if self.rule is not None:
+            inner.normalizer = normalizers.Sequence([])
+            inner.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        return inner
+
+    @cached_property
+    def merger(self) -> Tokenizer:
+        """For words between blanks whose bytes are written as letters already: only merges are left to do."""
+        merger = Tokenizer.from_file(self.path)
+        merger.normalizer = normalizers.Sequence([])
+        merger.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        return merger
 
     @cached_property
     def tokenizer(self) -> Tokenizer:
@@ -88,6 +129,15 @@ class Coder:
         words = np.array([-1 if w is None else w for w in done.word_ids], dtype=np.int64)
         return np.array(done.ids, dtype="<u4"), np.searchsorted(words, np.arange(len(pieces) + 1))
 
+    def _encode_words(self, words: str) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words in a row, number of ids of each); one blank between words, none in them."""
+        if self.closing is not None:
+            letters = BYTES[np.frombuffer(words.encode(), np.uint8)].tobytes().decode("utf-16-le")
+            ids = np.array(self.merger.encode_batch_fast([letters], add_special_tokens=False)[0].ids, dtype="<u4")
+            return ids, np.diff(np.flatnonzero(self.closing[ids]), prepend=-1)
+        ids, begin = self._encode(words.split(" "))
+        return ids, np.diff(begin)
+
     def lengths(self, pieces: list[str]) -> list[int]:
         """Number of ids of each pre-token."""
         return np.diff(self._encode(pieces)[1]).tolist()
@@ -106,7 +156,7 @@ class Coder:
             out[k] = self._encode_pieces(text)
         while plain:
             n, size = 0, 0
-            while n < len(plain) and size < 1 << 20:
+            while n < len(plain) and size < 1 << 19:
                 size += len(plain[n][1])
                 n += 1
             for (k, _), ids in zip(plain[:n], self.words.encode([raw for _, raw in plain[:n]]), strict=True):
@@ -130,11 +180,20 @@ class Coder:
         return b"".join(map(self.known.__getitem__, parts))
 
 
+def _spots(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places of the spans, one span after the other."""
+    ends = np.cumsum(size)
+    spots = np.repeat(begin - (ends - size), size)
+    spots += np.arange(len(spots))
+    return spots
+
+
 class _Words:
-    """Ids of lower-case Latin-1 texts, many at a time: numpy finds and hashes the words, Python sees each distinct one once.
+    """Ids of lower-case Latin-1 texts, many at a time: numpy finds, hashes and looks up the words, the library encodes new ones.
 
     Words are told apart by a 64-bit polynomial hash of at most LONGEST bytes; a text with a longer word is left to the
-    caller.
+    caller. Known words are in an open hash table (numpy arrays, half empty at least). When it is full, those met in a
+    batch after their first stay, up to half of the limit; the others, most of them met once, go.
     """
 
     LONGEST = 256
@@ -155,15 +214,80 @@ class _Words:
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[int, int] = {}
-        self.begin, self.size, self.ids = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.uint32)
-        self.used = 0
+        self.known, self.used = 0, 0
+        self.slot, self.shift = np.full(4096, -1, np.int32), np.uint64(64 - 12)
+        self.mark, self.again = np.zeros(1024, np.uint64), np.zeros(1024, bool)
+        self.begin, self.size, self.ids = np.zeros(1024, np.int32), np.zeros(1024, np.int32), np.zeros(4096, np.uint32)
 
-    def _grown(self, name: str, need: int) -> np.ndarray:
+    def _write(self, name: str, at: int, new) -> None:
         old = getattr(self, name)
-        if len(old) < need:
-            setattr(self, name, np.concatenate([old, np.zeros(max(need - len(old), len(old)), old.dtype)]))
-        return getattr(self, name)
+        if len(old) < at + len(new):
+            setattr(self, name, np.concatenate([old, np.zeros(max(at + len(new) - len(old), len(old) // 4), old.dtype)]))
+        getattr(self, name)[at : at + len(new)] = new
+
+    def _find(self, mark: np.ndarray) -> np.ndarray:
+        """Where each word is, -1 for words not known."""
+        at = (mark >> self.shift).astype(np.int64)
+        place = self.slot[at]
+        left = np.flatnonzero((place >= 0) & (self.mark[place] != mark))
+        while len(left):
+            at[left] = step = (at[left] + 1) & (len(self.slot) - 1)
+            place[left] = found = self.slot[step]
+            left = left[(found >= 0) & (self.mark[found] != mark[left])]
+        return place
+
+    def _enter(self, first: int) -> None:
+        """Put the words from place `first` on into the hash table."""
+        place = np.arange(first, self.known, dtype=np.int32)
+        at = (self.mark[first : self.known] >> self.shift).astype(np.int64)
+        while len(place):
+            free = self.slot[at] < 0
+            self.slot[at[free]] = place[free]
+            left = self.slot[at] != place  # taken, also by another one of these words
+            place, at = place[left], (at[left] + 1) & (len(self.slot) - 1)
+
+    def _add(self, mark: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
+        """Learn words not known, each once."""
+        first = self.known
+        for name, new in (("mark", mark), ("begin", self.used + np.cumsum(size) - size), ("size", size), ("again", np.zeros(len(mark), bool))):
+            self._write(name, first, new)
+        self._write("ids", self.used, ids)
+        self.known, self.used = first + len(mark), self.used + len(ids)
+        if 2 * self.known > len(self.slot):
+            bits = int(2 * self.known).bit_length()
+            self.slot, self.shift, first = np.full(1 << bits, -1, np.int32), np.uint64(64 - bits), 0
+        self._enter(first)
+
+    def _thin(self) -> None:
+        """Keep the words met again, as far as half of the limit goes."""
+        keep = np.flatnonzero(self.again[: self.known])[: self.limit // 2]
+        keep = keep[np.cumsum(self.size[keep]) <= 4 * self.limit]
+        mark, size = self.mark[keep], self.size[keep]
+        ids = self.ids[_spots(self.begin[keep], size)]
+        self.forget()
+        self._add(mark, size, ids)
+
+    def _places(self, mark: np.ndarray, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Where each word is; new ones are encoded."""
+        place = self._find(mark)
+        self.again[place[place >= 0]] = True
+        new = np.flatnonzero(place < 0)
+        words, where = np.unique(mark[new], return_index=True)
+        if self.known + len(words) > self.limit or self.used > 8 * self.limit:
+            self._thin()
+            place = self._find(mark)
+            new = np.flatnonzero(place < 0)
+            words, where = np.unique(mark[new], return_index=True)
+        where = new[where]
+        for k in range(0, len(words), 20_000):
+            few = where[k : k + 20_000]
+            size = end[few] - begin[few] + 1
+            raw = data[_spots(begin[few], size)]
+            raw[np.cumsum(size) - 1] = 32
+            ids, size = self.encode_words(raw[:-1].tobytes().decode("latin-1"))
+            self._add(words[k : k + 20_000], size, ids)
+        place[new] = self._find(mark[new])
+        return place
 
     def _power(self, n: int) -> list[np.ndarray]:
         if len(self.powers[0]) < n:
@@ -195,39 +319,17 @@ class _Words:
         data = np.frombuffer(b" " + b" ".join(texts) + b" ", np.uint8)
         begin, end = self._cut(data)
         first = np.cumsum([1] + [len(t) + 1 for t in texts])  # where each text starts
+        fits = end - begin <= self.LONGEST
+        long = set((np.searchsorted(first, begin[~fits], side="right") - 1).tolist())
+        begin, end = begin[fits], end[fits]
         word_at = np.searchsorted(begin, first)
         forth, back = self._power(len(data))
         total = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(self.value[data] * forth[: len(data)], out=total[1:])
-        mark = (total[end] - total[begin]) * back[begin]
-        words, where, inverse = np.unique(mark, return_index=True, return_inverse=True)
-        keys = words.tolist()
-        place = list(map(self.place.get, keys))
-        missing = [k for k, p in enumerate(place) if p is None]
-        if missing:
-            if len(self.place) + len(missing) > self.limit:
-                self.forget()
-                missing, place = list(range(len(keys))), [0] * len(keys)
-            for part in (missing[k : k + 20_000] for k in range(0, len(missing), 20_000)):
-                spans = zip(begin[where[part]].tolist(), end[where[part]].tolist(), strict=True)
-                raw = data.tobytes()
-                ids, at = self.encode_words([raw[a:b].decode("latin-1") for a, b in spans])
-                n, used = len(self.place), self.used
-                self._grown("ids", used + len(ids))[used : used + len(ids)] = ids
-                self._grown("begin", n + len(part))[n : n + len(part)] = used + at[:-1]
-                self._grown("size", n + len(part))[n : n + len(part)] = np.diff(at)
-                self.used += len(ids)
-                for k, p in enumerate(part):
-                    place[p] = n + k
-                    self.place[keys[p]] = n + k
-        at = np.array(place, np.int64)[inverse]
-        size = self.size[at]
-        ends = np.cumsum(size)
-        spots = np.repeat(self.begin[at] - (ends - size), size)
-        spots += np.arange(len(spots))
-        ids = self.ids[spots].astype("<u4")
-        bounds = np.concatenate([[0], ends])[word_at].tolist()
-        long = set((np.searchsorted(first, begin[end - begin > self.LONGEST], side="right") - 1).tolist())
+        at = self._places((total[end] - total[begin]) * back[begin], data, begin, end)
+        size = self.size[at].astype(np.int64)
+        ids = self.ids[_spots(self.begin[at], size)].astype("<u4")
+        bounds = np.concatenate([[0], np.cumsum(size)])[word_at].tolist()
         return [None if k in long else ids[a:b].tobytes() for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True))]
 
 

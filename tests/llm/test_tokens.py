@@ -2,7 +2,7 @@
 
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -31,6 +31,27 @@ def test_cached_ids_are_the_library_s(path):
     assert coder.encode(texts) == want
 
 
+def test_words_met_again_stay_known():
+    """Fresh words fill the cache over and over; those of every text are encoded once, and all ids are the library's."""
+    coder, rng, plain = Coder(WORD, cache=1000), random.Random(4), Tokenizer.from_file(WORD)
+    asked, encode = Counter(), coder.words.encode_words
+    coder.words.encode_words = lambda words: asked.update(words.split(" ") if isinstance(words, str) else words) or encode(words)
+    common = ["".join(rng.choices("abcdeéß", k=9)) for _ in range(500)]
+    for _ in range(14):
+        words = common + ["".join(rng.choices("fghijklmnoÿ", k=12)) for _ in range(700)]
+        rng.shuffle(words)
+        text = " ".join(words)
+        assert coder.encode([text]) == [np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
+    assert max(asked[w] for w in common) == 1
+
+
+def test_every_latin_byte_ends_a_word():
+    signs = [chr(c) for c in range(1, 256)]
+    texts = [" ".join(a + b + c for b in signs) for a in "xé7¿" for c in ("", "y", "÷", "®")] + ["w" * 256 + " v", "w" * 257 + " v", ""]
+    plain = Tokenizer.from_file(WORD)
+    assert Coder(WORD).encode(texts) == [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
 def test_counts(spark):
     got = token_counts.count_tokens(frame(spark), BYTE, max_tokens=30, table_size=5, cache=20).collect()
     want = sorted((repr(i), len((t or "").encode()), n := len(ids_of(BYTE, t)), n > 30) for i, t, _ in ROWS)
