@@ -2,8 +2,10 @@
 
 import pyarrow as pa
 import pyspark.sql.functions as F
+import pytest
 
 from leadlink.operators import geo, keyed, merge, resolve
+from leadlink.plans.catalog import QUERIES
 from leadlink.sinks import files as sink
 from leadlink.sources import files, html_listing as H, json_responses as J
 from leadlink.streaming import jobs
@@ -295,3 +297,13 @@ def test_page_helpers_run_once_and_on_few_rows(spark):
     few = type("Few", (), {"__len__": lambda self: len(values), "slice": lambda self, k, n: at_once.append(n) or values.slice(k, n)})()
     assert H._sliced(lambda v: v, few, values.type).equals(values)
     assert max(at_once) <= 64
+
+
+@pytest.mark.parametrize("name", ["html_old_layout", "sector_workbook"])
+def test_pages_with_long_paragraphs(spark, tmp_path, name):
+    city = "word and été " * 20_000
+    page = lambda h, p: f"<title>{h}</title><article><h1>{h}</h1><p>{p}</p><a href='http://w.example.com'>w</a></article>"
+    rows = [(4, "http://a.example.fr/1", page("A", f"1 rue X 31000 {city}")), (9, "http://a.example.fr/2", page("B", "2 rue X 64100 bayonne")), (6, None, None)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: (r.name, r.cp, r.city) for r in QUERIES[name](spark, str(tmp_path)).collect()}
+    assert got == {4: ("A", "31000", ("Word And Été " * 20_000).strip()), 9: ("B", "64100", "Bayonne")}
