@@ -6,8 +6,10 @@ import itertools
 import random
 import re
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from brute import ROWS, contaminated, frame, tokens
-from leadlink.llm import decontaminate, pii
+from leadlink.llm import common, decontaminate, pii
 
 
 def items(spark, rows):
@@ -207,3 +209,29 @@ def test_hostile_texts_do_not_overflow(spark):
     texts = ["x@" + "a." * 200_000 + "com", "x@" + "a-" * 200_000, "+1" + " 555" * 100_000, "1." * 300_000, "4111 " * 100_000, "AT61 " * 100_000, "a@b." * 100_000]
     assert len(masked(spark, texts)) == len(texts)
     assert masked(spark, ["5,190.1.2.3"])[0][1] == 1
+
+
+def test_scans_of_texts_keep_little_outside_the_heap(spark, tmp_path):
+    """No buffer outside the heap is as large as the texts of a row group, and a batch holds few rows."""
+    rng = random.Random(3)
+    item = "nine words of a small benchmark item for this test"
+    texts = [rng.randbytes(100_000).hex() for _ in range(320)] + [f"before {item} after"]
+    (tmp_path / "documents.parquet").mkdir()
+    rows = pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": texts})
+    pq.write_table(rows, tmp_path / "documents.parquet/0.parquet", compression="none", use_dictionary=False, row_group_size=len(texts))
+    (tmp_path / "benchmark.parquet").mkdir()
+    pq.write_table(pa.table({"item_id": ["i"], "text": [item]}), tmp_path / "benchmark.parquet/0.parquet")
+
+    def outside() -> int:
+        beans = spark._jvm.java.lang.management.ManagementFactory.getPlatformMXBeans(spark._jvm.java.lang.Class.forName("java.lang.management.BufferPoolMXBean"))
+        return next(b.getMemoryUsed() for b in beans if b.getName() == "direct")
+
+    for key in (*common.TEXT_BATCHES, common.RANGES):
+        spark.conf.unset(key)
+    before = outside()
+    got = decontaminate.op4_decontaminate(spark, str(tmp_path)).collect()
+    assert [tuple(r) for r in got] == [(320, "i", 1, 10, 10)]
+    assert outside() - before < 40_000_000
+    assert {key: int(spark.conf.get(key)) for key in common.TEXT_BATCHES} == common.TEXT_BATCHES
+    for key in (*common.TEXT_BATCHES, common.RANGES):
+        spark.conf.unset(key)
